@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
-def key_digest(keys: list[str], seed: int | str) -> Column:
-    parts = [F.col(k).cast("string") for k in keys]
-    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+def key_digest_sql(keys: list[str], seed: int | str) -> str:
+    parts = ", ".join(f"CAST({k} AS STRING)" for k in keys)
+    return f"md5(concat_ws('|', {parts}, '{seed}'))"
 
 
-def draw(digest: Column, lane: int) -> Column:
+def draw_sql(digest: str, lane: int) -> str:
     """One of four independent 32-bit numbers held in an md5 digest."""
-    return F.conv(F.substring(digest, lane * 8 + 1, 8), 16, 10).cast("bigint")
+    return f"CAST(conv(substring({digest}, {lane * 8 + 1}, 8), 16, 10) AS BIGINT)"
 
 
 def hash_sample(df: DataFrame, fraction: float, keys: list[str], seed: int = 42,
@@ -22,6 +22,6 @@ def hash_sample(df: DataFrame, fraction: float, keys: list[str], seed: int = 42,
     Unlike ``DataFrame.sample`` the choice does not depend on how the rows are
     split into partitions, so a retried task or a re-read picks the same rows.
     """
-    number = draw(key_digest(keys, f"sample-{seed}"), 0)
-    picked = df.where(number % 1_000_000 < int(round(fraction * 1_000_000)))
+    number = draw_sql(key_digest_sql(keys, f"sample-{seed}"), 0)
+    picked = df.where(f"{number} % 1000000 < {int(round(fraction * 1_000_000))}")
     return picked if max_rows is None else picked.limit(max_rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.activity import (
-    HEATMAP_LOWEST, HEATMAP_TIERS, grid_col, grid_row, row_total,
+    HEATMAP_LOWEST, HEATMAP_TIERS, grid_col_sql, grid_row_sql, row_total_sql,
 )
 from tessera.operators.cleaning import current
 from tessera.operators.order_stats import tier_by_percent_rank
@@ -59,9 +59,9 @@ def square_totals(silver: DataFrame) -> DataFrame:
     )
     return sums.withColumns(
         {
-            "total_activity": row_total([f"total_{c}" for c in ACTIVITY]),
-            "grid_row": grid_row(),
-            "grid_col": grid_col(),
+            "total_activity": F.expr(row_total_sql([f"total_{c}" for c in ACTIVITY])),
+            "grid_row": F.expr(grid_row_sql()),
+            "grid_col": F.expr(grid_col_sql()),
         }
     )
 

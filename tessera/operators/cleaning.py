@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.functions.activity import (
-    all_missing, cleaned, event_time, has_negative, is_future,
+    all_missing_sql, cleaned_sql, event_time_sql, has_negative_sql, is_future,
 )
 from tessera.schema import ACTIVITY, FLAGS, NATURAL_KEY
 
@@ -20,19 +18,19 @@ def flag_and_clean(records: DataFrame, as_of: Column | None = None) -> DataFrame
     """
     flagged = records.select(
         "*",
-        event_time().alias("event_time"),
-        has_negative().alias("_has_negative_activity"),
+        F.expr(event_time_sql()).alias("event_time"),
+        F.expr(has_negative_sql()).alias("_has_negative_activity"),
         is_future(as_of).alias("_is_future_timestamp"),
-        all_missing().alias("_is_null_activity"),
-    )
-    return flagged.withColumns(
-        {
-            "hour_of_day": F.hour("event_time"),
-            "day_of_week": F.dayofweek("event_time"),
-            "date": F.to_date("event_time"),
-            **{c: cleaned(c) for c in ACTIVITY},
-        }
+        F.expr(all_missing_sql()).alias("_is_null_activity"),
     )
+    changed = {
+        **{c: cleaned_sql(c) for c in ACTIVITY},
+        "hour_of_day": "hour(event_time)",
+        "day_of_week": "dayofweek(event_time)",
+        "date": "to_date(event_time)",
+    }
+    kept = [c for c in flagged.columns if c not in changed]
+    return flagged.selectExpr(*kept, *[f"{text} AS {name}" for name, text in changed.items()])
 
 
 def deduplicate(df: DataFrame, key: list[str] = NATURAL_KEY, order: list[Column] | None = None) -> DataFrame:
@@ -63,7 +61,7 @@ def silver(records: DataFrame, as_of: Column | None = None, batch_id: str | None
 
 
 def any_flag() -> Column:
-    return reduce(Column.__or__, [F.col(f) for f in FLAGS])
+    return F.expr(" OR ".join(FLAGS))
 
 
 def suspicious(df: DataFrame) -> DataFrame:

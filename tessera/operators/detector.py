@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessera.functions.activity import anomaly_class, cleaned, known, present
+from tessera.functions.activity import (
+    anomaly_class_sql, cleaned_sql, lenient_number_sql, number_sql, present,
+)
 from tessera.operators.cleaning import clean
 from tessera.operators.order_stats import exact_percentiles
 from tessera.schema import ACTIVITY, FLAGS, NATURAL_KEY
@@ -35,31 +36,18 @@ BOTTLENECK = 4
 PERCENTILE = 95.0
 
 
-def features(df: DataFrame) -> list[Column]:
+def features_sql(df: DataFrame) -> list[str]:
     """Activities without negatives, hour / 23 and weekday / 6; missing becomes 0.
 
     Activities may arrive as text; unreadable numbers count as missing.
     """
-    types = dict(df.dtypes)
-
-    def activity(name: str) -> Column:
-        if name not in types:
-            return F.lit(0.0)
-        if types[name] == "string":
-            return F.greatest(F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)), F.lit(0.0))
-        return cleaned(name)
-
-    def calendar(name: str, scale: float) -> Column:
-        if name not in types:
-            return F.lit(0.0)
-        return F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)) / scale
-
-    columns = [activity(c) for c in ACTIVITY] + [calendar("hour_of_day", 23.0), calendar("day_of_week", 6.0)]
-    return [c.alias(name) for c, name in zip(columns, FEATURES)]
-
-
-def _plus(columns: list[Column]) -> Column:
-    return reduce(Column.__add__, columns)
+    have = set(df.columns)
+    activity = [cleaned_sql(f"try_cast({c} AS DOUBLE)") if c in have else "0D" for c in ACTIVITY]
+    calendar = [
+        f"{lenient_number_sql(c)} / {scale}D" if c in have else "0D"
+        for c, scale in (("hour_of_day", 23), ("day_of_week", 6))
+    ]
+    return activity + calendar
 
 
 @dataclass(frozen=True)
@@ -78,14 +66,14 @@ class Detector:
     def error(self, df: DataFrame) -> Column:
         """Mean over the features of the squared residual."""
         unit = [
-            (f - F.lit(m)) / F.lit(s) for f, m, s in zip(features(df), self.mean, self.scale)
+            f"(({f}) - {number_sql(m)}) / {number_sql(s)}"
+            for f, m, s in zip(features_sql(df), self.mean, self.scale)
         ]
-        parts = []
+        squares = []
         for direction in self.unexplained:
-            terms = [z if w == 1.0 else z * F.lit(w) for z, w in zip(unit, direction) if w != 0.0]
-            along = _plus(terms)
-            parts.append(along * along)
-        return _plus(parts) / len(unit) if parts else F.lit(0.0)
+            terms = [f"({z}) * {number_sql(w)}" for z, w in zip(unit, direction) if w != 0.0]
+            squares.append(f"power({' + '.join(terms)}, 2)")
+        return F.expr(f"({' + '.join(squares)}) / {len(unit)}D" if squares else "0D")
 
     def parameters(self, spark: SparkSession) -> DataFrame:
         """One row per feature, with the shared numbers repeated."""
@@ -129,14 +117,14 @@ class Detector:
 
 
 def _moments(rows: DataFrame, pairs: bool) -> dict:
-    x = rows.select(*features(rows))
-    measures = [F.count(F.lit(1)).alias("n")]
+    x = rows.selectExpr(*[f"{text} AS {name}" for text, name in zip(features_sql(rows), FEATURES)])
+    measures = ["count(1) AS n"]
     for i, name in enumerate(FEATURES):
-        measures += [F.avg(name).alias(f"mean_{i}"), F.stddev_pop(name).alias(f"std_{i}")]
+        measures += [f"avg({name}) AS mean_{i}", f"stddev_pop({name}) AS std_{i}"]
     if pairs:
         for i, j in combinations(range(len(FEATURES)), 2):
-            measures.append(F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"cov_{i}_{j}"))
-    return x.agg(*measures).first().asDict()
+            measures.append(f"covar_pop({FEATURES[i]}, {FEATURES[j]}) AS cov_{i}_{j}")
+    return x.selectExpr(*measures).first().asDict()
 
 
 def _unexplained(moments: dict, scale: list[float], rank: int) -> list[list[float]]:
@@ -179,9 +167,9 @@ def score(silver: DataFrame, detector: Detector, tolerance: float = 0.0) -> Data
     least excess that counts, for comparing engines that round differently.
     """
     scored = silver.withColumn("reconstruction_error", detector.error(silver))
-    excess = F.col("reconstruction_error") - F.lit(detector.threshold)
-    scored = scored.withColumn("is_anomaly_predicted", excess > F.lit(float(tolerance)))
-    scored = scored.withColumn("anomaly_type_predicted", anomaly_class(F.col("is_anomaly_predicted")))
+    excess = f"reconstruction_error - {number_sql(detector.threshold)}"
+    scored = scored.withColumn("is_anomaly_predicted", F.expr(f"{excess} > {number_sql(tolerance)}"))
+    scored = scored.withColumn("anomaly_type_predicted", F.expr(anomaly_class_sql("is_anomaly_predicted")))
     return scored.select(*present(scored, SCORE_COLUMNS))
 
 

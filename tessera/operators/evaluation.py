@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tessera.functions.hashing import draw, key_digest
+from tessera.functions.hashing import draw_sql, key_digest_sql
 from tessera.schema import ACTIVITY, NATURAL_KEY, SLOT_MS
 
 # ---- fixed values: share of each anomaly type, in percent, and its size ----
@@ -22,52 +22,50 @@ FUTURE_SLOTS = 365 * 144
 RATE = 0.05
 
 
-def _type_of(number: Column) -> Column:
-    percent = number % 100
-    upto, choice = 0, None
+def _type_sql(number: str) -> str:
+    upto, whens = 0, []
     for name, share in TYPE_SHARES:
         upto += share
-        choice = F.when(percent < upto, name) if choice is None else choice.when(percent < upto, name)
-    return choice
+        whens.append(f"WHEN {number} % 100 < {upto} THEN '{name}'")
+    return f"CASE {' '.join(whens)} END"
 
 
-def _between(number: Column, low: int, high: int) -> Column:
-    return number % (high - low + 1) + low
+def _between_sql(number: str, low: int, high: int) -> str:
+    return f"({number} % {high - low + 1} + {low})"
 
 
 def inject_anomalies(records: DataFrame, rate: float = RATE, seed: int = 42) -> DataFrame:
     """A labelled copy of ``records`` with a share of the rows made anomalous.
 
     Which rows, which type and how strong follow from a digest of the natural key,
-    so any attempt of any task makes the same choice. A projection; no shuffle.
+    so any attempt of any task makes the same choice. Projections; no shuffle.
     """
-    digest = F.col("_digest")
-    chosen = draw(digest, 0) % 10_000 < int(round(rate * 10_000))
-    labelled = records.withColumn("_digest", key_digest(NATURAL_KEY, seed)).withColumns(
-        {
-            "is_anomaly_injected": chosen,
-            "anomaly_type": F.when(chosen, _type_of(draw(digest, 1))),
-            "_size": draw(digest, 2),
-            "_pick": draw(digest, 3),
-        }
+    lane = lambda i: draw_sql("_digest", i)
+    digested = records.selectExpr("*", f"{key_digest_sql(NATURAL_KEY, seed)} AS _digest")
+    chosen = digested.selectExpr("*", f"{lane(0)} % 10000 < {int(round(rate * 10_000))} AS is_anomaly_injected")
+    labelled = chosen.selectExpr(
+        "*",
+        f"CASE WHEN is_anomaly_injected THEN {_type_sql(lane(1))} END AS anomaly_type",
+        f"{lane(2)} AS _size",
+        f"{lane(3)} AS _pick",
     )
-    kind, size, pick = F.col("anomaly_type"), F.col("_size"), F.col("_pick")
-    changed = {}
+    changed = {
+        "time_interval": f"""CASE WHEN anomaly_type = 'future_timestamp'
+            THEN {FUTURE_FROM_MS} + (_size % {FUTURE_SLOTS}) * {SLOT_MS} ELSE time_interval END"""
+    }
     for position, name in enumerate(ACTIVITY):
-        value = F.col(name)
-        changed[name] = (
-            F.when(kind == "activity_spike", value * _between(size, *SPIKE_TIMES))
-            .when(kind == "dead_zone", 0.0)
-            .when(
-                (kind == "negative_activity") & (pick % len(ACTIVITY) == position),
-                -_between(size, *NEGATIVE_BETWEEN).cast("double"),
-            )
-            .when(kind == "null_activity", F.lit(None).cast("double"))
-            .otherwise(value)
-        )
-    later = F.lit(FUTURE_FROM_MS).cast("bigint") + (size % FUTURE_SLOTS) * SLOT_MS
-    changed["time_interval"] = F.when(kind == "future_timestamp", later).otherwise(F.col("time_interval"))
-    return labelled.withColumns(changed).drop("_digest", "_size", "_pick")
+        changed[name] = f"""CASE
+            WHEN anomaly_type = 'activity_spike' THEN {name} * {_between_sql('_size', *SPIKE_TIMES)}
+            WHEN anomaly_type = 'dead_zone' THEN 0D
+            WHEN anomaly_type = 'negative_activity' AND _pick % {len(ACTIVITY)} = {position}
+                THEN -CAST({_between_sql('_size', *NEGATIVE_BETWEEN)} AS DOUBLE)
+            WHEN anomaly_type = 'null_activity' THEN NULL
+            ELSE {name} END"""
+    return labelled.selectExpr(
+        *[f"{changed[c]} AS {c}" if c in changed else c for c in records.columns],
+        "is_anomaly_injected",
+        "anomaly_type",
+    )
 
 
 def labels_of(injected: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.operators.rules import band, quality_score
+from tessera.operators.rules import band, mean_score
 from tessera.schema import QUALITY_DOCUMENT
 
 
@@ -13,41 +13,26 @@ def quality_document(layer: str, batch_id: str, stats: DataFrame, results: DataF
     """One row holding the score, the table statistics and the validation results.
 
     ``stats`` and ``results`` have one row per table, so the collected arrays are
-    as long as the list of tables.
+    as long as the list of tables. Each is evaluated once.
     """
-    fields = {f.name: f.dataType.elementType for f in QUALITY_DOCUMENT.fields
-              if f.name in ("table_stats", "validation_results")}
-    pack = lambda df, name: df.agg(
-        F.sort_array(F.collect_list(F.struct(*[F.col(c).cast(fields[name][c].dataType).alias(c)
-                                               for c in fields[name].fieldNames()
-                                               if c != "null_counts"]))).alias("rows"))
     when = F.current_timestamp().cast("string") if generated_at is None else generated_at
-    nulls = results.agg(F.map_from_entries(F.collect_list(F.struct("table", "null_counts"))).alias("m")).scalar()
-    validation = F.transform(
-        F.col("_results"),
-        lambda r: F.struct(
-            r["table"].alias("table"), r["passed"].alias("passed"),
-            r["checks_total"].alias("checks_total"), r["checks_passed"].alias("checks_passed"),
-            r["failures"].alias("failures"), F.col("_nulls")[r["table"]].alias("null_counts"),
-            r["row_count"].alias("row_count"), r["duplicate_count"].alias("duplicate_count"),
-        ),
-    )
-    return (
-        quality_score(results)
-        .select(
-            "quality_score",
-            pack(stats, "table_stats").scalar().alias("table_stats"),
-            pack(results, "validation_results").scalar().alias("_results"),
-            nulls.alias("_nulls"),
-        )
-        .select(
-            F.lit(layer).alias("layer"),
-            F.lit(batch_id).alias("batch_id"),
-            when.alias("generated_at"),
-            F.col("quality_score").alias("overall_quality_score"),
-            "table_stats",
-            validation.alias("validation_results"),
-        )
+    element = {n: QUALITY_DOCUMENT[n].dataType.elementType for n in ("table_stats", "validation_results")}
+
+    def packed(name: str) -> Column:
+        fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in element[name]]
+        by_table = lambda a, b: F.when(a["table"] < b["table"], -1).when(a["table"] > b["table"], 1).otherwise(0)
+        return F.array_sort(F.collect_list(F.struct(*fields)), by_table)
+
+    statistics = stats.agg(packed("table_stats").alias("rows")).scalar()
+    return results.agg(
+        mean_score().alias("overall_quality_score"), packed("validation_results").alias("validation_results")
+    ).select(
+        F.lit(layer).alias("layer"),
+        F.lit(batch_id).alias("batch_id"),
+        when.alias("generated_at"),
+        "overall_quality_score",
+        statistics.alias("table_stats"),
+        "validation_results",
     )
 
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.functions.activity import string_sql
 from tessera.schema import NATURAL_KEY
 
 _CASTS = {"int": "bigint", "float": "double", "string": "string", "boolean": "boolean"}
@@ -33,30 +34,29 @@ class Rule:
             parts.append("not_null")
         return " ".join(parts)
 
-    def holds(self, value: Column) -> Column | None:
-        if not self.test:
-            return None
-        kind, *args = self.test
-        if kind == "in_range":
-            return value.between(*args)
-        if kind == "greater_than":
-            return value > args[0]
-        if kind == "at_least":
-            return value >= args[0]
-        if kind == "one_of":
-            return value.isin(list(args))
-        raise ValueError(f"unknown test {kind}")
-
-    def violated(self) -> Column:
+    def broken_sql(self) -> str:
         """True, never null, where the row breaks the rule. NaN counts as missing."""
-        raw = F.col(self.column)
-        value = raw.try_cast(_CASTS[self.dtype])
+        name = f"`{self.column}`"
+        value, missing = f"try_cast({name} AS {_CASTS[self.dtype]})", f"{name} IS NULL"
         if self.dtype == "float":
-            value = F.nanvl(value, F.lit(None).cast("double"))
-            raw = F.when(F.coalesce(raw.try_cast("double") != F.lit(float("nan")), F.lit(True)), raw)
-        condition = F.when(raw.isNull(), F.lit(not self.nullable)).when(value.isNull(), F.lit(True))
-        test = self.holds(value)
-        return condition.otherwise(F.lit(False) if test is None else ~test)
+            missing += f" OR coalesce(isnan({value}), false)"
+        kind, *args = self.test or (None,)
+        if kind is None:
+            holds = "true"
+        elif kind == "in_range":
+            holds = f"{value} BETWEEN {args[0]} AND {args[1]}"
+        elif kind == "greater_than":
+            holds = f"{value} > {args[0]}"
+        elif kind == "at_least":
+            holds = f"{value} >= {args[0]}"
+        elif kind == "one_of":
+            holds = f"{value} IN ({', '.join(string_sql(a) if isinstance(a, str) else str(a) for a in args)})"
+        else:
+            raise ValueError(f"unknown test {kind}")
+        return (
+            f"CASE WHEN {missing} THEN {str(not self.nullable).lower()} "
+            f"WHEN {value} IS NULL THEN true ELSE NOT ({holds}) END"
+        )
 
 
 # ---- fixed values: the rules of the silver activity table ----
@@ -77,38 +77,28 @@ ACTIVITY_RULES = [
 def _measured(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row: the row count, and per rule the violations and nulls."""
     have = set(df.columns)
-    measures = [F.count(F.lit(1)).alias("row_count")]
+    measures = ["count(1) AS row_count"]
     for i, rule in enumerate(rules):
-        if rule.column in have:
-            measures.append(F.count_if(rule.violated()).alias(f"failed_{i}"))
-            measures.append(F.count_if(F.col(rule.column).isNull()).alias(f"null_{i}"))
-        else:
-            measures.append(F.count(F.lit(1)).alias(f"failed_{i}"))
-            measures.append(F.count(F.lit(1)).alias(f"null_{i}"))
-    return df.agg(*measures)
+        there = rule.column in have
+        measures.append(f"{f'count_if({rule.broken_sql()})' if there else 'count(1)'} AS failed_{i}")
+        measures.append(f"{f'count_if(`{rule.column}` IS NULL)' if there else 'count(1)'} AS null_{i}")
+    return df.selectExpr(*measures)
 
 
-def _passed(df: DataFrame, rules: list[Rule], i: int) -> Column:
+def _passed_sql(df: DataFrame, rules: list[Rule], i: int) -> str:
     # A missing column fails even where the table is empty.
-    return F.lit(rules[i].column in df.columns) & (F.col(f"failed_{i}") == 0)
+    return f"(failed_{i} = 0)" if rules[i].column in df.columns else "false"
 
 
 def checks(df: DataFrame, rules: list[Rule], table: str) -> DataFrame:
     """One row per rule."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(rule.column).alias("column_name"),
-                F.lit(rule.text).alias("rule"),
-                F.col(f"failed_{i}").alias("failed_rows"),
-                F.col(f"null_{i}").alias("null_rows"),
-                _passed(df, rules, i).alias("passed"),
-            )
-            for i, rule in enumerate(rules)
-        ]
-    )
-    return _measured(df, rules).select(F.inline(rows))
+    rows = [
+        f"struct({string_sql(table)} AS table_name, {string_sql(rule.column)} AS column_name, "
+        f"{string_sql(rule.text)} AS rule, failed_{i} AS failed_rows, null_{i} AS null_rows, "
+        f"{_passed_sql(df, rules, i)} AS passed)"
+        for i, rule in enumerate(rules)
+    ]
+    return _measured(df, rules).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def uniqueness_check(df: DataFrame, column: str, table: str) -> DataFrame:
@@ -136,35 +126,39 @@ def duplicate_count(df: DataFrame, key: list[str] = NATURAL_KEY) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """Nulls per column, one row per column, from one pass."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in df.columns]
-    return counted.select(F.inline(F.array(*rows)))
+    counted = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS `{c}`" for c in df.columns])
+    rows = [f"struct({string_sql(c)} AS column_name, `{c}` AS null_count)" for c in df.columns]
+    return counted.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def validate(df: DataFrame, rules: list[Rule], table: str, key: list[str] = NATURAL_KEY) -> DataFrame:
     """One result row per table: totals, failure texts, nulls per column, duplicates."""
-    measured = _measured(df, rules)
-    passed = [_passed(df, rules, i) for i in range(len(rules))]
-    texts = [F.when(~p, F.lit(f"{r.column}: {r.text}")) for p, r in zip(passed, rules)]
-    nulls = [part for i, r in enumerate(rules) for part in (F.lit(r.column), F.col(f"null_{i}"))]
-    tally = sum((p.cast("bigint") for p in passed), F.lit(0).cast("bigint"))
-    return measured.select(
+    passed = [_passed_sql(df, rules, i) for i in range(len(rules))]
+    tally = " + ".join(f"CAST({p} AS BIGINT)" for p in passed)
+    texts = ", ".join(
+        f"CASE WHEN NOT {p} THEN {string_sql(f'{r.column}: {r.text}')} END" for p, r in zip(passed, rules))
+    nulls = ", ".join(f"{string_sql(r.column)}, null_{i}" for i, r in enumerate(rules))
+    return _measured(df, rules).select(
         F.lit(table).alias("table"),
-        (tally == len(rules)).alias("passed"),
+        F.expr(f"({tally}) = {len(rules)}").alias("passed"),
         F.lit(len(rules)).cast("bigint").alias("checks_total"),
-        tally.alias("checks_passed"),
-        F.array_compact(F.array(*texts)).alias("failures"),
-        F.create_map(*nulls).alias("null_counts"),
+        F.expr(tally).alias("checks_passed"),
+        F.expr(f"array_compact(array({texts}))").alias("failures"),
+        F.expr(f"map({nulls})").alias("null_counts"),
         "row_count",
         duplicate_count(df, key).scalar().alias("duplicate_count"),
     )
 
 
-def quality_score(results: DataFrame) -> DataFrame:
-    """Mean share of passed checks in percent, and its colour; 0 without results."""
+def mean_score() -> Column:
+    """Mean share of passed checks in percent; 0 without results."""
     share = F.coalesce(F.try_divide(F.col("checks_passed"), F.col("checks_total")), F.lit(0.0))
-    score = F.coalesce(F.round(F.avg(share) * 100, 1), F.lit(0.0))
-    return results.agg(score.alias("quality_score")).withColumn("band", band(F.col("quality_score")))
+    return F.coalesce(F.round(F.avg(share) * 100, 1), F.lit(0.0))
+
+
+def quality_score(results: DataFrame) -> DataFrame:
+    """The score over all tables and its colour."""
+    return results.agg(mean_score().alias("quality_score")).withColumn("band", band(F.col("quality_score")))
 
 
 def band(score: Column) -> Column:

@@ -15,7 +15,11 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# Settings only a new session can take.
+AT_START = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",   # no stack capture per expression
 }
 
 _local_scratch: str | None = None
@@ -26,7 +30,8 @@ def build_session(app: str = "tessera", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    own = {k.replace("__", "."): v for k, v in conf.items()}
+    for key, value in {**AT_START, **RUNTIME, **own}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

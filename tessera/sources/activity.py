@@ -7,7 +7,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tessera.functions.activity import event_date
 from tessera.schema import (
-    ACTIVITY, LABELLED_ACTIVITY, PIPELINE_VERSION, RAW_ACTIVITY, RAW_GLOB, SLOT_MS,
+    ACTIVITY, LABELLED_ACTIVITY, NATURAL_KEY, PIPELINE_VERSION, RAW_ACTIVITY, RAW_GLOB, SLOT_MS,
 )
 
 _CORRUPT = "_corrupt_record"
@@ -90,33 +90,22 @@ def read_table_if_present(spark: SparkSession, path: str, fmt: str = "parquet")
         raise
 
 
-def _slot(slot_ms: int):
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    return ms - F.pmod(ms, F.lit(slot_ms).cast("bigint"))
-
-
-def _event_keys(squares: int, slot_ms: int):
-    return [
-        (F.col("user_id") % squares + 1).cast("int").alias("square_id"),
-        _slot(slot_ms).alias("time_interval"),
-        (F.col("user_id") % 7 + 39).cast("int").alias("country_code"),
-    ]
-
-
 def records_from_events(events: DataFrame, squares: int = 10_000, slot_ms: int = SLOT_MS) -> DataFrame:
     """One raw activity record per event; a projection, so no shuffle.
 
     Two events of a user in one slot give two records with the same key, which
     is what the deduplication of the silver layer is for.
     """
-    cells = [
-        F.when(F.col("event_type") == event, F.col("value")).alias(column)
-        for event, column in EVENT_COLUMNS.items()
-    ]
-    return events.select(*_event_keys(squares, slot_ms), *cells)
+    ms = "unix_millis(CAST(ts AS TIMESTAMP))"
+    return events.selectExpr(
+        f"CAST(user_id % {squares} + 1 AS INT) AS square_id",
+        f"{ms} - pmod({ms}, {slot_ms}L) AS time_interval",
+        "CAST(user_id % 7 + 39 AS INT) AS country_code",
+        *[f"CASE WHEN event_type = '{event}' THEN value END AS {c}" for event, c in EVENT_COLUMNS.items()],
+    )
 
 
 def activity_from_events(events: DataFrame, squares: int = 10_000, slot_ms: int = SLOT_MS) -> DataFrame:
     """Activity per (square, slot, country): one column per event type."""
     sums = [F.sum(c).alias(c) for c in ACTIVITY]
-    return records_from_events(events, squares, slot_ms).groupBy(*RAW_ACTIVITY.fieldNames()[:3]).agg(*sums)
+    return records_from_events(events, squares, slot_ms).groupBy(*NATURAL_KEY).agg(*sums)

@@ -1,36 +1,36 @@
-"""Table and document sinks. Row counts come from the write itself."""
+"""Table and document sinks. Counts of written rows come from the write itself."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
-def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
-    """Attach counters that fill while another action runs, instead of a second job."""
-    watch = Observation(name)
-    columns = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
-    return df.observe(watch, *columns), watch
-
-
 def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
-                sort_by: list[str] | None = None, fmt: str = "parquet", mode: str = "overwrite") -> int:
-    """Write a table and return its row count.
+                sort_by: list[str] | None = None, only_given_partitions: bool = False,
+                fmt: str = "parquet", **metrics: Column) -> dict[str, int]:
+    """Write a table; return its row count and any further ``metrics``.
+
+    The counters sit above every shuffle, in the tasks that write: only there does
+    Spark count each row once, even when a sort samples its input first or an
+    executor is lost and its work redone.
 
     ``partition_by``: rows are rebalanced on the partition column first, so each
-    partition gets few files while a partition holding much of the data is split
-    over several tasks. With dynamic overwrite only the dates present in ``df``
-    are replaced. ``sort_by`` gives a globally ordered table.
+    partition gets few files while one holding much of the data is split over
+    several tasks. ``only_given_partitions`` replaces just the partitions present
+    in ``df``, for reloading single days. ``sort_by`` gives a globally ordered table.
     """
-    watched, watch = observed(df, "rows_written")
     if partition_by:
-        watched = watched.hint("rebalance", F.col(partition_by))
+        df = df.hint("rebalance", F.col(partition_by))
     if sort_by:
-        watched = watched.orderBy(*sort_by)
-    writer = watched.write.format(fmt).mode(mode)
+        df = df.orderBy(*sort_by)
+    watch = Observation()
+    counters = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
+    writer = df.observe(watch, *counters).write.format(fmt).mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        scope = "dynamic" if only_given_partitions else "static"
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", scope)
     writer.save(path)
-    return int(watch.get["rows"])
+    return {name: int(value) for name, value in watch.get.items()}
 
 
 def write_documents(df: DataFrame, folder: str) -> None:
