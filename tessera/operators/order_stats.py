@@ -6,7 +6,7 @@ positions of the sorted column. Here a sketch brackets each position, counting
 around the bracket says where exactly it lies, and only the few values inside a
 bracket are sorted. The result is exact: where the sketch misses, or a bracket
 still holds too many rows, the search goes on inside the part that must hold the
-position.
+position. Columns are compared as doubles; NaN counts as null.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.functions.activity import known_sql, number_sql
 from tessera.session import materialize
 
-SORT_AT_MOST = 100_000   # rows one task may sort
+SORT_AT_MOST = 500_000   # values one task may sort: 4 MB
 GRID = 500               # sketch quantiles per pass
-ACCURACY = 10_000        # sketch rank error is 1/ACCURACY of the rows
+SKETCH_SIZE = 8192       # rank error below 0.1 %, half a grid step
 
 
 @dataclass(frozen=True)
@@ -31,37 +32,35 @@ class Sketch:
     grid: list[float]    # quantiles 0/GRID .. GRID/GRID
 
 
-def _sketch(data: DataFrame, value: str) -> Sketch:
-    probabilities = [i / GRID for i in range(GRID + 1)]
-    row = data.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(value).alias("known"),
-        F.percentile_approx(value, probabilities, ACCURACY).alias("grid"),
+def _sketch(data: DataFrame) -> Sketch:
+    ranks = ", ".join(number_sql(i / GRID) for i in range(GRID + 1))
+    row = data.selectExpr(
+        "count(1) AS rows", "count(v) AS known", f"kll_sketch_agg_double(v, {SKETCH_SIZE}) AS sketch"
+    ).selectExpr(
+        "rows", "known",
+        f"CASE WHEN known > 0 THEN kll_sketch_get_quantile_double(sketch, array({ranks})) END AS grid",
     ).first()
     return Sketch(row["rows"], row["known"], row["grid"] or [])
 
 
-def _sorted_lookup(data: DataFrame, value: str, positions: Iterable[int]) -> dict[int, float]:
+def _sorted_lookup(data: DataFrame, positions: set[int]) -> dict[int, float]:
     """Values at ``positions`` of at most SORT_AT_MOST rows."""
-    positions = list(positions)
-    counted = data.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    spans = counted.select(value, (upto - F.col("n")).alias("start"), upto.alias("stop"))
-    wanted = F.array(*[F.lit(p).cast("bigint") for p in positions])
-    hits = spans.select(
-        value,
-        F.filter(wanted, lambda p: (p >= F.col("start")) & (p < F.col("stop"))).alias("hit"),
-    ).where(F.size("hit") > 0)
-    return {p: row[value] for row in hits.collect() for p in row["hit"]}
-
-
-def _locate(data: DataFrame, value: str, positions: set[int], sketch: Sketch) -> dict[int, float]:
+    ordered = sorted(positions)
+    row = (
+        data.selectExpr("sort_array(collect_list(v)) AS a")
+        .selectExpr(*[f"a[{p}] AS p{i}" for i, p in enumerate(ordered)])
+        .first()
+    )
+    return dict(zip(ordered, row))
+
+
+def _locate(data: DataFrame, positions: set[int], sketch: Sketch) -> dict[int, float]:
+    """Values at ``positions`` of a column ``v`` without nulls."""
     if not positions:
         return {}
     if sketch.known <= SORT_AT_MOST:
-        return _sorted_lookup(data, value, positions)
+        return _sorted_lookup(data, positions)
 
-    v = F.col(value)
     brackets = {}
     for p in positions:
         step = p / max(sketch.known - 1, 1) * GRID
@@ -70,40 +69,25 @@ def _locate(data: DataFrame, value: str, positions: set[int], sketch: Sketch) ->
             sketch.grid[min(math.ceil(step) + 1, GRID)],
         )
     ordered = sorted(set(brackets.values()))
-    counts = data.agg(
-        *[
-            F.count_if(test).alias(f"{part}_{i}")
-            for i, (low, high) in enumerate(ordered)
-            for part, test in [
-                ("under", v < F.lit(low)),
-                ("low", v == F.lit(low)),
-                ("inside", (v > F.lit(low)) & (v < F.lit(high))),
-                ("high", (v == F.lit(high)) & (v > F.lit(low))),
-            ]
-        ]
-    ).first()
+    # The column cut at both ends of a bracket; each end is a part of its own.
+    parts = [
+        [f"v < {low}", f"v = {low}", f"v > {low} AND v < {high}", f"v = {high} AND v > {low}", f"v > {high}"]
+        for low, high in [(number_sql(a), number_sql(b)) for a, b in ordered]
+    ]
+    sizes = data.selectExpr(*[f"count_if({test})" for tests in parts for test in tests]).first()
 
     found: dict[int, float] = {}
     for i, (low, high) in enumerate(ordered):
-        under, at_low, inside, at_high = (counts[f"{part}_{i}"] for part in ("under", "low", "inside", "high"))
-        # The column cut at the bracket's ends; the ends themselves are single values.
-        parts = [
-            (under, None, v < F.lit(low)),
-            (at_low, low, None),
-            (inside, None, (v > F.lit(low)) & (v < F.lit(high))),
-            (at_high, high, None),
-            (sketch.known - under - at_low - inside - at_high, None, v > F.lit(high)),
-        ]
-        mine = {p for p in positions if brackets[p] == (low, high)}
+        singles = [None, low, None, high, None]
         start = 0
-        for size, single, test in parts:
-            here = {p for p in mine if start <= p < start + size}
+        for test, size, single in zip(parts[i], sizes[5 * i: 5 * i + 5], singles):
+            here = {p for p in positions if brackets[p] == (low, high) and start <= p < start + size}
             if here and single is not None:
                 found.update({p: single for p in here})
             elif here:
                 part = data.where(test)
-                inner = Sketch(size, size, []) if size <= SORT_AT_MOST else _sketch(part, value)
-                deeper = _locate(part, value, {p - start for p in here}, inner)
+                inner = Sketch(size, size, []) if size <= SORT_AT_MOST else _sketch(part)
+                deeper = _locate(part, {p - start for p in here}, inner)
                 found.update({p + start: x for p, x in deeper.items()})
             start += size
     return found
@@ -117,11 +101,11 @@ def order_statistics(df: DataFrame, value: str,
     values, the number of known values and the number of nulls. ``df`` is read a
     few times, so it should be a table or a cheap projection of one.
     """
-    column = df.select(value)
-    sketch = _sketch(column, value)
+    column = df.selectExpr(f"{known_sql(f'CAST({value} AS DOUBLE)')} AS v")
+    sketch = _sketch(column)
     nulls = sketch.rows - sketch.known
     wanted = {p for p in positions(sketch.known, nulls) if 0 <= p < sketch.known}
-    return _locate(column.where(F.col(value).isNotNull()), value, wanted, sketch), sketch.known, nulls
+    return _locate(column.where("v IS NOT NULL"), wanted, sketch), sketch.known, nulls
 
 
 def exact_percentiles(df: DataFrame, value: str, fractions: list[float]) -> list[float | None]:
@@ -173,10 +157,9 @@ def percent_rank_cutoffs(df: DataFrame, value: str, fractions: list[float]) -> l
     floors = {f: values[b - 1] for f, b in needed.items() if b and b <= known}
     above = {}
     if floors:
-        v = F.col(value)
-        names = {f: f"above_{i}" for i, f in enumerate(floors)}
-        row = df.agg(*[F.min(F.when(v > F.lit(floors[f]), v)).alias(names[f]) for f in floors]).first()
-        above = {f: row[names[f]] for f in floors}
+        v = known_sql(f"CAST({value} AS DOUBLE)")
+        least = [f"min(CASE WHEN {v} > {number_sql(x)} THEN {v} END)" for x in floors.values()]
+        above = dict(zip(floors, df.selectExpr(*least).first()))
     return [values[0] if needed[f] == 0 else above.get(f) for f in fractions]
 
 
