@@ -72,7 +72,8 @@ class Detector:
         squares = []
         for direction in self.unexplained:
             terms = [f"({z}) * {number_sql(w)}" for z, w in zip(unit, direction) if w != 0.0]
-            squares.append(f"power({' + '.join(terms)}, 2)")
+            along = " + ".join(terms)
+            squares.append(f"({along}) * ({along})")
         return F.expr(f"({' + '.join(squares)}) / {len(unit)}D" if squares else "0D")
 
     def parameters(self, spark: SparkSession) -> DataFrame:
@@ -121,10 +122,14 @@ def _moments(rows: DataFrame, pairs: bool) -> dict:
     measures = ["count(1) AS n"]
     for i, name in enumerate(FEATURES):
         measures += [f"avg({name}) AS mean_{i}", f"stddev_pop({name}) AS std_{i}"]
-    if pairs:
-        for i, j in combinations(range(len(FEATURES)), 2):
-            measures.append(f"covar_pop({FEATURES[i]}, {FEATURES[j]}) AS cov_{i}_{j}")
-    return x.selectExpr(*measures).first().asDict()
+    # Mean products rather than covar_pop: 21 of those would need more buffer
+    # fields than Spark generates code for (spark.sql.codegen.maxFields).
+    crossed = list(combinations(range(len(FEATURES)), 2)) if pairs else []
+    measures += [f"avg({FEATURES[i]} * {FEATURES[j]}) AS product_{i}_{j}" for i, j in crossed]
+    found = x.selectExpr(*measures).first().asDict()
+    for i, j in crossed if found["n"] else []:
+        found[f"cov_{i}_{j}"] = found.pop(f"product_{i}_{j}") - found[f"mean_{i}"] * found[f"mean_{j}"]
+    return found
 
 
 def _unexplained(moments: dict, scale: list[float], rank: int) -> list[list[float]]:

@@ -43,23 +43,33 @@ def _sketch(data: DataFrame) -> Sketch:
     return Sketch(row["rows"], row["known"], row["grid"] or [])
 
 
-def _sorted_lookup(data: DataFrame, positions: set[int]) -> dict[int, float]:
-    """Values at ``positions`` of at most SORT_AT_MOST rows."""
-    ordered = sorted(positions)
+def _sorted_lookup(data: DataFrame, parts: list[tuple[str, set[int]]]) -> list[dict[int, float]]:
+    """Values at positions inside each of several parts, found in one pass.
+
+    A part is a condition that at most SORT_AT_MOST rows meet.
+    """
+    wanted = [(i, p) for i, (_, positions) in enumerate(parts) for p in sorted(positions)]
+    any_part = " OR ".join(f"({test})" for test, _ in parts)
+    lists = [f"sort_array(filter(a, v -> {test})) AS a{i}" for i, (test, _) in enumerate(parts)]
     row = (
-        data.selectExpr("sort_array(collect_list(v)) AS a")
-        .selectExpr(*[f"a[{p}] AS p{i}" for i, p in enumerate(ordered)])
+        data.selectExpr(f"collect_list(CASE WHEN {any_part} THEN v END) AS a")
+        .selectExpr(*lists)
+        .selectExpr(*[f"a{i}[{p}] AS p{i}_{p}" for i, p in wanted])
         .first()
     )
-    return dict(zip(ordered, row))
+    return [{p: row[f"p{i}_{p}"] for p in positions} for i, (_, positions) in enumerate(parts)]
 
 
 def _locate(data: DataFrame, positions: set[int], sketch: Sketch) -> dict[int, float]:
-    """Values at ``positions`` of a column ``v`` without nulls."""
+    """Values at ``positions`` of the known values of column ``v``.
+
+    Parts are set apart by nulling the other values, not by filters: a filter
+    would be pushed below the projection that computes ``v`` and compute it again.
+    """
     if not positions:
         return {}
     if sketch.known <= SORT_AT_MOST:
-        return _sorted_lookup(data, positions)
+        return _sorted_lookup(data, [("true", positions)])[0]
 
     brackets = {}
     for p in positions:
@@ -77,6 +87,7 @@ def _locate(data: DataFrame, positions: set[int], sketch: Sketch) -> dict[int, f
     sizes = data.selectExpr(*[f"count_if({test})" for tests in parts for test in tests]).first()
 
     found: dict[int, float] = {}
+    small: list[tuple[str, set[int], int]] = []
     for i, (low, high) in enumerate(ordered):
         singles = [None, low, None, high, None]
         start = 0
@@ -84,12 +95,17 @@ def _locate(data: DataFrame, positions: set[int], sketch: Sketch) -> dict[int, f
             here = {p for p in positions if brackets[p] == (low, high) and start <= p < start + size}
             if here and single is not None:
                 found.update({p: single for p in here})
+            elif here and size <= SORT_AT_MOST:
+                small.append((test, {p - start for p in here}, start))
             elif here:
-                part = data.where(test)
-                inner = Sketch(size, size, []) if size <= SORT_AT_MOST else _sketch(part)
-                deeper = _locate(part, {p - start for p in here}, inner)
+                part = data.selectExpr(f"CASE WHEN {test} THEN v END AS v")
+                deeper = _locate(part, {p - start for p in here}, _sketch(part))
                 found.update({p + start: x for p, x in deeper.items()})
             start += size
+    if small:
+        values = _sorted_lookup(data, [(test, inside) for test, inside, _ in small])
+        for (_, _, start), inner in zip(small, values):
+            found.update({p + start: x for p, x in inner.items()})
     return found
 
 
@@ -105,7 +121,7 @@ def order_statistics(df: DataFrame, value: str,
     sketch = _sketch(column)
     nulls = sketch.rows - sketch.known
     wanted = {p for p in positions(sketch.known, nulls) if 0 <= p < sketch.known}
-    return _locate(column.where("v IS NOT NULL"), wanted, sketch), sketch.known, nulls
+    return _locate(column, wanted, sketch), sketch.known, nulls
 
 
 def exact_percentiles(df: DataFrame, value: str, fractions: list[float]) -> list[float | None]:
