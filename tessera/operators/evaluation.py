@@ -69,8 +69,11 @@ def inject_anomalies(records: DataFrame, rate: float = RATE, seed: int = 42) ->
 
 
 def labels_of(injected: DataFrame) -> DataFrame:
-    """One label per natural key; a key is anomalous if any of its rows is."""
-    return injected.groupBy(*NATURAL_KEY).agg(
+    """One label per anomalous natural key; a key is anomalous if any of its rows is.
+
+    Normal keys need no label, so only the anomalous share is shuffled.
+    """
+    return injected.where("is_anomaly_injected").groupBy(*NATURAL_KEY).agg(
         F.max("is_anomaly_injected").alias("is_anomaly_injected"),
         F.max("anomaly_type").alias("anomaly_type"),
     )

@@ -141,7 +141,7 @@ def anomaly_type_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def anomaly_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluation.labels_of(injected(spark, sf)).where("is_anomaly_injected")
+    return evaluation.labels_of(injected(spark, sf))
 
 
 @query
@@ -381,7 +381,7 @@ def top_internet_spikes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    top = detector.top_anomalies(zscores(spark, sf))
+    top = detector.top_anomalies(materialize(zscores(spark, sf), "scores"))
     return rounded(top, 6, ["reconstruction_error"]).select(
         *NATURAL_KEY, "reconstruction_error", "anomaly_type_predicted")
 
