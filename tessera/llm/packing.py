@@ -5,8 +5,8 @@
    program: configurations are multisets of lengths that fit one sequence, and few
    of them shall cover every length as often as it occurs. Multiplicative weights
    price the lengths, a knapsack dynamic program finds the best configuration.
-3. The fractional answer is rounded down; what remains is filled by knapsack at the
-   final prices, longest length first, each configuration as often as it fits.
+3. The fractional answer is rounded down; what remains is filled by knapsack at prices
+   equal to room, longest length first, each configuration as often as it fits.
 4. Every piece finds its place from its rank among the pieces of its length.
 
 Steps 2 and 3 handle counts only: their work does not grow with the pieces.
@@ -29,7 +29,8 @@ from tessera.session import materialize
 CAPACITY = 1024
 END = 2                 # token closing each document
 ROUNDS = 400            # of multiplicative weights
-STEP = 0.25             # of the weights, scaled down over the rounds
+STEP = 0.02             # of the logarithm of a price, for a length covered once
+FEE = 0.05              # price of a piece beside its room
 CACHED_WORDS = 300_000  # pre-tokens whose ids a task remembers
 
 # Fixed value: the published pre-token pattern of the byte-level vocabulary.
@@ -133,17 +134,18 @@ def contents(taken: np.ndarray, room: int) -> dict[int, int]:
     return config
 
 
-def fractional(demand: np.ndarray, capacity: int, rounds: int) -> tuple[list[tuple[dict, float]], np.ndarray]:
-    """Configurations with (fractional) numbers of uses, and the final prices.
+def fractional(demand: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict, float]]:
+    """Configurations with (fractional) numbers of uses.
 
     Each round uses the configuration of most value; a length's price falls with
-    the share of its demand covered so far. Uses are scaled to an average cover of 1.
+    the share of its demand covered so far.
     """
     lengths = np.flatnonzero(demand)
     cover = np.zeros(capacity + 1)
-    # Prices start at the room a length takes.
+    # Prices start at the room a length takes, less a fee for each piece: of equally full
+    # configurations one of few, long pieces is taken, and short ones stay to fill gaps.
     log_price = np.full(capacity + 1, -np.inf)
-    log_price[lengths] = np.log(lengths / capacity)
+    log_price[lengths] = np.log((lengths - FEE) / capacity)
     uses: dict[tuple, float] = {}
     for k in range(rounds):
         prices = np.exp(log_price - log_price[lengths].max())
@@ -157,9 +159,9 @@ def fractional(demand: np.ndarray, capacity: int, rounds: int) -> tuple[list[tup
             gain = c * often / demand[l]
             cover[l] += gain
             log_price[l] -= STEP * gain
-    # Covers differ by length; what is scaled too high is clipped, the rest comes again.
-    scale = max(1.0, float(np.average(cover[lengths], weights=demand[lengths] * lengths)))
-    return [(dict(key), count / scale) for key, count in uses.items()], np.exp(log_price - log_price[lengths].max())
+    # Scaled to cover no length more often than it occurs: rounding down then holds.
+    scale = float(cover[lengths].max())
+    return [(dict(key), count / scale) for key, count in uses.items()]
 
 
 def plan(demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
@@ -177,15 +179,12 @@ def plan(demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
     use({capacity: 1}, full)
     if not left.any():
         return out
-    # The program is solved again for what the last rounding left, while that shrinks well.
-    prices = np.arange(capacity + 1) / capacity
-    while left.sum() > 4 * capacity:
-        before = left.sum()
-        solved, prices = fractional(left, capacity, rounds)
-        for config, often in sorted(solved, key=lambda x: -x[1]):
-            use(config, min([int(often), *(int(left[l]) // c for l, c in config.items())]))
-        if left.sum() > 0.5 * before:
-            break
+    # A length's room is a price vector no packing can beat (total room / capacity), so only
+    # full configurations can belong to the best answer: those of the program are used,
+    # the demand of the others is filled below.
+    for config, often in fractional(left, capacity, rounds):
+        if sum(l * c for l, c in config.items()) == capacity:
+            use(config, int(often))
     while left.any():
         use(*_next(left, capacity))
     return out
@@ -202,8 +201,7 @@ def _next(left: np.ndarray, capacity: int) -> tuple[dict[int, int], int]:
     room = capacity - longest
     prices = np.where(left > 0, np.arange(len(left)), 0).astype(float)
     prices[longest] = longest if left[longest] > 1 else 0
-    # Of equally full completions the one with few, long pieces: a small fee for each.
-    prices[prices > 0] -= 1e-4
+    prices[prices > 0] -= FEE
     if room:
         _, taken = knapsack(prices[:room + 1], room)
         for length, count in sorted(contents(taken, room).items(), reverse=True):

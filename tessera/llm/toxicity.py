@@ -30,6 +30,7 @@ LEAST_G = 20.0          # a G statistic below this may be chance
 EDGES = range(2, 9)     # characters of word beginnings and ends
 L2, STEPS, RATE = 1.0, 250, 0.5
 REJECT = 0.5            # expected severity from which a document goes
+TASKS = 48              # tasks that work on the sample
 CACHED_WORDS = 400_000  # words whose features a task remembers
 
 RESULT = "severity double, at_least array<double>, grade int"
@@ -59,7 +60,8 @@ def sample(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text:
     chosen = grades(labels).orderBy(F.xxhash64("id"), "id").limit(size)
     rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
             .join(F.broadcast(chosen), "id").where("text IS NOT NULL"))
-    return materialize(rows.groupBy("text").agg(F.max("grade").alias("grade")), "toxicity-sample")
+    distinct = rows.groupBy("text").agg(F.max("grade").alias("grade"))
+    return materialize(distinct.repartition(TASKS), "toxicity-sample")
 
 
 def _count():
