@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, packing, toxicity
+from tessera.llm import decontaminate, packing, simhash, toxicity
 from tessera.llm.common import fresh, prepare, table
 from tessera.llm.queries import tokenizer_path
 from tessera.session import materialize
@@ -20,6 +20,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rated.where(~toxicity.toxic(name)).drop(name)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return simhash.keep_one(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too much of the benchmark go."""
     name = fresh(docs, "contamination")
@@ -33,6 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("simhash_dedup", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("best_fit_packing", pack),
 ]
