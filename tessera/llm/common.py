@@ -25,6 +25,7 @@ ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")      # of intermediate tables
     return spark
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, html_text, licenses, packing, simhash, toxicity
+from tessera.llm import decontaminate, html_text, licenses, packing, simhash, substrings, toxicity
 from tessera.llm.common import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("found.labels", ",").alias("labels"), "found.score")
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf, "documents"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Expected severity of every document; ``toxic`` documents are the rejected ones."""
