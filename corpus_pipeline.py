@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, packing, simhash, toxicity
+from tessera.llm import decontaminate, packing, secrets, simhash, toxicity
 from tessera.llm.common import fresh, prepare, table
 from tessera.llm.queries import tokenizer_path
 from tessera.session import materialize
@@ -32,6 +32,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return marked.where(~decontaminate.contaminated(name)).drop(name)
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text are replaced."""
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
@@ -40,6 +45,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("simhash_dedup", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
     ("best_fit_packing", pack),
 ]
 

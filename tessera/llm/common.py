@@ -98,7 +98,8 @@ def gapless(df: DataFrame, group: list[str], order: list[str], number: str,
     Rows are dealt to chunks by a hash of ``order`` (which should identify a row;
     equal rows meet in one chunk), numbered inside their chunk, and moved up by
     the rows of the chunks before. The chunk count follows the row count, so a
-    group with a third of all rows is spread over as many tasks as it needs.
+    group with a third of all rows is spread over as many tasks as it needs. Columns
+    of ``group`` hold no nulls.
     """
     chunk, before, inside = (fresh(df, c) for c in ("chunk", "before", "inside"))
     chunks = max(1, -(-df.count() // chunk_rows))
@@ -108,11 +109,8 @@ def gapless(df: DataFrame, group: list[str], order: list[str], number: str,
                .select(*group, chunk, (F.sum("count").over(ahead) - F.col("count")).alias(before)))
     rows = dealt.withColumn(inside, F.row_number().over(
         Window.partitionBy(*group, chunk).orderBy(*order)) - 1)
-    left, right = rows.alias("l"), offsets.alias("r")
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, chunk]]
-    return left.join(right, same).select(
-        *(F.col(f"l.{c}") for c in df.columns),
-        (F.col(f"l.{inside}") + F.col(f"r.{before}")).cast("long").alias(number))
+    return rows.join(offsets, [*group, chunk]).select(
+        *df.columns, (F.col(inside) + F.col(before)).cast("long").alias(number))
 
 
 def sha256_hex(value: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, html_text, licenses, packing, simhash, substrings, toxicity
+from tessera.llm import decontaminate, html_text, kdshards, licenses, packing, secrets, simhash, substrings, toxicity
 from tessera.llm.common import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,13 @@ def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf, "documents"))
 
 
+@query
+def op5_kd_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return kdshards.shard(table(spark, sf, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Expected severity of every document; ``toxic`` documents are the rejected ones."""
@@ -69,6 +76,15 @@ def op8_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "url", "found.text", "found.n_chars")
 
 
+@query
+def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf, "documents"), ["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda x: x.kind == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        sha256_hex(secrets.listed("base")).alias("base_sha256"), secrets.listed("spans").alias("spans"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer_path())
