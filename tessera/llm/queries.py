@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, html_text, kdshards, licenses, packing, secrets, simhash, substrings, toxicity
+from tessera.llm import decontaminate, html_text, kdsearch, kdshards, licenses, packing, secrets, simhash, substrings, toxicity
 from tessera.llm.common import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op1_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op2_topk_search(spark: SparkSession, sf: str) -> DataFrame:
+    return kdsearch.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
