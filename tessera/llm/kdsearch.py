@@ -57,7 +57,7 @@ class Tree:
             if parent >= 0:
                 left, right = self.children[parent]
                 self.children[parent] = (node, right) if side == 0 else (left, node)
-            if b - a <= leaf:
+            if b - a <= leaf or not points.shape[1]:
                 continue
             own = points[order[a:b]]
             widest = int((own.max(0) - own.min(0)).argmax())
@@ -119,7 +119,7 @@ def search_cell(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFra
         tree = Tree(rows["vec_id"].to_numpy(), points)
         bounds = tree.bounds(asked)
         scores, ids = queries["kth_score"], queries["kth_id"]
-        for i, query_id in enumerate(queries["vec_id"]):
+        for i, query_id in enumerate(queries["query_id"]):
             known = None if pd.isna(scores.iloc[i]) else (int(scores.iloc[i]), int(ids.iloc[i]))
             out += [(query_id, vec, score) for score, vec in tree.search(query_id, asked[i], bounds[i], k, known)]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
@@ -155,7 +155,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, *, shard_rows: int =
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
     stored = rows.select("vec_id", "x", dim, shard.alias("shard"))
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("x").alias("x")).select(
-        "vec_id", "x", dim, shard.alias("home"), block.alias("block"))
+        F.col("vec_id").alias("query_id"), "x", dim, shard.alias("home"), block.alias("block"))
     # Every shard once for each block of queries: the stated query set against all rows, in blocks.
     every_block = stored.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
@@ -170,9 +170,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, *, shard_rows: int =
     if shards > 1:
         kth = (hits.groupBy("query_id").agg(F.count("*").alias("n"), F.min(F.struct(
             "score", (-F.col("vec_id")).alias("below"))).alias("worst"))
-            .where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("worst.score").alias("kth_score"),
+            .where(F.col("n") >= k).select("query_id", F.col("worst.score").alias("kth_score"),
                                            (-F.col("worst.below")).alias("kth_id")))
-        away = (asked.join(kth, "vec_id", "left")
+        away = (asked.join(kth, "query_id", "left")
                 .select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
                 .where("shard <> home"))
         hits = hits.unionByName(search(away))
