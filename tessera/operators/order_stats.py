@@ -2,11 +2,13 @@
 
 ``percentile`` keeps every distinct value of a group in one task, and an
 unpartitioned ``percent_rank`` sorts everything in one. Both need only a few
-positions of the sorted column. Here a sketch brackets each position, counting
-around the bracket says where exactly it lies, and only the few values inside a
-bracket are sorted. The result is exact: where the sketch misses, or a bracket
-still holds too many rows, the search goes on inside the part that must hold the
-position. Columns are compared as doubles; NaN counts as null.
+positions of the sorted column. Here a sketch proposes values closely around every
+wanted position, and one aggregation counts the rows below, at and between them,
+which says exactly where each position lies: at a proposed value, or in a gap of
+few rows. The rows of the gaps are written once and searched the same way. Each
+level is two scans, however many positions are wanted, and leaves some thousandths
+of the rows; there is no other path for small or large inputs. Columns are compared
+as doubles; NaN counts as null.
 """
 
 from __future__ import annotations
@@ -20,92 +22,77 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tessera.functions.activity import known_sql, number_sql
 from tessera.session import materialize
 
-SORT_AT_MOST = 500_000   # values one task may sort: 4 MB
-GRID = 500               # sketch quantiles per pass
-SKETCH_SIZE = 8192       # rank error below 0.1 %, half a grid step
+SKETCH_SIZE = 8192       # rank error below 0.1 %
+MARGIN = 0.002           # of ranks, on both sides of a wanted position
 
 
 @dataclass(frozen=True)
-class Sketch:
-    rows: int            # all rows
-    known: int           # rows with a value
-    grid: list[float]    # quantiles 0/GRID .. GRID/GRID
+class Part:
+    """Rows of the column among which positions are wanted."""
 
+    test: str            # which rows
+    start: int           # known values before them
+    rows: int
+    positions: frozenset[int]       # in the whole column
+    sketch: bytes
 
-def _sketch(data: DataFrame) -> Sketch:
-    ranks = ", ".join(number_sql(i / GRID) for i in range(GRID + 1))
-    row = data.selectExpr(
-        "count(1) AS rows", "count(v) AS known", f"kll_sketch_agg_double(v, {SKETCH_SIZE}) AS sketch"
-    ).selectExpr(
-        "rows", "known",
-        f"CASE WHEN known > 0 THEN kll_sketch_get_quantile_double(sketch, array({ranks})) END AS grid",
-    ).first()
-    return Sketch(row["rows"], row["known"], row["grid"] or [])
 
+def _scan(data: DataFrame, columns: list[str]):
+    """One aggregation over ``data``."""
+    return data.selectExpr(*columns).first()
 
-def _sorted_lookup(data: DataFrame, parts: list[tuple[str, set[int]]]) -> list[dict[int, float]]:
-    """Values at positions inside each of several parts, found in one pass.
 
-    A part is a condition that at most SORT_AT_MOST rows meet.
-    """
-    wanted = [(i, p) for i, (_, positions) in enumerate(parts) for p in sorted(positions)]
-    any_part = " OR ".join(f"({test})" for test, _ in parts)
-    lists = [f"sort_array(filter(a, v -> {test})) AS a{i}" for i, (test, _) in enumerate(parts)]
-    row = (
-        data.selectExpr(f"collect_list(CASE WHEN {any_part} THEN v END) AS a")
-        .selectExpr(*lists)
-        .selectExpr(*[f"a{i}[{p}] AS p{i}_{p}" for i, p in wanted])
-        .first()
-    )
-    return [{p: row[f"p{i}_{p}"] for p in positions} for i, (_, positions) in enumerate(parts)]
+def _sketch_sql(test: str) -> str:
+    return f"kll_sketch_agg_double(CASE WHEN {test} THEN v END, {SKETCH_SIZE})"
 
 
-def _locate(data: DataFrame, positions: set[int], sketch: Sketch) -> dict[int, float]:
-    """Values at ``positions`` of the known values of column ``v``.
+def _proposals(data: DataFrame, parts: list[Part]) -> list[list[float]]:
+    """Distinct values in order, around and at each wanted position, for every part."""
+    columns = []
+    for i, part in enumerate(parts):
+        middles = [(p - part.start + 0.5) / part.rows for p in part.positions]
+        ranks = sorted({min(max(m + side, 0.0), 1.0) for m in middles for side in (-MARGIN, 0.0, MARGIN)})
+        listed = ", ".join(number_sql(r) for r in ranks)
+        columns.append(F.expr(f"kll_sketch_get_quantile_double(X'{bytes(part.sketch).hex()}', array({listed}))")
+                       .alias(f"q{i}"))
+    row = data.sparkSession.range(1).select(*columns).first()
+    return [sorted(set(row[f"q{i}"])) for i in range(len(parts))]
+
+
+def _pieces(part: Part, values: list[float]) -> list[tuple[str, float | None]]:
+    """The part cut at the proposed values: conditions, and the value where there is only one."""
+    at = [number_sql(v) for v in values]
+    pieces: list[tuple[str, float | None]] = [(f"v < {at[0]}", None)]
+    for i, v in enumerate(values):
+        pieces.append((f"v = {at[i]}", v))
+        above = f" AND v < {at[i + 1]}" if i + 1 < len(at) else ""
+        pieces.append((f"v > {at[i]}{above}", None))
+    return [(f"{part.test} AND {test}", v) for test, v in pieces]
 
-    Parts are set apart by nulling the other values, not by filters: a filter
-    would be pushed below the projection that computes ``v`` and compute it again.
-    """
-    if not positions:
-        return {}
-    if sketch.known <= SORT_AT_MOST:
-        return _sorted_lookup(data, [("true", positions)])[0]
-
-    brackets = {}
-    for p in positions:
-        step = p / max(sketch.known - 1, 1) * GRID
-        brackets[p] = (
-            sketch.grid[max(math.floor(step) - 1, 0)],
-            sketch.grid[min(math.ceil(step) + 1, GRID)],
-        )
-    ordered = sorted(set(brackets.values()))
-    # The column cut at both ends of a bracket; each end is a part of its own.
-    parts = [
-        [f"v < {low}", f"v = {low}", f"v > {low} AND v < {high}", f"v = {high} AND v > {low}", f"v > {high}"]
-        for low, high in [(number_sql(a), number_sql(b)) for a, b in ordered]
-    ]
-    sizes = data.selectExpr(*[f"count_if({test})" for tests in parts for test in tests]).first()
 
+def _locate(data: DataFrame, parts: list[Part]) -> dict[int, float]:
+    """Values at the wanted positions of all parts of column ``v``."""
     found: dict[int, float] = {}
-    small: list[tuple[str, set[int], int]] = []
-    for i, (low, high) in enumerate(ordered):
-        singles = [None, low, None, high, None]
-        start = 0
-        for test, size, single in zip(parts[i], sizes[5 * i: 5 * i + 5], singles):
-            here = {p for p in positions if brackets[p] == (low, high) and start <= p < start + size}
-            if here and single is not None:
-                found.update({p: single for p in here})
-            elif here and size <= SORT_AT_MOST:
-                small.append((test, {p - start for p in here}, start))
-            elif here:
-                part = data.selectExpr(f"CASE WHEN {test} THEN v END AS v")
-                deeper = _locate(part, {p - start for p in here}, _sketch(part))
-                found.update({p + start: x for p, x in deeper.items()})
-            start += size
-    if small:
-        values = _sorted_lookup(data, [(test, inside) for test, inside, _ in small])
-        for (_, _, start), inner in zip(small, values):
-            found.update({p + start: x for p, x in inner.items()})
+    while parts:
+        pieces = [_pieces(part, values) for part, values in zip(parts, _proposals(data, parts))]
+        sizes = iter(_scan(data, [f"count_if({test})" for own in pieces for test, _ in own]))
+        gaps = []
+        for part, own in zip(parts, pieces):
+            start = part.start
+            for test, value in own:
+                size = next(sizes)
+                here = frozenset(p for p in part.positions if start <= p < start + size)
+                if value is not None:
+                    found.update(dict.fromkeys(here, value))
+                elif here:
+                    gaps.append((test, start, size, here))
+                start += size
+        if not gaps:
+            break
+        # Only these rows are read again.
+        data = materialize(data.where(" OR ".join(f"({test})" for test, *_ in gaps)), "gaps")
+        sketches = _scan(data, [_sketch_sql(test) for test, *_ in gaps])
+        parts = [Part(*gap, sketch) for gap, sketch in zip(gaps, sketches)]
     return found
 
 
@@ -114,14 +101,14 @@ def order_statistics(df: DataFrame, value: str,
     """Values at chosen 0-based positions of the sorted column, nulls left out.
 
     ``positions(known, nulls)`` names them once the counts are known. Returns the
-    values, the number of known values and the number of nulls. ``df`` is read a
-    few times, so it should be a table or a cheap projection of one.
+    values, the number of known values and the number of nulls. ``df`` is read
+    twice, so it should be a table or a cheap projection of one.
     """
     column = df.selectExpr(f"{known_sql(f'CAST({value} AS DOUBLE)')} AS v")
-    sketch = _sketch(column)
-    nulls = sketch.rows - sketch.known
-    wanted = {p for p in positions(sketch.known, nulls) if 0 <= p < sketch.known}
-    return _locate(column, wanted, sketch), sketch.known, nulls
+    rows, known, sketch = _scan(column, ["count(1)", "count(v)", _sketch_sql("v IS NOT NULL")])
+    wanted = frozenset(p for p in positions(known, rows - known) if 0 <= p < known)
+    parts = [Part("v IS NOT NULL", 0, known, wanted, sketch)] if wanted else []
+    return _locate(column, parts), known, rows - known
 
 
 def exact_percentiles(df: DataFrame, value: str, fractions: list[float]) -> list[float | None]:

@@ -21,27 +21,32 @@ def samples():
 
 
 @pytest.mark.parametrize("name", samples())
-@pytest.mark.parametrize("limit", [200, 500_000])
-def test_percentiles_equal_numpy(spark, monkeypatch, name, limit):
+@pytest.mark.parametrize("size", [64, 8192])
+def test_percentiles_equal_numpy(spark, monkeypatch, name, size):
     values = samples()[name]
-    monkeypatch.setattr(o, "SORT_AT_MOST", limit)
+    monkeypatch.setattr(o, "SKETCH_SIZE", size)
     fractions = [0.0, 0.05, 1 / 3, 0.5, 0.95, 0.99, 1.0]
     got = o.exact_percentiles(frame(spark, values), "x", fractions)
     assert got == pytest.approx(list(np.percentile(values, [f * 100 for f in fractions])), abs=1e-9)
 
 
-def test_a_useless_sketch_still_gives_exact_values(spark, monkeypatch):
-    values = samples()["spread"]
-    monkeypatch.setattr(o, "SORT_AT_MOST", 50)
-    honest, calls = o._sketch, []
+def test_scans_do_not_depend_on_the_number_of_cuts(spark, monkeypatch):
+    honest, scans = o._scan, []
 
-    def wrong_at_first(data):
-        sketch = honest(data)
-        calls.append(1)
-        return o.Sketch(sketch.rows, sketch.known, [1e6] * len(sketch.grid)) if len(calls) == 1 else sketch
+    def counted(data, columns):
+        scans.append(len(columns))
+        return honest(data, columns)
 
-    monkeypatch.setattr(o, "_sketch", wrong_at_first)
-    assert o.exact_percentiles(frame(spark, values), "x", [0.5])[0] == pytest.approx(np.median(values))
+    monkeypatch.setattr(o, "_scan", counted)
+    monkeypatch.setattr(o, "SKETCH_SIZE", 64)
+    df = frame(spark, samples()["spread"])
+    used = []
+    for fractions in ([0.5], [0.01, 0.2, 0.4, 0.6, 0.8, 0.99]):
+        scans.clear()
+        got = o.exact_percentiles(df, "x", fractions)
+        assert got == pytest.approx(list(np.percentile(samples()["spread"], [f * 100 for f in fractions])))
+        used.append(len(scans))
+    assert max(used) <= 8 and abs(used[0] - used[1]) <= 2
 
 
 def test_unknown_values(spark):
@@ -51,9 +56,7 @@ def test_unknown_values(spark):
 
 
 @pytest.mark.parametrize("name", samples())
-@pytest.mark.parametrize("limit", [200, 500_000])
-def test_tiers_equal_the_window(spark, monkeypatch, name, limit):
-    monkeypatch.setattr(o, "SORT_AT_MOST", limit)
+def test_tiers_equal_the_window(spark, name):
     df = frame(spark, samples()[name]).withColumn("x", F.round("x", 2))
     rank = F.percent_rank().over(Window.orderBy("x"))
     want = df.withColumn("r", rank).select(
