@@ -15,13 +15,11 @@ def draw_sql(digest: str, lane: int) -> str:
     return f"CAST(conv(substring({digest}, {lane * 8 + 1}, 8), 16, 10) AS BIGINT)"
 
 
-def hash_sample(df: DataFrame, fraction: float, keys: list[str], seed: int = 42,
-                max_rows: int | None = None) -> DataFrame:
+def hash_sample(df: DataFrame, fraction: float, keys: list[str], seed: int = 42) -> DataFrame:
     """Bernoulli sample by key hash.
 
     Unlike ``DataFrame.sample`` the choice does not depend on how the rows are
     split into partitions, so a retried task or a re-read picks the same rows.
     """
     number = draw_sql(key_digest_sql(keys, f"sample-{seed}"), 0)
-    picked = df.where(f"{number} % 1000000 < {int(round(fraction * 1_000_000))}")
-    return picked if max_rows is None else picked.limit(max_rows)
+    return df.where(f"{number} % 1000000 < {int(round(fraction * 1_000_000))}")

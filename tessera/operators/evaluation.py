@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.functions.hashing import draw_sql, key_digest_sql
 from tessera.schema import ACTIVITY, NATURAL_KEY, SLOT_MS
@@ -105,27 +105,32 @@ def confusion_matrix(evaluated: DataFrame) -> DataFrame:
 
 
 def classification_report(evaluated: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support of both classes; 0 where undefined."""
-    m = confusion_matrix(evaluated)
-    sides = F.array(
-        F.struct(
-            F.lit("anomaly").alias("class"), F.col("true_positive").alias("hit"),
-            F.col("false_positive").alias("wrong"), F.col("false_negative").alias("missed"),
-        ),
-        F.struct(
-            F.lit("normal").alias("class"), F.col("true_negative").alias("hit"),
-            F.col("false_negative").alias("wrong"), F.col("false_positive").alias("missed"),
-        ),
-    )
+    """Precision, recall, F1 and support of both classes and their averages; 0 where undefined.
+
+    Row ``accuracy`` holds the accuracy in all three columns; ``macro avg`` is the plain mean
+    of the classes, ``weighted avg`` the mean by support.
+    """
     ratio = lambda part, whole: F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(0.0))
-    hit, wrong, missed = F.col("hit"), F.col("wrong"), F.col("missed")
-    return m.select(F.inline(sides)).select(
-        "class",
-        ratio(hit, hit + wrong).alias("precision"),
-        ratio(hit, hit + missed).alias("recall"),
-        ratio(hit * 2, hit * 2 + wrong + missed).alias("f1"),
-        (hit + missed).alias("support"),
-    )
+
+    def side(name: str, hit: Column, wrong: Column, missed: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("class"), ratio(hit, hit + wrong).alias("precision"),
+            ratio(hit, hit + missed).alias("recall"), ratio(hit * 2, hit * 2 + wrong + missed).alias("f1"),
+            (hit + missed).alias("support"))
+
+    tp, fp, fn, tn = (F.col(c) for c in ("true_positive", "false_positive", "false_negative", "true_negative"))
+    sides = confusion_matrix(evaluated).select(
+        side("anomaly", tp, fp, fn).alias("a"), side("normal", tn, fn, fp).alias("n"),
+        ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"))
+    total = F.col("a.support") + F.col("n.support")
+    scores = ["precision", "recall", "f1"]
+    macro = lambda c: (F.col(f"a.{c}") + F.col(f"n.{c}")) / 2
+    weighted = lambda c: ratio(F.col(f"a.{c}") * F.col("a.support") + F.col(f"n.{c}") * F.col("n.support"), total)
+    row = lambda name, score: F.struct(
+        F.lit(name).alias("class"), *(score(c).alias(c) for c in scores), total.alias("support"))
+    return sides.select(F.inline(F.array(
+        F.col("a"), F.col("n"), row("accuracy", lambda c: F.col("accuracy")), row("macro avg", macro),
+        row("weighted avg", weighted))))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -133,24 +138,30 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
-    """Equal-width bins from the least to the greatest value; the last bin is closed.
+    """Equal-width bins 1 .. ``bins`` over the finite values; the last bin is closed, empty bins are listed.
 
+    Values that are no finite numbers are counted in rows of their own, without edges:
+    bin -1 for NaN, 0 for minus infinity, ``bins`` + 1 for infinity. Nulls do not count.
+    One value alone gets a range of one around it; without finite values there are no bins.
     Two passes: the range, then one row per bin and map task into the shuffle.
-    Bins without rows are not listed.
     """
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    v = F.col(value)
-    if low is None or low == high:
-        number = F.when(v.isNotNull(), 1)
-        width = 0.0
-    else:
-        width = (high - low) / bins
-        # The upper end belongs to the last bin, as in the usual plotting rule.
-        number = F.least(F.floor((v - F.lit(low)) / F.lit(width)) + 1, F.lit(bins))
+    v = F.col(value).cast("double")
+    limit = F.lit(float("inf"))
+    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < limit)
+    low, high = df.agg(F.min(F.when(finite, v)), F.max(F.when(finite, v))).first()
+    known = low is not None
+    if known and low == high:
+        low, high = low - 0.5, high + 0.5
+    width = (high - low) / bins if known else 1.0
+    # The upper end belongs to the last bin, as in the usual plotting rule.
+    inside = F.least(F.floor((v - F.lit(low if known else 0.0)) / F.lit(width)) + 1, F.lit(bins))
+    number = F.when(F.isnan(v), -1).when(v == -limit, 0).when(v == limit, bins + 1).otherwise(inside)
+    counted = df.where(v.isNotNull()).groupBy(number.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     start = F.lit(low) + (F.col("bin") - 1) * F.lit(width)
-    return (
-        df.where(v.isNotNull())
-        .groupBy(number.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select("bin", start.alias("bin_start"), (start + F.lit(width)).alias("bin_end"), "count")
-    )
+    every = df.sparkSession.range(1, bins + 1 if known else 1).select(F.col("id").cast("int").alias("bin"))
+    listed = every.join(counted, "bin", "left").select(
+        "bin", start.alias("bin_start"), (start + F.lit(width)).alias("bin_end"),
+        F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+    none = F.lit(None).cast("double")
+    return listed.unionByName(counted.where(~F.col("bin").between(1, bins)).select(
+        "bin", none.alias("bin_start"), none.alias("bin_end"), "count"))

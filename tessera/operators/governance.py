@@ -34,28 +34,41 @@ def batch_history(tables: DataFrame) -> DataFrame:
     return tables.groupBy("layer", "table", "batch_id").agg(F.sum(rows).alias("rows"))
 
 
-def lineage_flow(tables: DataFrame, max_depth: int = 4) -> DataFrame:
-    """Longest chains source -> ... -> target over the recorded writes."""
+def lineage_flow(tables: DataFrame) -> DataFrame:
+    """All chains source -> ... -> target over the recorded writes, of any length.
+
+    A chain starts at a table nothing writes to and ends at one nothing is made from,
+    or, with ``cycle`` true, at the first table that it meets again. Tables that no
+    chain reaches lie on circles without an entrance; the least of them starts one.
+    Lineage has a row for each table and run, so these frames stay small.
+    """
     edges = tables.select("source", "target").where("source is not null and target is not null").distinct()
-    targets = edges.select(F.col("target").alias("source")).distinct()
-    open_chains = edges.join(targets, "source", "left_anti").select(
-        F.col("source").alias("origin"), F.col("target").alias("final"),
-        F.concat_ws(" > ", "source", "target").alias("flow"), F.lit(1).alias("steps"),
-    )
-    sources = edges.select(F.col("source").alias("final")).distinct()
-    finished = []
-    for depth in range(1, max_depth + 1):
-        last = depth == max_depth
-        finished.append(open_chains if last else open_chains.join(sources, "final", "left_anti"))
-        if last:
-            break
-        step = edges.select(F.col("source").alias("final"), F.col("target").alias("_next"))
-        open_chains = open_chains.join(step, "final").select(
-            "origin", F.col("_next").alias("final"),
-            F.concat_ws(" > ", "flow", "_next").alias("flow"), (F.col("steps") + 1).alias("steps"),
-        )
-    columns = ["origin", "final", "flow", "steps"]
-    return reduce(DataFrame.unionByName, [f.select(*columns) for f in finished])
+    step = edges.select(F.col("source").alias("final"), F.col("target").alias("_next"))
+    written = edges.select(F.col("target").alias("source")).distinct()
+    starts = edges.select("source").distinct().join(written, "source", "left_anti")
+    columns = ["origin", "final", "flow", "steps", "cycle"]
+    finished = None
+    while True:
+        chains = starts.select(
+            F.col("source").alias("origin"), F.col("source").alias("final"), F.col("source").alias("flow"),
+            F.lit(0).alias("steps"), F.lit(False).alias("cycle"), F.array("source").alias("_path"))
+        met = []
+        while not chains.isEmpty():
+            grown = chains.where("NOT cycle").join(step, "final", "left")
+            ended = chains.where("cycle").unionByName(
+                grown.where("_next IS NULL").select(*chains.columns))
+            met.append(ended.where("steps > 0"))
+            chains = grown.where("_next IS NOT NULL").select(
+                "origin", F.col("_next").alias("final"), F.concat_ws(" > ", "flow", "_next").alias("flow"),
+                (F.col("steps") + 1).alias("steps"), F.array_contains("_path", F.col("_next")).alias("cycle"),
+                F.array_append("_path", F.col("_next")).alias("_path"))
+        found = reduce(DataFrame.unionByName, met) if met else chains
+        finished = found if finished is None else finished.unionByName(found)
+        reached = finished.select(F.explode("_path").alias("source")).distinct()
+        starts = edges.select("source").join(reached, "source", "left_anti").agg(F.min("source").alias("source")) \
+            .where("source IS NOT NULL")
+        if starts.isEmpty():
+            return finished.select(*columns)
 
 
 # ---------------------------------------------------------------- metrics

@@ -6,12 +6,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.functions.activity import string_sql
+from tessera.functions.activity import number_sql, string_sql
 from tessera.schema import NATURAL_KEY
 
 _CASTS = {"int": "bigint", "float": "double", "string": "string", "boolean": "boolean"}
 
 
+def _bound(value: float | int) -> str:
+    """Whole numbers as they are; others, infinities among them, as exact doubles."""
+    return str(value) if isinstance(value, int) else number_sql(value)
+
+
 @dataclass(frozen=True)
 class Rule:
     """Type, range and nullability of one column.
@@ -44,11 +49,11 @@ class Rule:
         if kind is None:
             holds = "true"
         elif kind == "in_range":
-            holds = f"{value} BETWEEN {args[0]} AND {args[1]}"
+            holds = f"{value} BETWEEN {_bound(args[0])} AND {_bound(args[1])}"
         elif kind == "greater_than":
-            holds = f"{value} > {args[0]}"
+            holds = f"{value} > {_bound(args[0])}"
         elif kind == "at_least":
-            holds = f"{value} >= {args[0]}"
+            holds = f"{value} >= {_bound(args[0])}"
         elif kind == "one_of":
             holds = f"{value} IN ({', '.join(string_sql(a) if isinstance(a, str) else str(a) for a in args)})"
         else:

@@ -312,6 +312,13 @@ _COLUMNS = {
                  ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")],
     "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
                ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                  ("n_chars", "bigint")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
 }
 
 _TOTALS = """
@@ -390,7 +397,7 @@ ORACLE: dict[str, str] = {
     "cdr_activity": f"""WITH {_RECORDS}
 SELECT {_KEY}, {_each("round(sum({c}), 4) AS {c}")} FROM records GROUP BY {_KEY}""",
     "country_series_union": f"""WITH {_RECORDS}
-SELECT CASE WHEN country_code = 39 THEN 'home' ELSE 'foreign' END AS series, country_code, count(*) AS row_count,
+SELECT CASE WHEN country_code IS NOT DISTINCT FROM 39 THEN 'home' ELSE 'foreign' END AS series, country_code, count(*) AS row_count,
        count(DISTINCT square_id) AS squares FROM records GROUP BY 1, 2""",
     "inject_anomalies": f"WITH {_INJECTED} SELECT * FROM injected",
     "anomaly_type_counts": f"""WITH {_INJECTED}
@@ -411,9 +418,10 @@ SELECT (SELECT count(*) FROM injected) AS rows_before, count(*) AS rows_after,
     "clean_rows": f"WITH {_SILVER} SELECT {_KEY}, {', '.join(_ACTIVITY)} FROM silver WHERE NOT {_ANY}",
     "lenient_numbers": """
 SELECT event_type, count(*) AS row_count,
-       count(*) FILTER (WHERE TRY_CAST(substr(props, 7, 2) AS DOUBLE) IS NULL) AS unreadable,
-       sum(coalesce(TRY_CAST(substr(props, 7, 2) AS DOUBLE), 0)) AS total
-FROM events GROUP BY event_type""",
+       count(*) FILTER (WHERE TRY_CAST(raw AS DOUBLE) IS NULL) AS unreadable,
+       sum(coalesce(TRY_CAST(raw AS DOUBLE), 0)) AS total
+FROM (SELECT event_type, unnest([regexp_extract(props, '"k": *([^},]*)', 1), props]) AS raw FROM events)
+GROUP BY event_type""",
     "hash_sample_rows": f"""WITH {_SILVER},
 hashed AS (
   SELECT *, md5(concat_ws('|', CAST(square_id AS VARCHAR), CAST(time_interval AS VARCHAR),
@@ -486,9 +494,11 @@ span AS (SELECT min(reconstruction_error) AS low, (max(reconstruction_error) - m
          FROM scores),
 binned AS (
   SELECT CAST(least(floor((reconstruction_error - low) / width) + 1, 100) AS INTEGER) AS bin, low, width
-  FROM scores CROSS JOIN span)
-SELECT bin, round(low + (bin - 1) * width, 6) AS bin_start, round(low + bin * width, 6) AS bin_end,
-       count(*) AS count FROM binned GROUP BY bin, low, width""",
+  FROM scores CROSS JOIN span),
+counted AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin)
+SELECT CAST(every AS INTEGER) AS bin, round(low + (every - 1) * width, 6) AS bin_start,
+       round(low + every * width, 6) AS bin_end, coalesce(n, 0) AS count
+FROM range(1, 101) AS r(every) CROSS JOIN span LEFT JOIN counted ON bin = every""",
     "labelled_scores": f"""WITH {_LABELLED}
 SELECT {_KEY}, is_anomaly_predicted, anomaly_type_predicted, is_anomaly_injected, anomaly_type FROM evaluated""",
     "confusion_matrix": f"""WITH {_LABELLED}
@@ -503,22 +513,32 @@ sides AS (
   UNION ALL SELECT 'normal', NOT is_anomaly_injected, NOT is_anomaly_predicted FROM evaluated),
 counted AS (
   SELECT class, count(*) FILTER (WHERE truth AND guess) AS hit, count(*) FILTER (WHERE NOT truth AND guess) AS wrong,
-         count(*) FILTER (WHERE truth AND NOT guess) AS missed FROM sides GROUP BY class)
-SELECT class, round(coalesce(hit / nullif(hit + wrong, 0), 0), 6) AS precision,
-       round(coalesce(hit / nullif(hit + missed, 0), 0), 6) AS recall,
-       round(coalesce(2 * hit / nullif(2 * hit + wrong + missed, 0), 0), 6) AS f1, hit + missed AS support
-FROM counted""",
+         count(*) FILTER (WHERE truth AND NOT guess) AS missed FROM sides GROUP BY class),
+rated AS (
+  SELECT class, hit, coalesce(hit / nullif(hit + wrong, 0), 0) AS precision,
+         coalesce(hit / nullif(hit + missed, 0), 0) AS recall,
+         coalesce(2 * hit / nullif(2 * hit + wrong + missed, 0), 0) AS f1, hit + missed AS support FROM counted),
+every AS (
+  SELECT class, precision, recall, f1, support FROM rated
+  UNION ALL SELECT 'accuracy', sum(hit) / sum(support), sum(hit) / sum(support), sum(hit) / sum(support),
+                   CAST(sum(support) AS BIGINT) FROM rated
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM rated
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM rated)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support
+FROM every""",
     "lineage_tables": f"WITH {_LINEAGE} SELECT * FROM written",
     "batch_history": f"WITH {_LINEAGE} SELECT layer, table_name, batch_id, row_count FROM written",
     "lineage_flow": f"""WITH RECURSIVE {_LINEAGE},
 chain AS (
-  SELECT source AS origin, target AS final, source || ' > ' || target AS flow, 1 AS steps
+  SELECT source AS origin, target AS final, source || ' > ' || target AS flow, 1 AS steps, [source, target] AS path,
+         source = target AS cycle
   FROM written WHERE source NOT IN (SELECT target FROM written)
   UNION ALL
-  SELECT origin, target, flow || ' > ' || target, steps + 1 FROM chain JOIN written ON final = source
-  WHERE steps < 4)
-SELECT origin, final, flow, steps, row_count FROM chain JOIN written ON final = target
-WHERE final NOT IN (SELECT source FROM written)""",
+  SELECT origin, target, flow || ' > ' || target, steps + 1, list_append(path, target), list_contains(path, target)
+  FROM chain JOIN written ON final = source WHERE NOT cycle)
+SELECT origin, final, flow, steps, cycle, row_count FROM chain JOIN written ON final = target
+WHERE cycle OR final NOT IN (SELECT source FROM written)""",
     "data_catalog": f"WITH {_LAYERS} {_CATALOG}",
     "catalog_columns": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {i + 1} AS position, '{c}' AS column_name, '{kind}' AS data_type, "
@@ -577,7 +597,9 @@ SELECT {_LTV_COLUMNS} FROM totals ORDER BY round(totals.lifetime_value, 6) DESC,
         for name, test in [*[(r, r) for r in _RISKS], ("any_flag", f"({' OR '.join(_RISKS)})")]),
     "orphan_lines": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
-WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')""",
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+    "orphan_events": """
+SELECT event_id, user_id, event_type FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
     "orphan_check": " UNION ALL ".join([
         _relation("orders.customer", "orders", "o_custkey", "customer", "c_custkey"),
         _relation("lineitem.orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),

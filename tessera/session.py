@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,7 @@ AT_START = {
 }
 
 _local_scratch: str | None = None
+_materialized: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "tessera", master: str | None = None, **conf: str) -> SparkSession:
@@ -73,5 +75,30 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     after an executor is lost and its floating-point sums are redone.
     """
     path = scratch_path(df.sparkSession, name)
+    _materialized.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, kept: int = 0) -> int:
+    """Remove the tables ``materialize`` has written, but for the first ``kept``; returns their number.
+
+    For the caller of a plan, once its result is written or collected: frames made
+    from these tables cannot be read afterwards.
+    """
+    written = _materialized.get(spark.sparkContext.applicationId, [])
+    gone, written[kept:] = written[kept:], []
+    for path in gone:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(gone)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables written inside are removed at the end."""
+    before = len(_materialized.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, before)

@@ -18,7 +18,12 @@ def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
     partition gets few files while one holding much of the data is split over
     several tasks. ``only_given_partitions`` replaces just the partitions present
     in ``df``, for reloading single days. ``sort_by`` gives a globally ordered table.
+
+    A table that a stream's file sink wrote is refused: its log lists the files that
+    belong to it, and an overwrite would delete them behind the log's back.
     """
+    if _has_sink_log(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; reload its days through the stream or to another table")
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
     if sort_by:
@@ -33,6 +38,11 @@ def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
     return {name: int(value) for name, value in watch.get.items()}
 
 
+def _has_sink_log(spark: SparkSession, path: str) -> bool:
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+
+
 def write_documents(df: DataFrame, folder: str) -> None:
     """One JSON document per row, added to the documents already in ``folder``."""
     df.write.mode("append").json(folder)

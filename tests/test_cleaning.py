@@ -115,4 +115,24 @@ def test_sample_is_repeatable_and_near_its_fraction(spark):
     a = {tuple(r) for r in hash_sample(df, 0.1, NATURAL_KEY).collect()}
     b = {tuple(r) for r in hash_sample(df.repartition(7, "time_interval"), 0.1, NATURAL_KEY).collect()}
     assert a == b and 1800 < len(a) < 2200
-    assert hash_sample(df, 0.1, NATURAL_KEY, max_rows=50).count() == 50
+
+
+def test_scratch_is_empty_after_release(spark):
+    from pathlib import Path
+
+    from tessera.session import materialize, scratch, scratch_dir
+
+    with scratch(spark):
+        folder = Path(scratch_dir(spark).removeprefix("file:")) / "tessera"
+        before = set(folder.iterdir()) if folder.exists() else set()
+        assert materialize(spark.range(10), "probe").count() == 10
+        assert len(set(folder.iterdir()) - before) == 1
+    assert set(folder.iterdir()) <= before
+
+
+def test_infinite_bounds(spark):
+    from tessera.operators.rules import Rule
+
+    df = spark.createDataFrame([(1.0,), (-5.0,)], "x double")
+    rule = Rule("x", "float", test=("in_range", 0, float("inf")))
+    assert [r[0] for r in df.selectExpr(rule.broken_sql()).collect()] == [False, True]

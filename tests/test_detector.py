@@ -147,8 +147,10 @@ def test_evaluation_against_labels(spark):
     assert tuple(evaluation.confusion_matrix(joined).first()) == (1, 1, 1, 1)
     report = {r["class"]: r for r in evaluation.classification_report(joined).collect()}
     assert report["anomaly"]["precision"] == report["normal"]["recall"] == 0.5 and report["normal"]["support"] == 2
+    assert report["accuracy"]["f1"] == report["macro avg"]["recall"] == report["weighted avg"]["precision"] == 0.5
+    assert report["accuracy"]["support"] == 4
     nothing = evaluation.classification_report(joined.where("false")).collect()
-    assert [(r["f1"], r["support"]) for r in nothing] == [(0.0, 0), (0.0, 0)]
+    assert [(r["f1"], r["support"]) for r in nothing] == [(0.0, 0)] * 5
 
 
 def test_histogram_counts_every_value_once(spark):
@@ -156,10 +158,19 @@ def test_histogram_counts_every_value_once(spark):
     bins = evaluation.histogram(df, "x", 10).orderBy("bin").collect()
     want, _ = np.histogram(np.arange(1001), bins=10)
     assert [r["count"] for r in bins] == want.tolist() and bins[-1]["bin_end"] == 1000.0
-    assert [tuple(r) for r in evaluation.histogram(df.where("x = 5"), "x").collect()] == [(1, 5.0, 5.0, 1)]
+    one = evaluation.histogram(df.where("x = 5"), "x").collect()
+    assert len(one) == 100 and [(r["bin"], r["count"]) for r in one if r["count"]] == [(51, 1)]
     assert evaluation.histogram(df.where("false"), "x").count() == 0
 
 
+def test_histogram_sets_other_numbers_apart_and_lists_empty_bins(spark):
+    odd = [float("nan"), float("inf"), float("inf"), float("-inf"), None, 0.0, 10.0, 9.9]
+    df = spark.createDataFrame([(v,) for v in odd], "x double")
+    got = {r["bin"]: (r["bin_start"], r["count"]) for r in evaluation.histogram(df, "x", 10).collect()}
+    assert len(got) == 13 and got[-1] == (None, 1) and got[0] == (None, 1) and got[11] == (None, 2)
+    assert [got[b][1] for b in range(1, 11)] == [1, 0, 0, 0, 0, 0, 0, 0, 0, 2]
+
+
 def test_statistics_of_scores(spark):
     rows = [(i, 1, 1, float(i), float(i), i >= 950, "a" if i >= 950 else "normal") for i in range(1000)]
     scores = spark.createDataFrame(rows, SCORED)

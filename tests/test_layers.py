@@ -136,13 +136,18 @@ def test_stream_takes_each_file_once(spark, tmp_path, layout):
     run("b3")
     per_batch = {r["_batch_id"]: r["count"] for r in spark.read.parquet(target).groupBy("_batch_id").count().collect()}
     assert per_batch == {"b1": 61, "b2": 1}
+    with pytest.raises(ValueError, match="written by a stream"):
+        sinks.write_table(spark.read.parquet(target), target, partition_by="_date_partition", only_given_partitions=True)
+    assert spark.read.parquet(target).count() == 62
 
 
 def test_lineage_depth_and_cycles(spark):
     tables = spark.createDataFrame(
-        [("raw", "a"), ("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("raw", "z")], "source string, target string")
-    flows = {(r["flow"], r["steps"]) for r in governance.lineage_flow(tables).collect()}
-    assert flows == {("raw > z", 1), ("raw > a > b > c > d", 4)}
+        [("raw", "a"), ("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("e", "f"), ("raw", "z"),
+         ("in", "p"), ("p", "q"), ("q", "p"), ("x", "y"), ("y", "x")], "source string, target string")
+    flows = {(r["flow"], r["steps"], r["cycle"]) for r in governance.lineage_flow(tables).collect()}
+    assert flows == {("raw > z", 1, False), ("raw > a > b > c > d > e > f", 6, False),
+                     ("in > p > q > p", 3, True), ("x > y > x", 2, True)}
 
 
 def test_metrics_of_missing_and_empty_tables(spark):
