@@ -92,7 +92,7 @@ def with_result(df: DataFrame, inputs: list[str], schema: str, start: Callable[[
 
 
 def gapless(df: DataFrame, group: list[str], order: list[str], number: str,
-            chunk_rows: int = 20_000) -> DataFrame:
+            chunk_rows: int = 4_000) -> DataFrame:
     """``number``: 0, 1, 2, ... within each group, without one task per group.
 
     Rows are dealt to chunks by a hash of ``order`` (which should identify a row;

@@ -17,10 +17,12 @@ packed one by one, repeated or not; no documents, no sequences.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import gapless, map_columns
@@ -31,21 +33,26 @@ END = 2                 # token closing each document
 ROUNDS = 400            # of multiplicative weights
 STEP = 0.02             # of the logarithm of a price, for a length covered once
 FEE = 0.05              # price of a piece beside its room
-CACHED_WORDS = 300_000  # pre-tokens whose ids a task remembers
+CACHED_WORDS = 600_000  # pre-tokens whose ids a task remembers
 
-# Fixed value: the published pre-token pattern of the byte-level vocabulary.
-PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Characters on which all pattern engines agree; texts with others are given to the tokenizer whole.
-COMMON = regex.compile(r"[\t\n\x20-\x7e¡-¬®-ɏ‐-‧‰-⁞]*+")
+# The published pre-token pattern of the byte-level vocabulary, spelt out
+# for texts of the characters below, on which all pattern engines agree. Texts with
+# other characters are given to the tokenizer whole.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+PRE_TOKEN = re.compile(
+    rf" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+COMMON = re.compile(r"[\t\n\x20-\x7e¡-¬®-±´-¸º»¿-ɏ‐-‧‰-⁞]*+")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class Tokens:
+class Tokens(dict):
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
-    A byte-level tokenizer cuts a text into pre-tokens and encodes each alone, so
-    the ids of a pre-token can be remembered.
+    A byte-level tokenizer cuts a text into pre-tokens and encodes each alone, so the
+    ids of a pre-token are remembered (in this dictionary). Where the vocabulary's
+    numbers follow its merges, a single pre-token is encoded by a library made for
+    that; otherwise by the tokenizer itself.
     """
 
     def __init__(self, path: str):
@@ -54,25 +61,51 @@ class Tokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark has given this task one core
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.single = _single_encoder(path) or self._whole
+
+    @classmethod
+    def of_worker(cls, path: str) -> "Tokens":
+        """The one of this Python worker, which outlives its tasks."""
+        import tokenizers
+
+        held = tokenizers.__dict__.setdefault("_tessera_tokens", {})
+        if path not in held:
+            held[path] = cls(path)
+        return held[path]
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        ids = self.single(word)
+        self[word] = made = struct.pack(f"<{len(ids)}I", *ids)
+        return made
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if not COMMON.fullmatch(text) or "<|" in text:
-            return self.ids(text)
-        words = PRE_TOKEN.findall(text)
-        known = self.known
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > CACHED_WORDS:
-                known.clear()
-                missing = list(set(words))
-            for word, made in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                known[word] = np.array(made.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        if COMMON.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.__getitem__, PRE_TOKEN.findall(text)))
+        return np.array(self._whole(text), "<u4").tobytes()
+
+
+def _single_encoder(path: str):
+    """Encodes one pre-token; None if the file is no byte-level BPE numbered by its merges."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    # Byte-level vocabularies write printable Latin-1 as itself, other bytes from 256 on.
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
+    vocabulary = model["vocab"]
+    if any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("pieces", pat_str=".", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
 
 def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int]]:
@@ -89,11 +122,11 @@ def pieces(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str
     last = np.array([end], "<u4").tobytes()
 
     def start():
-        tokens = Tokens(tokenizer)
+        tokens = Tokens.of_worker(tokenizer)
 
         def step(ids, texts):
             rows = [(doc, i, *piece) for doc, t in zip(ids, texts)
-                    for i, piece in enumerate(cut(tokens(t or "") + last, capacity))]
+                    for i, piece in enumerate(cut(tokens.ids(t or "") + last, capacity))]
             return [list(column) for column in zip(*rows)] or [[]] * 5
 
         return step
