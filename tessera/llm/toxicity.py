@@ -1,8 +1,9 @@
 """Toxicity: cumulative-link ordinal regression on sparse text features.
 
-Grades are ordered: 0 clean, 1 toxic, 2 toxic and of low quality. One weight vector
-is shared by all thresholds: P(grade >= j) = sigmoid(w.x - t_j) with t_1 < t_2; the
-output is the expected grade. Features are the distinct words of a text and their
+Grades are ordered: 0 clean, 1 toxic, 2 toxic with more of the vocabulary of toxic
+documents than the median of them (labels say toxic or not; the grade adds how much).
+One weight vector is shared by all thresholds: P(grade >= j) = sigmoid(w.x - t_j) with
+t_1 < t_2; the output is the expected grade. Features are the distinct words of a text and their
 beginnings and ends of 2 to 8 characters, which also catch inflected insults.
 Features are screened by a G-test of association with toxicity, so that few remain.
 
@@ -11,7 +12,7 @@ their ids; equal texts count once). Scoring reads every whole text.
 
 Defined results: a null or empty text has no features and gets the grade of the
 thresholds alone; without labels, or with labels of one kind only, every severity
-is 0; a label counts once per document id (the most severe); null ids carry none.
+is 0; a document id labelled twice is toxic if either says so; null ids carry none.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ SAMPLE = 8_000          # labelled documents used for the fit, at most
 FEATURES = 4_096        # features kept by the screening, at most
 LEAST_G = 20.0          # a G statistic below this may be chance
 EDGES = range(2, 9)     # characters of word beginnings and ends
-L2, STEPS, RATE = 1.0, 250, 0.5
+L2, STEPS, RATE = 0.3, 400, 0.05
 REJECT = 0.5            # expected severity from which a document goes
 TASKS = 48              # tasks that work on the sample
 CACHED_WORDS = 400_000  # words whose features a task remembers
@@ -41,12 +42,10 @@ def word_features(word: str) -> list[str]:
     return [f"={word}", *(word[:k] for k in sizes), *(f"-{word[-k:]}" for k in sizes)]
 
 
-def grades(labels: DataFrame, *, label_id: str = "doc_id", toxic: str = "toxic",
-           quality: str = "quality") -> DataFrame:
-    """One (id, grade) per labelled document."""
-    grade = F.when(F.col(toxic) == 1, F.when(F.col(quality) == 0, 2).otherwise(1)).when(F.col(toxic) == 0, 0)
-    return (labels.select(F.col(label_id).alias("id"), grade.alias("grade"))
-            .where("id IS NOT NULL AND grade IS NOT NULL")
+def toxic_labels(labels: DataFrame, *, label_id: str = "doc_id", toxic: str = "toxic") -> DataFrame:
+    """One (id, grade) per labelled document: 1 if toxic."""
+    return (labels.select(F.col(label_id).alias("id"), F.col(toxic).cast("int").alias("grade"))
+            .where("id IS NOT NULL AND grade IN (0, 1)")
             .groupBy("id").agg(F.max("grade").alias("grade")))
 
 
@@ -57,7 +56,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text:
     The chosen ids are at most ``size`` numbers, so sending them to every task is
     bounded, and the documents need no shuffle.
     """
-    chosen = grades(labels).orderBy(F.xxhash64("id"), "id").limit(size)
+    chosen = toxic_labels(labels).orderBy(F.xxhash64("id"), "id").limit(size)
     rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
             .join(F.broadcast(chosen), "id").where("text IS NOT NULL"))
     distinct = rows.groupBy("text").agg(F.max("grade").alias("grade"))
@@ -78,11 +77,11 @@ def _count():
     return step
 
 
-def screen(rows: DataFrame, most: int = FEATURES, least: float = LEAST_G) -> list[str]:
-    """The features most associated with toxicity, strongest first."""
+def screen(rows: DataFrame, most: int = FEATURES, least: float = LEAST_G) -> dict[str, bool]:
+    """The features most associated with toxicity, strongest first; true: toxic documents have it more often."""
     n0, n1 = rows.agg(F.expr("count_if(grade = 0)"), F.expr("count_if(grade > 0)")).first()
     if not n0 or not n1:
-        return []
+        return {}
     n = n0 + n1
     counts = (map_columns(rows, ["text", "grade"], "feature string, c0 long, c1 long", _count)
               .groupBy("feature").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
@@ -94,7 +93,7 @@ def screen(rows: DataFrame, most: int = FEATURES, least: float = LEAST_G) -> lis
                     term(f"({n0} - c0)", f"{n} - c0 - c1", n0), term(f"({n1} - c1)", f"{n} - c0 - c1", n1)])
     top = (counts.where("c0 + c1 >= 3 AND c0 + c1 < %d" % n).withColumn("g", F.expr(f"round(2 * ({g}), 6)"))
            .where(F.col("g") >= least).orderBy(F.desc("g"), "feature").limit(most))
-    return [r.feature for r in top.select("feature").collect()]
+    return {r.feature: r.c1 * n0 > r.c0 * n1 for r in top.select("feature", "c0", "c1").collect()}
 
 
 @dataclass(frozen=True)
@@ -125,7 +124,7 @@ def _indices(features: dict[str, int], cached: int = CACHED_WORDS):
 
 def cumulative_link(row: np.ndarray, column: np.ndarray, grade: np.ndarray, width: int,
                     levels: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of greatest penalised likelihood, by AdaGrad.
+    """Weights and thresholds of greatest penalised likelihood, by Adam.
 
     ``row`` and ``column`` name the ones of a 0/1 matrix. Thresholds are t_1 and
     logarithms of the steps to the following ones, which keeps them in order.
@@ -135,12 +134,12 @@ def cumulative_link(row: np.ndarray, column: np.ndarray, grade: np.ndarray, widt
     start = np.maximum.accumulate(np.log((1 - shares) / shares) + 1e-3 * np.arange(levels))
     free = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
     w = np.zeros(width)
-    seen = np.full(width + levels, 1e-8)
+    first, second = np.zeros(width + levels), np.zeros(width + levels)
 
     def thresholds():
         return np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
 
-    for _ in range(STEPS):
+    for turn in range(1, STEPS + 1):
         s = np.bincount(row, weights=w[column], minlength=n)
         t = thresholds()
         above = np.ones((n, levels + 2))                     # P(grade >= j), j = 0 .. levels + 1
@@ -157,8 +156,9 @@ def cumulative_link(row: np.ndarray, column: np.ndarray, grade: np.ndarray, widt
         tail = np.cumsum(by_threshold[::-1])[::-1]           # t_k holds every step up to k
         g_free = np.concatenate([tail[:1], tail[1:] * np.exp(free[1:])])
         g = np.concatenate([np.bincount(column, weights=pull[row], minlength=width) + L2 * w, g_free])
-        seen += g * g
-        move = RATE * g / np.sqrt(seen)
+        first = 0.9 * first + 0.1 * g
+        second = 0.999 * second + 0.001 * g * g
+        move = RATE * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.999**turn)) + 1e-8)
         w -= move[:width]
         free -= move[width:]
     return w, thresholds()
@@ -179,12 +179,12 @@ def fit(docs: DataFrame, labels: DataFrame, **columns) -> Model:
     made = map_columns(rows, ["text", "grade"], "grade int, ones binary", start).collect()
     made.sort(key=lambda r: (r.grade, bytes(r.ones)))        # sums do not depend on the order of tasks
     ones = [np.frombuffer(bytes(r.ones), np.int32) for r in made]
+    marked = np.array(list(features.values()))
+    amount = np.array([marked[o].sum() for o in ones])
     grade = np.array([r.grade for r in made])
-    present = sorted(set(grade.tolist()) - {0})
-    level = {0: 0} | {g: i + 1 for i, g in enumerate(present)}
+    grade[(grade > 0) & (amount > np.median(amount[grade > 0]))] = 2
     row = np.repeat(np.arange(len(ones)), [len(o) for o in ones])
-    w, t = cumulative_link(row, np.concatenate(ones), np.array([level[g] for g in grade.tolist()]),
-                           len(features), len(present))
+    w, t = cumulative_link(row, np.concatenate(ones), grade, len(features), int(grade.max()))
     return Model({f: float(w[i]) for f, i in place.items()}, [float(x) for x in t])
 
 
