@@ -215,6 +215,18 @@ def top_internet_spikes(scores: DataFrame, n: int = 5) -> DataFrame:
     return risky.orderBy(F.desc("internet"), *NATURAL_KEY).limit(n)
 
 
+def anomaly_bundle(scores: DataFrame) -> DataFrame:
+    """All anomaly facts in one row: the statistics, the classes, and the largest internet values.
+
+    Classes and values are a handful of entries, whatever the number of rows.
+    """
+    classes = anomaly_breakdown(scores).agg(F.sort_array(F.collect_list(F.struct(
+        "anomaly_type_predicted", "count", F.round("avg_internet", 6).alias("avg_internet")))))
+    spikes = top_internet_spikes(scores).agg(F.sort_array(F.collect_list(F.struct("internet", *NATURAL_KEY)), False))
+    return anomaly_statistics(scores).select(
+        "*", classes.scalar().alias("breakdown"), spikes.scalar().alias("top_internet"))
+
+
 def top_anomalies(scores: DataFrame, n: int = 10) -> DataFrame:
     return (
         scores.where("is_anomaly_predicted")

@@ -182,14 +182,14 @@ def sla_status(spark: SparkSession, layout: Layout, as_of: Column | None = None)
 
 
 def run_governance(spark: SparkSession, layout: Layout, batch_id: str) -> DataFrame:
-    """Write the catalog and the fact document; return the document."""
+    """Write the catalog and the fact document of one batch; return the document."""
     catalog = governance.data_catalog(written_tables(spark, layout))
     sinks.write_documents(catalog.withColumn("batch_id", F.lit(batch_id)).coalesce(1), layout.catalog)
     scores = activity.read_table_if_present(spark, layout.table("silver.anomaly_scores"), layout.fmt)
     facts = governance.context_document(
         quality(spark, layout),
-        lineage(spark, layout),
-        None if scores is None else detector.anomaly_statistics(scores),
+        lineage(spark, layout).where(F.col("batch_id") == batch_id),
+        None if scores is None else detector.anomaly_bundle(scores),
         gold_metrics(spark, layout),
     )
     path = f"{layout.reports}/governance_facts_{batch_id}"

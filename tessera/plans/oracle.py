@@ -478,6 +478,19 @@ SELECT count(*) AS total_records, count(*) FILTER (WHERE is_anomaly_predicted) A
        count(*) FILTER (WHERE reconstruction_error > (SELECT quantile_cont(reconstruction_error, 0.99) FROM scores))
          AS high_risk_count,
        round(count(*) FILTER (WHERE is_anomaly_predicted) * 100e0 / count(*), 2) AS anomaly_rate_pct
+FROM scores""",
+    "anomaly_bundle": f"""WITH {_SCORES},
+risky AS (SELECT * FROM scores
+          WHERE reconstruction_error > (SELECT quantile_cont(reconstruction_error, 0.99) FROM scores)),
+classes AS (SELECT anomaly_type_predicted || ':' || CAST(count(*) AS VARCHAR) AS c FROM scores
+            GROUP BY anomaly_type_predicted),
+top AS (SELECT * FROM risky ORDER BY internet DESC, {_KEY} LIMIT 5)
+SELECT count(*) AS total_records, count(*) FILTER (WHERE is_anomaly_predicted) AS anomalies_detected,
+       (SELECT count(*) FROM risky) AS high_risk_count,
+       (SELECT string_agg(c, ',' ORDER BY c) FROM classes) AS classes,
+       (SELECT string_agg(concat_ws(':', CAST(square_id AS VARCHAR), CAST(time_interval AS VARCHAR),
+                                    CAST(country_code AS VARCHAR)), ',' ORDER BY internet DESC, {_KEY}) FROM top)
+         AS top_internet
 FROM scores""",
     "anomaly_breakdown": f"""WITH {_SCORES}
 SELECT anomaly_type_predicted, count(*) AS count, round(avg(internet), 6) AS avg_internet

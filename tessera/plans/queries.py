@@ -364,7 +364,21 @@ def error_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def anomaly_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return detector.anomaly_statistics(materialize(zscores(spark, sf), "scores"))
+    kept = zscores(spark, sf).select("reconstruction_error", "is_anomaly_predicted")
+    return detector.anomaly_statistics(materialize(kept, "scores"))
+
+
+@query
+def anomaly_bundle(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes and largest values as text, after the totals."""
+    kept = ["internet", "reconstruction_error", "is_anomaly_predicted", "anomaly_type_predicted"]
+    scores = materialize(zscores(spark, sf).select(*NATURAL_KEY, *kept), "scores")
+    return detector.anomaly_bundle(scores).select(
+        "total_records", "anomalies_detected", "high_risk_count",
+        F.array_join(F.transform("breakdown", lambda x: F.concat_ws(
+            ":", x["anomaly_type_predicted"], x["count"].cast("string"))), ",").alias("classes"),
+        F.array_join(F.transform("top_internet", lambda x: F.concat_ws(
+            ":", *(x[k].cast("string") for k in NATURAL_KEY))), ",").alias("top_internet"))
 
 
 @query
@@ -374,7 +388,8 @@ def anomaly_breakdown(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def top_internet_spikes(spark: SparkSession, sf: str) -> DataFrame:
-    return detector.top_internet_spikes(materialize(zscores(spark, sf), "scores")).select(*NATURAL_KEY, "internet")
+    kept = zscores(spark, sf).select(*NATURAL_KEY, "internet", "reconstruction_error")
+    return detector.top_internet_spikes(materialize(kept, "scores")).select(*NATURAL_KEY, "internet")
 
 
 @query

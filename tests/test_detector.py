@@ -178,5 +178,8 @@ def test_statistics_of_scores(spark):
         "total_records": 1000, "anomalies_detected": 50, "high_risk_count": 10, "anomaly_rate_pct": 5.0}
     assert [r["internet"] for r in detector.top_internet_spikes(scores).collect()] == [999, 998, 997, 996, 995]
     assert [r["square_id"] for r in detector.top_anomalies(scores, 2).collect()] == [999, 998]
+    bundle = detector.anomaly_bundle(scores).first()
+    assert bundle["total_records"] == 1000 and [x["internet"] for x in bundle["top_internet"]] == [999, 998, 997, 996, 995]
+    assert {x["anomaly_type_predicted"]: x["count"] for x in bundle["breakdown"]} == {"a": 50, "normal": 950}
     empty = detector.anomaly_statistics(scores.where("false")).first()
     assert (empty["total_records"], empty["anomaly_rate_pct"]) == (0, 0.0)
