@@ -37,9 +37,9 @@ def quality_document(layer: str, batch_id: str, stats: DataFrame, results: DataF
 
 
 def latest_documents(documents: DataFrame) -> DataFrame:
-    """The newest document of each layer, by batch id."""
+    """The newest document of each layer, by batch id; of one batch the one generated last."""
     everything = F.struct(*documents.columns)
-    return documents.groupBy("layer").agg(F.max_by(everything, "batch_id").alias("d")).select("d.*")
+    return documents.groupBy("layer").agg(F.max_by(everything, F.struct("batch_id", "generated_at")).alias("d")).select("d.*")
 
 
 def markdown(documents: DataFrame) -> DataFrame:
