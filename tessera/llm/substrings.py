@@ -161,13 +161,16 @@ def _sort_buckets(window: int):
 
 
 def _unpack(window: int):
-    def step(docs, keys, starts, packed):
+    """The distinct windows of packed strings, by digest, each with its places in the string."""
+    def step(strings, lows, packed):
         rows = []
-        for doc, key, start, string in zip(docs, keys, starts, packed):
-            words = string.split(b" ")
+        for string, low, p in zip(strings, lows, packed):
+            words = p.split(b" ")
+            places: dict[bytes, list[int]] = {}
             for k in range(len(words) - window + 1):
                 digest = hashlib.blake2b(b" ".join(words[k:k + window]), digest_size=16).digest()
-                rows.append((doc, key, start + k, digest))
+                places.setdefault(digest, []).append(k)
+            rows += [(string, low, ks, digest) for digest, ks in places.items()]
         return [list(c) for c in zip(*rows)] or [[]] * 4
 
     return step
@@ -229,12 +232,26 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     marked = (packed.where("NOT crowded").repartition("minimiser")
               .sortWithinPartitions("minimiser", "doc", "key", "start")
               .mapInArrow(_sort_buckets(window), "doc long, key long, first long, last long"))
-    unpacked = map_columns(packed.where("crowded"), ["doc", "key", "start", "packed"],
-                           "doc long, key long, start long, digest binary", lambda: _unpack(window))
-    earliest = (unpacked.groupBy("digest").agg(F.min("doc").alias("smallest"), F.max("doc").alias("largest"))
+    # Crowded buckets. Equal strings are one, with the smallest document that has it: in
+    # all others every window of it is repeated. Its windows are compared with those of
+    # other strings for that document only.
+    crowded = packed.where("crowded").withColumn("string", F.sha2("packed", 256))
+    strings = materialize(crowded.groupBy("string").agg(F.min("doc").alias("low"), F.first("packed").alias("packed")),
+                          "strings")
+    unpacked = map_columns(strings, ["string", "low", "packed"],
+                           "string string, low long, ks array<int>, digest binary", lambda: _unpack(window))
+    earliest = (unpacked.groupBy("digest").agg(F.min("low").alias("smallest"), F.max("low").alias("largest"))
                 .where("smallest < largest").select("digest", "smallest"))
-    spread = (unpacked.join(earliest, "digest").where("doc > smallest")
-              .select("doc", "key", F.col("start").alias("first"), F.col("start").alias("last")))
+    own = (unpacked.join(earliest, "digest").where("low > smallest")
+           .groupBy("string").agg(F.flatten(F.collect_list("ks")).alias("ks")))
+    placed = crowded.join(strings.select("string", "low", F.size(F.split(F.col("packed").cast("string"), " "))
+                                         .alias("n")).join(own, "string", "left"), "string")
+    spread = (placed.select("doc", "key", F.explode(
+        F.when(F.col("doc") > F.col("low"), F.array(F.struct(
+            F.col("start").alias("first"), (F.col("start") + F.col("n") - window).alias("last"))))
+        .otherwise(F.transform("ks", lambda k: F.struct(
+            (F.col("start") + k).alias("first"), (F.col("start") + k).alias("last"))))).alias("m"))
+        .select("doc", "key", "m.first", "m.last"))
     marks = (marked.unionByName(spread).groupBy(F.col("doc").alias("doc_id"), "key")
              .agg(F.collect_list(F.struct("first", "last")).alias("marks")))
 
