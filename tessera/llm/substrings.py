@@ -246,14 +246,14 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
            .groupBy("string").agg(F.flatten(F.collect_list("ks")).alias("ks")))
     placed = crowded.join(strings.select("string", "low", F.size(F.split(F.col("packed").cast("string"), " "))
                                          .alias("n")).join(own, "string", "left"), "string")
-    spread = (placed.select("doc", "key", F.explode(
-        F.when(F.col("doc") > F.col("low"), F.array(F.struct(
-            F.col("start").alias("first"), (F.col("start") + F.col("n") - window).alias("last"))))
+    # One row a super-k-mer, with all its marks.
+    spread = placed.select("doc", "key", F.when(F.col("doc") > F.col("low"), F.array(F.struct(
+        F.col("start").alias("first"), (F.col("start") + F.col("n") - window).alias("last"))))
         .otherwise(F.transform("ks", lambda k: F.struct(
-            (F.col("start") + k).alias("first"), (F.col("start") + k).alias("last"))))).alias("m"))
-        .select("doc", "key", "m.first", "m.last"))
-    marks = (marked.unionByName(spread).groupBy(F.col("doc").alias("doc_id"), "key")
-             .agg(F.collect_list(F.struct("first", "last")).alias("marks")))
+            (F.col("start") + k).alias("first"), (F.col("start") + k).alias("last")))).alias("m")) \
+        .where("m IS NOT NULL")
+    marks = (marked.select("doc", "key", F.array(F.struct("first", "last")).alias("m")).unionByName(spread)
+             .groupBy(F.col("doc").alias("doc_id"), "key").agg(F.flatten(F.collect_list("m")).alias("marks")))
 
     changed = with_result(concerned.select("doc_id", "key", "text").join(marks, ["doc_id", "key"]),
                           ["text", "marks"], "n_removed long, kept_sha256 string", lambda: _remove(window), "made")
