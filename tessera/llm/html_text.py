@@ -2,8 +2,10 @@
 
 A page is cut into flat blocks at block-level tags. A block is described by its
 word count and link density, by those of its neighbours, and by where it stands
-(in an article or main element; in an element that is furniture by tag, role or
-class). A small classification tree, grown here from the labelled table below,
+(in an article or main element; in an element that is furniture by tag or role, or
+a comment area). Names and forms are weaker marks, as whole pages stand in forms and
+in elements called header-fixed: there the share of the page's plain words outside the
+element is the feature. A small classification tree, grown here from the labelled table below,
 says which blocks are main text.
 
 Defined results: null or empty html, and pages without main text, give an empty
@@ -21,11 +23,17 @@ from tessera.llm.common import with_result
 
 # Fixed values of HTML: elements whose content is not text, elements without an
 # end tag, and elements that stand inside a line.
-SILENT = frozenset("script style title textarea template noscript iframe svg math select option button object "
-                   "canvas audio video".split())
+SILENT = frozenset("script style title textarea template noscript iframe svg select option button object "
+                   "canvas audio video annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt "
-                   "ruby s samp small span strike strong sub sup time tt u var wbr".split())
+                   "ruby s samp small span strike strong sub sup time tt u var wbr "
+                   "math semantics maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+                   "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtext munder munderover".split())
+SPACE = frozenset("br mtr mlabeledtr mtd".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements whose id is the anchor of a place in the text.
+ANCHORS = frozenset("section p li dt dd tr td th figure pre blockquote".split())
 IMPLIED_END = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]),
                "dt": frozenset(["dd", "dt"]), "tr": frozenset(["tr", "td", "th"]),
                "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
@@ -33,16 +41,18 @@ IMPLIED_END = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dd": frozenset([
 SCOPE = frozenset("article main section div body table ul ol dl nav aside footer header form blockquote".split())
 
 # What marks furniture.
-FURNITURE_TAGS = frozenset("nav aside footer form dialog menu".split())
-FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu "
+FURNITURE_TAGS = frozenset("nav aside footer dialog menu".split())
+FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu "
                             "menubar toolbar".split())
 FURNITURE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adbox adslot sponsor sponsored promo promoted "
-    "promotion comment comments commentlist disqus replies reply respond discussion "
     "cookie cookies consent gdpr notice notification banner alert popup modal overlay newsletter subscribe signup "
-    "paywall disclaimer sidebar aside rail widget related recommended recommendations "
-    "menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc topbar masthead "
+    "paywall disclaimer menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc topbar masthead "
     "footer header share sharing social login search form toolbar".split())
+COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond discussion".split())
+# Furniture that holds articles, which are not the page's own.
+TEASER_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot sponsor sponsored promo promoted "
+    "promotion sidebar aside rail widget related recommended recommendations".split())
 # A name that tells of a layout with furniture, or the heading of an article, is none itself.
 LAYOUT_NAMES = frozenset("with without has no".split())
 ARTICLE_NAMES = frozenset("article post entry story content title".split())
@@ -58,32 +68,76 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # The features of a block, in the order of the table.
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article",
-            "in_furniture")
+            "in_furniture", "outside")
 
 # Labelled blocks: the features, then 1 for main text. Made by hand from usual page layouts.
 LABELLED = [
     # paragraphs and headings of an article element
-    (60, 0.00, 8, 0.00, 55, 0.00, 1, 0, 1), (55, 0.05, 60, 0.00, 2, 0.00, 1, 0, 1), (2, 0.00, 55, 0.05, 40, 0.00, 1, 0, 1),
-    (8, 0.00, 0, 0.00, 60, 0.00, 1, 0, 1), (1, 0.00, 30, 0.00, 0, 0.00, 1, 0, 1), (12, 0.00, 9, 0.00, 14, 0.10, 1, 0, 1),
-    (4, 0.00, 90, 0.00, 35, 0.00, 1, 0, 1), (25, 0.20, 40, 0.00, 3, 1.00, 1, 0, 1), (3, 1.00, 25, 0.20, 50, 0.00, 1, 0, 1),
-    (6, 0.60, 33, 0.10, 20, 0.00, 1, 0, 1), (9, 0.00, 9, 0.00, 9, 0.00, 1, 0, 1), (140, 0.02, 7, 0.00, 80, 0.00, 1, 0, 1),
-    (1, 0.00, 1, 0.00, 1, 0.00, 1, 0, 1), (2, 1.00, 1, 1.00, 45, 0.00, 1, 0, 1), (5, 0.00, 12, 1.00, 3, 0.30, 1, 0, 1),
+    (60, 0.00, 8, 0.00, 55, 0.00, 1, 0, 0.00, 1),
+    (55, 0.05, 60, 0.00, 2, 0.00, 1, 0, 0.00, 1),
+    (2, 0.00, 55, 0.05, 40, 0.00, 1, 0, 0.00, 1),
+    (8, 0.00, 0, 0.00, 60, 0.00, 1, 0, 0.00, 1),
+    (1, 0.00, 30, 0.00, 0, 0.00, 1, 0, 0.00, 1),
+    (12, 0.00, 9, 0.00, 14, 0.10, 1, 0, 0.00, 1),
+    (4, 0.00, 90, 0.00, 35, 0.00, 1, 0, 0.00, 1),
+    (25, 0.20, 40, 0.00, 3, 1.00, 1, 0, 0.00, 1),
+    (3, 1.00, 25, 0.20, 50, 0.00, 1, 0, 0.00, 1),
+    (6, 0.60, 33, 0.10, 20, 0.00, 1, 0, 0.00, 1),
+    (9, 0.00, 9, 0.00, 9, 0.00, 1, 0, 0.00, 1),
+    (140, 0.02, 7, 0.00, 80, 0.00, 1, 0, 0.00, 1),
+    (1, 0.00, 1, 0.00, 1, 0.00, 1, 0, 0.00, 1),
+    (2, 1.00, 1, 1.00, 45, 0.00, 1, 0, 0.00, 1),
+    (5, 0.00, 12, 1.00, 3, 0.30, 1, 0, 0.00, 1),
     # furniture inside an article: share bars, adverts, reader comments, footers
-    (3, 1.00, 60, 0.00, 2, 1.00, 1, 1, 0), (8, 0.00, 45, 0.00, 30, 0.00, 1, 1, 0), (40, 0.00, 6, 0.30, 35, 0.00, 1, 1, 0),
-    (20, 0.10, 70, 0.00, 0, 0.00, 1, 1, 0), (90, 0.00, 20, 0.00, 3, 1.00, 1, 1, 0), (2, 0.00, 2, 0.00, 90, 0.00, 1, 1, 0),
+    (3, 1.00, 60, 0.00, 2, 1.00, 1, 1, 0.00, 0),
+    (8, 0.00, 45, 0.00, 30, 0.00, 1, 1, 0.00, 0),
+    (40, 0.00, 6, 0.30, 35, 0.00, 1, 1, 0.00, 0),
+    (20, 0.10, 70, 0.00, 0, 0.00, 1, 1, 0.00, 0),
+    (90, 0.00, 20, 0.00, 3, 1.00, 1, 1, 0.00, 0),
+    (2, 0.00, 2, 0.00, 90, 0.00, 1, 1, 0.00, 0),
     # furniture outside: menus, headers, sidebars, notices, adverts, forms, comments, footers
-    (1, 1.00, 0, 0.00, 1, 1.00, 0, 1, 0), (2, 1.00, 1, 1.00, 2, 1.00, 0, 1, 0), (7, 0.00, 1, 1.00, 8, 0.00, 0, 1, 0),
-    (9, 0.00, 50, 0.00, 0, 0.00, 0, 1, 0), (30, 0.05, 4, 0.00, 6, 1.00, 0, 1, 0), (55, 0.00, 9, 0.00, 48, 0.00, 0, 1, 0),
-    (120, 0.00, 10, 0.00, 95, 0.00, 0, 1, 0), (18, 0.20, 5, 1.00, 12, 0.00, 0, 1, 0), (4, 0.00, 0, 0.00, 70, 0.00, 0, 1, 0),
+    (1, 1.00, 0, 0.00, 1, 1.00, 0, 1, 0.00, 0),
+    (2, 1.00, 1, 1.00, 2, 1.00, 0, 1, 0.00, 0),
+    (7, 0.00, 1, 1.00, 8, 0.00, 0, 1, 0.00, 0),
+    (9, 0.00, 50, 0.00, 0, 0.00, 0, 1, 0.00, 0),
+    (30, 0.05, 4, 0.00, 6, 1.00, 0, 1, 0.00, 0),
+    (55, 0.00, 9, 0.00, 48, 0.00, 0, 1, 0.00, 0),
+    (120, 0.00, 10, 0.00, 95, 0.00, 0, 1, 0.00, 0),
+    (18, 0.20, 5, 1.00, 12, 0.00, 0, 1, 0.00, 0),
+    (4, 0.00, 0, 0.00, 70, 0.00, 0, 1, 0.00, 0),
     # pages without an article element: text by length, links and neighbours
-    (60, 0.00, 8, 0.00, 55, 0.00, 0, 0, 1), (45, 0.05, 50, 0.00, 40, 0.10, 0, 0, 1), (35, 0.10, 3, 1.00, 60, 0.00, 0, 0, 1),
-    (18, 0.00, 40, 0.00, 30, 0.00, 0, 0, 1), (25, 0.20, 30, 0.00, 5, 0.50, 0, 0, 1), (7, 0.00, 3, 1.00, 60, 0.00, 0, 0, 1),
-    (5, 0.00, 70, 0.00, 65, 0.00, 0, 0, 1), (2, 0.00, 50, 0.00, 48, 0.00, 0, 0, 1), (80, 0.15, 90, 0.00, 4, 1.00, 0, 0, 1),
-    (16, 0.10, 22, 0.00, 17, 0.00, 0, 0, 1), (6, 0.00, 45, 0.00, 0, 0.00, 0, 0, 1), (30, 0.00, 0, 0.00, 0, 0.00, 0, 0, 1),
-    (1, 1.00, 1, 1.00, 1, 1.00, 0, 0, 0), (2, 1.00, 0, 0.00, 2, 1.00, 0, 0, 0), (4, 0.80, 3, 1.00, 2, 1.00, 0, 0, 0),
-    (3, 0.00, 2, 1.00, 4, 1.00, 0, 0, 0), (6, 0.00, 1, 1.00, 2, 0.00, 0, 0, 0), (5, 0.00, 4, 0.00, 6, 0.20, 0, 0, 0),
-    (12, 0.90, 40, 0.00, 10, 0.90, 0, 0, 0), (20, 0.70, 18, 0.80, 25, 0.60, 0, 0, 0), (8, 0.50, 6, 0.60, 3, 1.00, 0, 0, 0),
-    (2, 0.00, 3, 0.50, 2, 0.00, 0, 0, 0), (35, 0.60, 50, 0.00, 8, 1.00, 0, 0, 0), (9, 0.40, 2, 1.00, 1, 1.00, 0, 0, 0),
+    (60, 0.00, 8, 0.00, 55, 0.00, 0, 0, 0.00, 1),
+    (45, 0.05, 50, 0.00, 40, 0.10, 0, 0, 0.00, 1),
+    (35, 0.10, 3, 1.00, 60, 0.00, 0, 0, 0.00, 1),
+    (18, 0.00, 40, 0.00, 30, 0.00, 0, 0, 0.00, 1),
+    (25, 0.20, 30, 0.00, 5, 0.50, 0, 0, 0.00, 1),
+    (7, 0.00, 3, 1.00, 60, 0.00, 0, 0, 0.00, 1),
+    (5, 0.00, 70, 0.00, 65, 0.00, 0, 0, 0.00, 1),
+    (2, 0.00, 50, 0.00, 48, 0.00, 0, 0, 0.00, 1),
+    (80, 0.15, 90, 0.00, 4, 1.00, 0, 0, 0.00, 1),
+    (16, 0.10, 22, 0.00, 17, 0.00, 0, 0, 0.00, 1),
+    (6, 0.00, 45, 0.00, 0, 0.00, 0, 0, 0.00, 1),
+    (30, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0.00, 1),
+    (1, 1.00, 1, 1.00, 1, 1.00, 0, 0, 0.00, 0),
+    (2, 1.00, 0, 0.00, 2, 1.00, 0, 0, 0.00, 0),
+    (4, 0.80, 3, 1.00, 2, 1.00, 0, 0, 0.00, 0),
+    (3, 0.00, 2, 1.00, 4, 1.00, 0, 0, 0.00, 0),
+    (6, 0.00, 1, 1.00, 2, 0.00, 0, 0, 0.00, 0),
+    (5, 0.00, 4, 0.00, 6, 0.20, 0, 0, 0.00, 0),
+    (12, 0.90, 40, 0.00, 10, 0.90, 0, 0, 0.00, 0),
+    (20, 0.70, 18, 0.80, 25, 0.60, 0, 0, 0.00, 0),
+    (8, 0.50, 6, 0.60, 3, 1.00, 0, 0, 0.00, 0),
+    (2, 0.00, 3, 0.50, 2, 0.00, 0, 0, 0.00, 0),
+    (35, 0.60, 50, 0.00, 8, 1.00, 0, 0, 0.00, 0),
+    (9, 0.40, 2, 1.00, 1, 1.00, 0, 0, 0.00, 0),
+    # weakly marked elements beside the page's text: search and sign-up forms, notices, adverts
+    (1, 0.00, 13, 0.00, 2, 0.00, 1, 0, 0.95, 0), (14, 0.00, 60, 0.00, 55, 0.00, 1, 0, 0.90, 0),
+    (3, 0.00, 5, 0.00, 60, 0.00, 0, 0, 0.85, 0), (14, 0.00, 2, 0.00, 2, 0.00, 0, 0, 0.50, 0),
+    (40, 0.00, 2, 1.00, 35, 0.00, 0, 0, 0.75, 0), (55, 0.05, 30, 0.00, 48, 0.00, 0, 0, 0.60, 0),
+    (90, 0.00, 80, 0.00, 70, 0.00, 1, 0, 0.70, 0), (2, 1.00, 1, 1.00, 2, 1.00, 0, 0, 1.00, 0),
+    (25, 0.00, 40, 0.00, 1, 0.00, 0, 0, 0.45, 0), (9, 0.00, 50, 0.00, 0, 0.00, 0, 0, 0.95, 0),
+    # one that holds the page's text: judged as if it were not marked
+    (60, 0.00, 8, 0.00, 55, 0.00, 0, 0, 0.30, 1),
 ]
 DEPTH, LEAF = 6, 1
 
@@ -127,37 +181,56 @@ def decide(tree, row: tuple) -> int:
     return tree
 
 
-def is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
+# Marks of an element, the strongest last.
+NONE, LOOSE, TEASER, COMMENT, FIRM, HIDDEN = range(6)
+
+
+def mark_of(tag: str, attributes: str, inside_article: bool) -> int:
     if tag in ("html", "body", "article", "main"):
-        return False
+        return NONE
+    mark = LOOSE if tag == "form" else NONE
     if tag in FURNITURE_TAGS or tag == "header" and not inside_article:
-        return True
+        mark = FIRM
     if not attributes.strip():
-        return False
+        return mark
+    given: dict[str, str] = {}
     for match in ATTRIBUTE.finditer(attributes):
-        key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
-        if key == "role" and value.strip().lower() in FURNITURE_ROLES:
-            return True
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if key in ("class", "id"):
-            for name in value.split():
-                parts = NAME_PARTS.findall(CAMEL.sub("-", name).lower())
-                named = FURNITURE_NAMES.intersection(parts)
-                if named == {"header"} and ARTICLE_NAMES.intersection(parts):
-                    continue
-                if named and not LAYOUT_NAMES.intersection(parts):
-                    return True
-    return False
-
-
-def text_blocks(html: str) -> list[tuple[str, int, int, int, int]]:
-    """(text, words, words in links, in an article, in furniture), in page order."""
-    blocks: list[tuple[str, int, int, int, int]] = []
-    stack: list[tuple[str, bool, bool]] = []        # tag, article, furniture: of open non-inline elements
-    article = furniture = False
+        given.setdefault(match[1].lower(), match[2] or match[3] or match[4] or "")
+    if ("hidden" in given or given.get("aria-hidden", "").lower() == "true"
+            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I)):
+        return HIDDEN
+    role = given.get("role", "").strip().lower()
+    if role in FURNITURE_ROLES:
+        mark = FIRM
+    elif role == "form":
+        mark = max(mark, LOOSE)
+    if tag in HEADINGS:     # its names are those of its place
+        return mark
+    names = given.get("class", "").split()
+    if tag not in ANCHORS and "section" not in names:
+        names += given.get("id", "").split()
+    for name in names:
+        parts = NAME_PARTS.findall(CAMEL.sub("-", name).lower())
+        if LAYOUT_NAMES.intersection(parts):
+            continue
+        named = FURNITURE_NAMES.intersection(parts)
+        if named and not (named == {"header"} and ARTICLE_NAMES.intersection(parts)):
+            mark = max(mark, LOOSE)
+        if TEASER_NAMES.intersection(parts):
+            mark = max(mark, TEASER)
+        if COMMENT_NAMES.intersection(parts):
+            mark = max(mark, COMMENT)
+    return mark
+
+
+def text_blocks(html: str) -> list[tuple[str, int, int, int, int, float]]:
+    """(text, words, words in links, in an article, in furniture, share of plain words outside), in page order."""
+    blocks: list[tuple[str, int, int, bool, int, int, int]] = []
+    # Of open non-inline elements: tag, article, firm mark, comment area, area of a weak mark.
+    stack: list[tuple[str, bool, int, int, int]] = []
+    article, firm, comment, area = False, NONE, -1, -1
+    comments: list[list] = []       # enclosing one, whether it holds the page's title
+    areas: list[tuple[int, int]] = []       # enclosing one, its mark
     parts: list[str] = []
     linked: list[str] = []
     in_link = 0
@@ -169,14 +242,13 @@ def text_blocks(html: str) -> list[tuple[str, int, int, int, int]]:
             words = "".join(parts).split()
             if words:
                 n_linked = len("".join(linked).split())
-                blocks.append((" ".join(words), len(words), min(n_linked, len(words)), int(article),
-                               int(furniture)))
+                blocks.append((" ".join(words), len(words), min(n_linked, len(words)), article, firm, comment, area))
             parts, linked = [], []
 
     def pop_to(depth: int):
-        nonlocal article, furniture, in_link
+        nonlocal article, firm, comment, area, in_link
         del stack[depth:]
-        article, furniture = stack[-1][1:] if stack else (False, False)
+        article, firm, comment, area = stack[-1][1:] if stack else (False, NONE, -1, -1)
         in_link = 0
 
     position, size = 0, len(html)
@@ -209,7 +281,7 @@ def text_blocks(html: str) -> list[tuple[str, int, int, int, int]]:
                 in_link = 0 if closing else 1
                 linked.append(" ")
             continue
-        if tag == "br":
+        if tag in SPACE:
             parts.append(" ")
             continue
         close()
@@ -227,22 +299,58 @@ def text_blocks(html: str) -> list[tuple[str, int, int, int, int]]:
         if ended or stack and stack[-1][0] == "p":
             if stack and (stack[-1][0] in (ended or ()) or stack[-1][0] == "p"):
                 pop_to(len(stack) - 1)
-        furniture = furniture or is_furniture(tag, attributes, article)
+        mark = mark_of(tag, attributes, article)
+        if mark in (LOOSE, TEASER):
+            areas.append((area, mark))
+            area = len(areas) - 1
+        elif mark == COMMENT:
+            comments.append([comment, False])
+            comment = len(comments) - 1
+        else:
+            firm = max(firm, mark)
+        # The page's main element ends all marks but hidden ones; an article those of elements that hold no others.
+        if tag == "main":
+            firm, comment = firm if firm == HIDDEN else NONE, -1
+        if area >= 0 and (tag == "main" or tag == "article" and areas[area][1] == LOOSE):
+            areas.append((area, NONE))
+            area = len(areas) - 1
+        if tag == "h1" and comment >= 0:
+            comments[comment][1] = True
         article = article or tag in ("article", "main")
-        stack.append((tag, article, furniture))
+        stack.append((tag, article, firm, comment, area))
     close()
-    return blocks
+    return weighed(blocks, comments, areas)
+
+
+def weighed(blocks: list[tuple], comments: list[list], areas: list[tuple[int, int]]) -> list[tuple]:
+    for outer, titled in reversed(comments):        # inner ones come later
+        if outer >= 0 and titled:
+            comments[outer][1] = True
+    furniture = [int(firm != NONE or comment >= 0 and not comments[comment][1]) for *_, firm, comment, _ in blocks]
+    inside, total = [0] * len(areas), 0
+    for (_, words, linked, _, _, _, area), aside in zip(blocks, furniture):
+        if not aside:
+            total += words - linked
+            if area >= 0:
+                inside[area] += words - linked
+    for i in range(len(areas) - 1, -1, -1):
+        if areas[i][0] >= 0:
+            inside[areas[i][0]] += inside[i]
+    # The innermost element counts: of those around a block it leaves the most outside.
+    outside = [0.0 if mark == NONE else 1 - inside[i] / total if total else 1.0 for i, (_, mark) in enumerate(areas)]
+    return [(text, words, linked, int(article), aside, outside[area] if area >= 0 else 0.0)
+            for (text, words, linked, article, _, _, area), aside in zip(blocks, furniture)]
 
 
 def main_text(html: str | None, tree) -> tuple[str, int, int]:
     """The kept blocks joined by one space, the count of all blocks and of kept ones."""
     blocks = text_blocks(html or "")
-    described = [(words, linked / words) for _, words, linked, _, _ in blocks]
+    described = [(words, linked / words) for _, words, linked, *_ in blocks]
     kept = []
-    for i, (text, words, linked, article, furniture) in enumerate(blocks):
+    for i, (text, _, _, *places) in enumerate(blocks):
         before = described[i - 1] if i else (0, 0.0)
         after = described[i + 1] if i + 1 < len(blocks) else (0, 0.0)
-        if decide(tree, (*described[i], *before, *after, article, furniture)):
+        if decide(tree, (*described[i], *before, *after, *places)):
             kept.append(text)
     return " ".join(kept), len(blocks), len(kept)
 

@@ -146,6 +146,32 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0), "main").count() == 0
 
 
+def test_furniture_marks_do_not_swallow_pages(spark):
+    a, b, c = prose(60, 1), prose(45, 2), prose(70, 3)
+    body = f"<div class=menu><a href=1>One</a> <a href=2>Two</a></div><div><p>{a}</p><p>{b}</p></div>"
+    article = f"<article><h1>Title here</h1><p>{a}</p><p>{b}</p></article>"
+    talk = f"<div class='comments'><article class=comment><p>{c}</p></article></div>"
+    pages = [
+        f"<body><form id=aspnetForm>{body}</form></body>", f"<body><form>{article}</form>",
+        f"<div class='header-fixed wrapper'>{body}</div>", f"<div class='header-fixed wrapper'>{article}{talk}</div>",
+        f"<div id=search-page>{article}</div><div>{c}</div>", f"<div class='comments-bar site'>{article}{talk}</div>",
+        f"<main><div id=related>{c}</div><p>{a}</p><p>{b}</p></main><aside><article>{c}</article></aside>",
+        f"<article><p>{a}</p><form><p>Give us your address for the weekly letter with all news</p></form><p>{b}</p></article>",
+        f"<article><h1>T</h1><p>{a}</p><h2 id=related-work>Related work</h2><p>{b}</p>"
+        f"<section id=discussion><h2>Discussion</h2><p>{c}</p></section><div id=comments><p>{c}</p></div></article>",
+        f"<article><p>{a}</p><p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>4</mn></mrow><annotation "
+        "encoding='application/x-tex'>x = 4</annotation></semantics></math> holds</p></article>",
+        f"<div hidden>{article}</div><p>{c}</p>", f"<div class=comments><p>{c}</p><p>{a}</p></div>",
+    ]
+    want = [f"{a} {b}", f"Title here {a} {b}", f"{a} {b}", f"Title here {a} {b}", f"Title here {a} {b} {c}",
+            f"Title here {a} {b}", f"{a} {b}", f"{a} {b}", f"T {a} Related work {b} Discussion {c}",
+            f"{a} so x=4 holds", c, ""]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    got = {r.page_id: r.main.text for r in html_text.extract(df, "main").collect()}
+    for i, text in enumerate(want):
+        assert got[i] == text, i
+
+
 def test_tree_learns_its_table():
     tree = html_text.grow(html_text.LABELLED)
     wrong = [r for r in html_text.LABELLED if html_text.decide(tree, r[:-1]) != r[-1]]
