@@ -1,11 +1,15 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on long tokens.
 
 Patterns give spans of kinds assign, access and hex. Beside them every run of 20 or
-more token characters with a digit and a letter is a candidate. Its encoding is
+more token characters with a letter is a candidate. Its encoding is
 inferred from its characters, which maps them to numbers below the alphabet's size;
-three tests ask whether these could be drawn at random: chi-squared uniformity over
-the alphabet, runs above and below the alphabet's middle, and serial correlation.
-The smallest of their p-values, times three, is the candidate's p-value.
+four tests ask whether these could be drawn at random: chi-squared uniformity over
+the alphabet, the shares of capitals, small letters and other characters, runs above
+and below the alphabet's middle, and serial correlation. The smallest of their
+p-values, times four, is the candidate's p-value.
+
+A run that no alphabet can spell is cut into its pieces of either 64-letter alphabet,
+each a candidate from 20 characters on. Pieces of the two alphabets may overlap.
 
 Length decides how much a test can see, so false discoveries are controlled within
 bands of length (powers of two): the Benjamini-Hochberg rule over all candidates of a
@@ -20,6 +24,8 @@ without candidates nothing is added.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.common import fresh
@@ -34,6 +40,8 @@ KINDS = ["assign", "access", "hex", "random"]
 LEAST_VALUE = 8
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+# Pieces of a run with characters of both: of the standard and of the URL-safe 64-letter alphabet.
+PIECES = [r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}+={0,2}", r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+={0,2}"]
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 # Alphabets from narrow to wide, each with the pattern of tokens it can spell.
 ENCODINGS = [
@@ -101,6 +109,16 @@ def p_random(token: Column) -> Column:
         chi = F.aggregate(occurs, F.lit(0.0), lambda s, c: s + c * c) * k / n - n
         z_chi = (chi - (k - 1)) / F.sqrt(2.0 * (k - 1) * (n - 1) / n)
 
+        shares = []
+        for own in ("[^A-Z]", "[^a-z]", "[A-Za-z]"):
+            share = len(re.sub(own, "", alphabet)) / k
+            if share:
+                found = F.length(F.regexp_replace(body, own, "")).cast("double")
+                shares.append((found - n * share) * (found - n * share) / (n * share))
+        distance = sum(shares[1:], shares[0])
+        # Of three classes the tail is exact; two have one degree of freedom.
+        p_class = F.exp(-distance / 2) if len(shares) == 3 else 2 * upper_tail(F.sqrt(distance))
+
         halves = F.translate(body, alphabet, "0" * (k // 2) + "1" * (k - k // 2))
         n0 = F.length(F.replace(halves, F.lit("1"), F.lit(""))).cast("double")
         n1 = n - n0
@@ -118,22 +136,32 @@ def p_random(token: Column) -> Column:
             F.zip_with(F.slice(near, F.lit(1), F.size(near) - 1), F.slice(near, F.lit(2), F.size(near) - 1),
                        lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
         z_serial = F.when(square == 0, 8.0).otherwise(F.abs(lagged / square + 1 / n) * F.sqrt(n))
-        return F.least(F.lit(1.0), 3 * F.least(upper_tail(z_chi), 2 * upper_tail(z_runs), 2 * upper_tail(z_serial)))
+        return F.least(F.lit(1.0), 4 * F.least(
+            upper_tail(z_chi), p_class, 2 * upper_tail(z_runs), 2 * upper_tail(z_serial)))
 
     chosen = None
     for pattern, alphabet in ENCODINGS:
         fits = token.rlike(pattern)
         chosen = F.when(fits, battery(alphabet)) if chosen is None else chosen.when(fits, battery(alphabet))
-    mixed = token.rlike("[0-9]") & token.rlike("[A-Za-z]")
-    return F.when(mixed, chosen)
+    return F.when(token.rlike("[A-Za-z]"), chosen)
 
 
 def scan(docs: DataFrame, base: str, candidates: str, *, text: str = "text") -> DataFrame:
     """``docs`` with ``base``: spans (start, end, kind) of the patterns, and ``candidates``: tested tokens."""
-    clean, a, b, c, d = (fresh(docs, x) for x in ("clean", "assign", "access", "hex", "tokens"))
+    clean, a, b, c, d, cut, e, f = (fresh(docs, x) for x in (
+        "clean", "assign", "access", "hex", "tokens", "cut", "standard", "url_safe"))
     df = docs.withColumn(clean, F.translate(F.coalesce(F.col(text), F.lit("")), MARK, OTHER))
     for pattern, name in ((ASSIGN, a), (ACCESS, b), (HEX, c), (CANDIDATE, d)):
         df = with_matches(df, clean, pattern, name)
+    unspelt = lambda x: x.found.rlike("[+/]") & x.found.rlike("[_-]")
+    df = df.withColumn(cut, F.when(F.exists(d, unspelt), F.col(clean)).otherwise(""))
+    for pattern, name in zip(PIECES, (e, f)):
+        df = with_matches(df, cut, pattern, name)
+    # Every piece lies in one run.
+    pieces = F.filter(F.concat(e, f), lambda x: F.exists(
+        F.filter(d, unspelt), lambda t: (t.start <= x.start) & (x.end <= t.end)))
+    tokens = F.concat(F.filter(d, lambda x: ~unspelt(x)), F.when(F.exists(d, unspelt), pieces).otherwise(
+        F.array().cast("array<struct<start:bigint,end:bigint,found:string>>")))
     of_kind = lambda column, kind: F.transform(column, lambda x: F.struct(
         x.start.alias("start"), x.end.alias("end"), F.lit(kind).alias("kind")))
     long_enough = F.filter(a, lambda x: F.length(F.regexp_extract(x.found, ASSIGN, 2)) >= LEAST_VALUE)
@@ -144,13 +172,13 @@ def scan(docs: DataFrame, base: str, candidates: str, *, text: str = "text") ->
         F.array_sort(F.transform(base, lambda x: F.struct(x.start, x.kind, x.end))),
         lambda x: F.struct(x.start.alias("start"), x.end.alias("end"),
                            F.element_at(F.array(*map(F.lit, KINDS)), x.kind.cast("int") + 1).alias("kind"))))
-    new = F.filter(d, lambda t: ~F.exists(base, lambda x: (x.start < t.end) & (t.start < x.end)))
+    new = F.filter(tokens, lambda t: ~F.exists(base, lambda x: (x.start < t.end) & (t.start < x.end)))
     tested = F.filter(
         F.transform(new, lambda t: F.struct(
             t.start.alias("start"), t.end.alias("end"), p_random(t.found).alias("p"),
             F.least(F.floor(F.log2(t.end - t.start)), F.lit(LONGEST_BAND)).cast("int").alias("band"))),
         lambda t: t.p.isNotNull())
-    return df.withColumn(candidates, tested).drop(clean, a, b, c, d)
+    return df.withColumn(candidates, tested).drop(clean, a, b, c, d, cut, e, f)
 
 
 def thresholds(scanned: DataFrame, candidates: str) -> dict[int, float]:

@@ -228,6 +228,21 @@ def test_battery_tells_random_from_written(spark):
     assert sum(got[i] == ["random"] for i in range(120, 180)) == 0
 
 
+def test_tokens_of_mixed_alphabets_and_without_digits(spark):
+    path, key = "com/v1/user-keys/q7Zp1LmX9sVb3KtR8wYc", "sk_live_wJalrXUtnFEMI/K7MDENG+bPxRfiCYz1"
+    bare = tokens(11, 20, BASE62[:52], 20) + tokens(12, 20, BASE62[:26], 20) + tokens(13, 20, BASE62[:52] + "+/", 24)
+    written = ["-".join(["get_user/name+by", "some_long/path_to_files"] * 3), "theVeryLongNameOfSomeFunctionToCall",
+               "some_long_function_name_for_tests", "erchlichheitpfverlicherchlichheit", "-" * 40]
+    texts = [f"see {t} here" for t in [path, key, *bare, *written]]
+    found = secrets.find_secrets(frame(spark, texts), ["doc_id"]).collect()
+    got = {r.doc_id: [texts[r.doc_id][x.start:x.end] for x in r.spans] for r in found}
+    assert path[-20:] in got[0] and key[8:] in got[1]
+    assert sum(t in got[i + 2] for i, t in enumerate(bare)) >= 57
+    assert [got[i + 2 + len(bare)] for i in range(1, 5)] == [[]] * 4
+    redacted = {r.doc_id: r.text for r in secrets.redact(frame(spark, texts)).collect()}
+    assert path[-20:] not in redacted[0] and key[8:] not in redacted[1]
+
+
 def test_redaction(spark):
     texts = secret_texts()
     docs = frame(spark, texts, extra=True)
