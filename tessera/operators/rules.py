@@ -79,14 +79,20 @@ ACTIVITY_RULES = [
 ]
 
 
+def _others(df: DataFrame, rules: list[Rule]) -> list[str]:
+    ruled = {rule.column for rule in rules}
+    return [c for c in df.columns if c not in ruled]
+
+
 def _measured(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row: the row count, and per rule the violations and nulls."""
+    """One row: the row count, per rule the violations and nulls, and the nulls of columns without rules."""
     have = set(df.columns)
     measures = ["count(1) AS row_count"]
     for i, rule in enumerate(rules):
         there = rule.column in have
         measures.append(f"{f'count_if({rule.broken_sql()})' if there else 'count(1)'} AS failed_{i}")
         measures.append(f"{f'count_if(`{rule.column}` IS NULL)' if there else 'count(1)'} AS null_{i}")
+    measures += [f"count_if(`{c}` IS NULL) AS other_{i}" for i, c in enumerate(_others(df, rules))]
     return df.selectExpr(*measures)
 
 
@@ -142,7 +148,8 @@ def validate(df: DataFrame, rules: list[Rule], table: str, key: list[str] = NATU
     tally = " + ".join(f"CAST({p} AS BIGINT)" for p in passed)
     texts = ", ".join(
         f"CASE WHEN NOT {p} THEN {string_sql(f'{r.column}: {r.text}')} END" for p, r in zip(passed, rules))
-    nulls = ", ".join(f"{string_sql(r.column)}, null_{i}" for i, r in enumerate(rules))
+    nulls = ", ".join([f"{string_sql(r.column)}, null_{i}" for i, r in enumerate(rules)]
+                      + [f"{string_sql(c)}, other_{i}" for i, c in enumerate(_others(df, rules))])
     return _measured(df, rules).select(
         F.lit(table).alias("table"),
         F.expr(f"({tally}) = {len(rules)}").alias("passed"),

@@ -58,6 +58,9 @@ def _record(spark: SparkSession, layout: Layout, layer: str, batch_id: str, pipe
 def run_bronze(spark: SparkSession, layout: Layout, batch_id: str, reload_days: bool = False) -> int | None:
     """Ingest all raw files; None where there are none.
 
+    Lines that do not fit the schema also go, as text, to the reject table, partitioned by
+    batch; a reload of days keeps the rejects of other batches. Without any there are no files.
+
     ``reload_days`` replaces only the days found in the files.
     """
     try:
@@ -69,6 +72,9 @@ def run_bronze(spark: SparkSession, layout: Layout, batch_id: str, reload_days:
     target = layout.table("bronze.cdr_records")
     count = sinks.write_table(rows, target, partition_by="_date_partition",
                               only_given_partitions=reload_days, fmt=layout.fmt)["rows"]
+    bad = activity.rejects(spark, layout.raw, batch_id, layout.glob).withColumn("batch", F.col("_batch_id"))
+    sinks.write_table(bad, layout.table("bronze.cdr_rejects"), partition_by="batch",
+                      only_given_partitions=reload_days, fmt=layout.fmt)
     _record(spark, layout, "bronze", batch_id, "bronze_ingestion", [
         {"table": "cdr_records", "source": layout.raw, "target": target, "rows": count}])
     return count

@@ -101,6 +101,20 @@ def bronze_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _per_day(activity.bronze(spark, _daily_files(spark, sf), BATCH, "*.csv"))
 
 
+@query
+def bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected lines of the daily files and of planted ones: a word for the time, or too few fields."""
+    raw = _daily_files(spark, sf)
+    bad = records(spark, sf).where("pmod(time_interval, 12000000) = 0").selectExpr(
+        "CASE WHEN country_code % 2 = 0 THEN concat_ws('\t', square_id, 'soon', country_code, '1', '1', '1', '1', '1') "
+        "ELSE concat_ws('\t', square_id, time_interval) END AS value")
+    bad.write.mode("append").text(raw)
+    found = activity.rejects(spark, raw, BATCH, "part-*")
+    return found.groupBy(F.col("_corrupt_record").alias("line"), F.col("_batch_id").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count(F.when(F.col("_source_file").contains("/part-"), 1)).alias("rows_with_source"))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     raw, target = _daily_files(spark, sf), scratch_path(spark, "bronze")
@@ -251,8 +265,14 @@ def validation_result(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def validation_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the columns with rules, as its SQL; the results hold the nulls of every column."""
+    ruled = {"silver": rules.ACTIVITY_RULES, "raw": rules.ACTIVITY_RULES, "orders": commerce.ORDER_RULES,
+             "customer": commerce.CUSTOMER_RULES, "part": commerce.PRODUCT_RULES, "lineitem": commerce.LINE_RULES}
+    listed = F.lit(False)
+    for name, own in ruled.items():
+        listed = listed | (F.col("table_name") == name) & F.col("column_name").isin([r.column for r in own])
     return _results(spark, sf).select(
-        F.col("table").alias("table_name"), F.explode("null_counts").alias("column_name", "null_count"))
+        F.col("table").alias("table_name"), F.explode("null_counts").alias("column_name", "null_count")).where(listed)
 
 
 @query

@@ -10,7 +10,8 @@ from tessera.schema import (
     ACTIVITY, LABELLED_ACTIVITY, NATURAL_KEY, PIPELINE_VERSION, RAW_ACTIVITY, RAW_GLOB, SLOT_MS,
 )
 
-_CORRUPT = "_corrupt_record"
+CORRUPT = "_corrupt_record"
+RAW_OR_CORRUPT = T.StructType(RAW_ACTIVITY.fields + [T.StructField(CORRUPT, T.StringType())])
 
 # Event type -> activity column (fixed values of the test tables).
 EVENT_COLUMNS = {
@@ -28,10 +29,9 @@ def read_raw(spark: SparkSession, folder: str, glob: str = RAW_GLOB) -> DataFram
     Lines that do not fit the schema keep their text in ``_corrupt_record``
     instead of failing the batch.
     """
-    schema = T.StructType(RAW_ACTIVITY.fields + [T.StructField(_CORRUPT, T.StringType())])
     return (
-        spark.read.schema(schema)
-        .options(sep="\t", header="false", mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
+        spark.read.schema(RAW_OR_CORRUPT)
+        .options(sep="\t", header="false", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
         .csv(f"{folder.rstrip('/')}/{glob}")
     )
 
@@ -49,12 +49,12 @@ def _whole_line() -> Column:
 
 
 def accepted(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col(_CORRUPT).isNull() & _whole_line()).drop(_CORRUPT)
+    return raw.where(F.col(CORRUPT).isNull() & _whole_line()).drop(CORRUPT)
 
 
 def rejected(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col(_CORRUPT).isNotNull() & _whole_line()).select(
-        F.col("_metadata.file_path").alias("_source_file"), F.col(_CORRUPT)
+    return raw.where(F.col(CORRUPT).isNotNull() & _whole_line()).select(
+        F.col("_metadata.file_path").alias("_source_file"), F.col(CORRUPT)
     )
 
 
@@ -78,9 +78,18 @@ def with_audit_columns(df: DataFrame, batch_id: str, version: str = PIPELINE_VER
 def bronze(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
     """Raw files as the bronze table: every readable line, unchanged, plus audit columns.
 
-    Partly readable lines stay in, with nulls where a field did not parse.
+    Partly readable lines stay in, with nulls where a field did not parse; ``rejects`` has their text.
     """
-    return with_audit_columns(read_raw(spark, folder, glob), batch_id).drop(_CORRUPT)
+    return with_audit_columns(read_raw(spark, folder, glob), batch_id).drop(CORRUPT)
+
+
+def with_reject_columns(bad: DataFrame, batch_id: str) -> DataFrame:
+    return bad.select("*", F.current_timestamp().alias("_rejected_at"), F.lit(batch_id).alias("_batch_id"))
+
+
+def rejects(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
+    """Every line that does not fit the schema: file, text, time and batch."""
+    return with_reject_columns(rejected(read_raw(spark, folder, glob)), batch_id)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

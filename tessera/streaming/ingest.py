@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.schema import RAW_ACTIVITY, RAW_GLOB
-from tessera.sources.activity import with_audit_columns
+from tessera.sources.activity import CORRUPT, RAW_OR_CORRUPT, rejected, with_audit_columns, with_reject_columns
 
 
 def raw_stream(spark: SparkSession, folder: str, glob: str = RAW_GLOB) -> DataFrame:
@@ -17,13 +17,32 @@ def raw_stream(spark: SparkSession, folder: str, glob: str = RAW_GLOB) -> DataFr
     )
 
 
+def reject_stream(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
+    raw = (
+        spark.readStream.schema(RAW_OR_CORRUPT)
+        .options(sep="\t", header="false", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob)
+        .csv(folder)
+    )
+    return with_reject_columns(rejected(raw), batch_id)
+
+
 def ingest_new_files(spark: SparkSession, folder: str, target: str, checkpoint: str, batch_id: str,
                      glob: str = RAW_GLOB) -> StreamingQuery:
     """Append unseen files to the bronze table and stop.
 
     The checkpoint remembers which files were taken and the file sink commits
     whole micro-batches, so a run cut short neither loses nor repeats a file.
+
+    Before that, lines that do not fit the schema are added as text to the table
+    ``{target}_rejects``, with a checkpoint of its own: the rejects of a file that
+    arrives in between follow in the next run.
     """
+    (
+        reject_stream(spark, folder, batch_id, glob).writeStream.format("parquet")
+        .option("checkpointLocation", f"{checkpoint}_rejects")
+        .trigger(availableNow=True)
+        .start(f"{target}_rejects")
+    ).awaitTermination()
     rows = with_audit_columns(raw_stream(spark, folder, glob), batch_id)
     return (
         rows.writeStream.format("parquet").partitionBy("_date_partition")

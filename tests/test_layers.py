@@ -51,6 +51,27 @@ def test_bronze_keeps_every_line_and_notes_bad_ones(spark, tmp_path):
     assert bronze[0]["_batch_id"] == "b1" and bronze[0]["_pipeline_version"] == "3.0.0"
 
 
+def test_rejects_are_written_with_file_and_text(spark, tmp_path):
+    raw, lake = tmp_path / "raw", layers.Layout(str(tmp_path / "lake"), str(tmp_path / "raw"))
+    bad = ["x\ty\tz", line(2, "soon", 1, 1, 1, 1, 1)]
+    day_file(raw, 1, [line(1, START, 1.5, None, 2.0, 0.0, 3.0), *bad])
+
+    def texts(path):
+        return sorted((r["_corrupt_record"], r["_source_file"][-6:], r["_batch_id"]) for r in spark.read.parquet(path).collect())
+
+    assert layers.run_bronze(spark, lake, "b1") == 3
+    want = sorted((t, "01.txt", "b1") for t in bad)
+    assert texts(lake.table("bronze.cdr_rejects")) == want
+    target, progress = str(tmp_path / "streamed"), str(tmp_path / "progress")
+    for _ in range(2):
+        ingest.ingest_new_files(spark, lake.raw, target, progress, "b1").awaitTermination()
+    assert texts(f"{target}_rejects") == want and spark.read.parquet(target).count() == 3
+    other = tmp_path / "other"
+    day_file(other, 2, ["p\tq"])
+    layers.run_bronze(spark, layers.Layout(lake.root, str(other)), "b2", reload_days=True)
+    assert texts(lake.table("bronze.cdr_rejects")) == sorted([*want, ("p\tq", "02.txt", "b2")])
+
+
 def test_labelled_files(spark, tmp_path):
     (tmp_path / "l.csv").write_text(
         ",".join(RAW_ACTIVITY.fieldNames()) + ",is_anomaly_injected,anomaly_type\n1,5,39,1,2,3,4,5,true,dead_zone\n")

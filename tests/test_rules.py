@@ -104,3 +104,9 @@ def test_report_document_and_lines(spark):
         "- **Failures:**", "  - `x: bad`", "  - `y: bad`", ""]
     latest = report.latest_documents(document.unionByName(both)).collect()
     assert [r["batch_id"] for r in latest] == ["TEST_002"]
+
+
+def test_nulls_of_columns_without_rules(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None)], "id int, more string, other string")
+    got = rules.validate(df, [Rule("id", "int"), Rule("gone", "int")], "t", ["id"]).first()["null_counts"]
+    assert got == {"id": 0, "gone": 2, "more": 2, "other": 1}
