@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, html_text, kdsearch, kdshards, licenses, packing, secrets, simhash, substrings, toxicity
+from tessera.llm import (
+    decontaminate, html_text, kdsearch, kdshards, licenses, packing, secrets, simhash, substrings, toxicity, whitening,
+)
 from tessera.llm.common import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +95,12 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer_path())
+
+
+@query
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(vectors, whitening.fit(vectors), "w")
+    entries = F.arrays_zip(F.col("w.whitened").alias("whitened"), F.col("w.explained").alias("explained"))
+    return white.select("vec_id", "w.n", "w.deviation", "w.identity_error", F.posexplode(entries).alias("at", "c")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
