@@ -67,16 +67,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def intermediate_path(spark: SparkSession, name: str) -> str:
+    """A new path under the scratch folder that ``release`` will remove."""
+    path = scratch_path(spark, name)
+    _materialized.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and continue from the written table.
 
     Used where several passes follow (fits, quantiles): the passes share one
     computation, read only the columns they need, and see the same values even
     after an executor is lost and its floating-point sums are redone.
     """
-    path = scratch_path(df.sparkSession, name)
-    _materialized.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
+    path = intermediate_path(df.sparkSession, name)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
