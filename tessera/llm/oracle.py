@@ -13,6 +13,9 @@ def _alnum_words(text: str) -> str:
     return rf"list_filter(string_split_regex({plain}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 
 
+_BLANKS = " || ".join(f"chr({c})" for c in [32, *range(9, 14)])
+
+
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
         WITH v AS (
@@ -69,4 +72,16 @@ ORACLE: dict[str, str] = {
                coalesce(met.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(words) AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN met USING (doc_id)""",
+    "op12_line_dedup": rf"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (
+            SELECT doc_id, i, line, translate(trim(line, {_BLANKS}), '{UPPER}', '{LOWER}') AS key
+            FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+        f AS (
+            SELECT key, max(doc_id) AS holder FROM l WHERE length(key) >= 40
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        marked AS (SELECT doc_id, i, line, coalesce(doc_id < holder, false) AS gone FROM l LEFT JOIN f USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import (
-    decontaminate, html_text, kdsearch, kdshards, licenses, packing, secrets, simhash, substrings, toxicity, whitening,
+    decontaminate, html_text, kdsearch, kdshards, licenses, lines, packing, secrets, simhash, spelling, substrings, toxicity,
+    whitening,
 )
 from tessera.llm.common import sha256_hex, table
 
@@ -104,3 +105,15 @@ def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
     entries = F.arrays_zip(F.col("w.whitened").alias("whitened"), F.col("w.explained").alias("explained"))
     return white.select("vec_id", "w.n", "w.deviation", "w.identity_error", F.posexplode(entries).alias("at", "c")).select(
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.remove_repeated_lines(docs, "made").select(
+        "doc_id", "made.n_lines", "made.n_dropped", sha256_hex(F.col("made.text")).alias("kept_sha256"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf, "documents"), noise=97))

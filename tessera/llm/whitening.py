@@ -49,6 +49,11 @@ NO_VARIANCE = 1e-15     # of the largest variance: less counts as none
 UNIT = 2.0 ** -53
 
 
+def _size(x: np.ndarray) -> float:
+    """The largest absolute value."""
+    return float(np.abs(x.astype(float)).max(initial=0))
+
+
 @dataclass(frozen=True)
 class Whitening:
     """What was fitted on the vectors of one length."""
@@ -62,9 +67,11 @@ class Whitening:
     identity_error: float | None = None
 
     def centred(self, x: np.ndarray) -> np.ndarray:
-        """x - sums / n; the whole part is taken off exactly, as integers."""
+        """x - sums / n; the whole part is taken off exactly, as integers, where 64 bits hold the difference."""
         whole = np.array([s // self.n for s in self.sums])
         rest = np.array([s % self.n for s in self.sums], float) / self.n
+        if max(_size(x), _size(whole)) >= 2.0 ** 62:
+            return (x.astype(float) - whole) - rest
         return (x - whole) - rest
 
     def whitened(self, x: np.ndarray) -> np.ndarray:
@@ -74,12 +81,11 @@ class Whitening:
 
     def deviations(self, x: np.ndarray) -> list[int | None]:
         """Sum over the dimensions of (n * x - sum)^2, by integers."""
-        away = x - np.array([s // self.n for s in self.sums])
-        rest = [s % self.n for s in self.sums]
-        most = (self.n * (float(np.abs(away).max(initial=0)) + 1)) ** 2 * max(self.dim, 1)
-        if most < 2.0 ** 62:
-            return ((self.n * away - np.array(rest)) ** 2).sum(axis=1).tolist()
-        exact = [sum((self.n * a - r) ** 2 for a, r in zip(row, rest)) for row in away.tolist()]
+        mean = [s // self.n for s in self.sums]
+        most = self.n * (_size(x) + _size(np.array(mean)) + 1)
+        if most ** 2 * self.dim < 2.0 ** 62:
+            return ((self.n * x - np.array(self.sums)) ** 2).sum(axis=1).tolist()
+        exact = [sum((self.n * a - s) ** 2 for a, s in zip(row, self.sums)) for row in x.tolist()]
         return [d if d < 2 ** 63 else None for d in exact]
 
 

@@ -110,3 +110,12 @@ def test_large_deviation():
     want = [sum((10 * int(a) - s) ** 2 for a, s in zip(r, (3, -4))) for r in x.tolist()]
     assert big.deviations(x) == [None if w >= 2 ** 63 else w for w in want]
     assert big.deviations(x[1:]) == want[1:]
+
+
+def test_entries_beyond_64_bits(spark):
+    rows = [(1, [1e300, 1.0]), (2, [-1e300, 2.0]), (3, [0.0, 4.0]), (4, [1e300, 8.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    models = whitening.fit(df)
+    got = {r.vec_id: r.w for r in whitening.whiten(df, models, "w").collect()}
+    assert all(r.deviation is None for r in got.values())
+    assert got[1].whitened[0] * got[2].whitened[0] < 0 and abs(got[3].whitened[0]) < abs(got[2].whitened[0])
