@@ -17,7 +17,7 @@ def _over_activity(function, prefix: str) -> list:
 
 
 def hourly_grid_activity(silver: DataFrame) -> DataFrame:
-    """Average and peak activity per square, hour of day and day of week."""
+    """The weekly profile of each square: one row per hour of the week in which it had records."""
     return current(silver).groupBy("square_id", "hour_of_day", "day_of_week").agg(
         *_over_activity(F.avg, "avg"),
         F.max("internet").alias("peak_internet"),
@@ -25,22 +25,14 @@ def hourly_grid_activity(silver: DataFrame) -> DataFrame:
     )
 
 
-def daily_country_usage(silver: DataFrame, approximate_squares: bool = False) -> DataFrame:
-    """Total activity and number of active squares per country and day.
+def daily_country_usage(silver: DataFrame) -> DataFrame:
+    """Sums per country and day, with the squares that had records.
 
     Aggregated per square first: the second step then counts squares without a
     distinct, and a country holding most rows reaches the shuffle as one row per
-    square, day and map task. ``approximate_squares`` trades the per-square step
-    for a sketch.
+    square, day and map task. ``partials`` has stored sketches for longer spans.
     """
-    rows = current(silver)
-    if approximate_squares:
-        return rows.groupBy("country_code", "date").agg(
-            *_over_activity(F.sum, "total"),
-            F.count(F.lit(1)).alias("record_count"),
-            F.approx_count_distinct("square_id").alias("active_squares"),
-        )
-    per_square = rows.groupBy("country_code", "date", "square_id").agg(
+    per_square = current(silver).groupBy("country_code", "date", "square_id").agg(
         *_over_activity(F.sum, "total"), F.count(F.lit(1)).alias("record_count")
     )
     return per_square.groupBy("country_code", "date").agg(
@@ -51,7 +43,7 @@ def daily_country_usage(silver: DataFrame, approximate_squares: bool = False) ->
 
 
 def square_totals(silver: DataFrame) -> DataFrame:
-    """Cumulative activity and grid position per square."""
+    """What each square has summed up to, and where it lies."""
     sums = current(silver).groupBy("square_id").agg(
         *_over_activity(F.sum, "total"),
         F.max("internet").alias("peak_internet"),

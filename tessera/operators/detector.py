@@ -1,9 +1,10 @@
 """Reconstruction-error anomaly detection.
 
 A row's error is the part of its standardised features that a low-dimensional
-linear bottleneck cannot reproduce. Fitting is one aggregation (means, variances
-and covariances of the clean rows) plus an exact percentile; scoring is column
-arithmetic with the fitted numbers, so rows never leave the executors.
+linear bottleneck cannot reproduce. Fitting needs means, variances and covariances
+of the clean rows (two aggregations, or the merged states of days kept before) plus
+an exact percentile; scoring is column arithmetic with the fitted numbers, so rows
+never leave the executors.
 
 ``rank=4`` keeps four components. ``rank=0`` keeps none: the error is then the
 mean squared z-score.
@@ -12,8 +13,9 @@ mean squared z-score.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tessera.functions.activity import (
     anomaly_class_sql, cleaned_sql, lenient_number_sql, number_sql, present,
 )
+from tessera.operators import moments
 from tessera.operators.cleaning import clean
 from tessera.operators.order_stats import exact_percentiles
 from tessera.schema import ACTIVITY, FLAGS, NATURAL_KEY
@@ -117,49 +120,68 @@ class Detector:
         )
 
 
+def feature_rows(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The features as columns, with the columns to ``keep``."""
+    return rows.selectExpr(*(keep or []), *[f"{text} AS {name}" for text, name in zip(features_sql(rows), FEATURES)])
+
+
 def _moments(rows: DataFrame, pairs: bool) -> dict:
-    x = rows.selectExpr(*[f"{text} AS {name}" for text, name in zip(features_sql(rows), FEATURES)])
+    """n, means, deviations and, with ``pairs``, covariances."""
+    x = feature_rows(rows)
+    if pairs:
+        return _of_state(moments.states(x, FEATURES))
     measures = ["count(1) AS n"]
     for i, name in enumerate(FEATURES):
         measures += [f"avg({name}) AS mean_{i}", f"stddev_pop({name}) AS std_{i}"]
-    # Mean products rather than covar_pop: 21 of those would need more buffer
-    # fields than Spark generates code for (spark.sql.codegen.maxFields).
-    crossed = list(combinations(range(len(FEATURES)), 2)) if pairs else []
-    measures += [f"avg({FEATURES[i]} * {FEATURES[j]}) AS product_{i}_{j}" for i, j in crossed]
-    found = x.selectExpr(*measures).first().asDict()
-    for i, j in crossed if found["n"] else []:
-        found[f"cov_{i}_{j}"] = found.pop(f"product_{i}_{j}") - found[f"mean_{i}"] * found[f"mean_{j}"]
-    return found
+    return x.selectExpr(*measures).first().asDict()
+
 
+def _of_state(state: DataFrame) -> dict:
+    found = state.first()
+    if found is None:
+        return {"n": 0}
+    out = {"n": found.n, **{f"mean_{i}": m for i, m in enumerate(found.means)}}
+    for (i, j), c in zip(combinations_with_replacement(range(len(FEATURES)), 2), found.comoments):
+        out[f"std_{i}" if i == j else f"cov_{i}_{j}"] = math.sqrt(max(c, 0.0) / found.n) if i == j else c / found.n
+    return out
 
-def _unexplained(moments: dict, scale: list[float], rank: int) -> list[list[float]]:
+
+def _unexplained(found: dict, scale: list[float], rank: int) -> list[list[float]]:
     """Unit directions left out by the ``rank`` leading principal components."""
     size = len(FEATURES)
     if rank == 0:
         return np.eye(size).tolist()
     correlation = np.zeros((size, size))
     for i in range(size):
-        correlation[i, i] = (moments[f"std_{i}"] / scale[i]) ** 2
+        correlation[i, i] = (found[f"std_{i}"] / scale[i]) ** 2
         for j in range(i + 1, size):
-            correlation[i, j] = correlation[j, i] = moments[f"cov_{i}_{j}"] / (scale[i] * scale[j])
+            correlation[i, j] = correlation[j, i] = found[f"cov_{i}_{j}"] / (scale[i] * scale[j])
     _, directions = np.linalg.eigh(correlation)      # ascending eigenvalues
     return directions[:, : size - rank].T.tolist()
 
 
-def fit(silver: DataFrame, rank: int = BOTTLENECK, percentile: float = PERCENTILE) -> Detector:
+def day_states(silver: DataFrame, day: str = "date") -> DataFrame:
+    """Moments of the clean rows' features per day: what ``fit`` needs of a day, whatever it held."""
+    return moments.states(feature_rows(clean(silver), [f"`{day}`"]), FEATURES, [day])
+
+
+def fit(silver: DataFrame, rank: int = BOTTLENECK, percentile: float = PERCENTILE,
+        days: DataFrame | None = None) -> Detector:
     """Fit on rows without quality flags; the threshold is a percentile of their errors.
 
-    ``silver`` is read a few times and should be a written table.
+    ``silver`` is read a few times and should be a written table. ``days`` holds its
+    ``day_states``, written before; then only the threshold reads the rows.
     """
     training = clean(silver)
-    moments = _moments(training, pairs=rank > 0)
-    if not moments["n"]:
+    found = (_moments(training, pairs=rank > 0) if days is None
+             else _of_state(moments.merged(days, len(FEATURES))))
+    if not found["n"]:
         raise ValueError("no clean rows to fit on")
     size = range(len(FEATURES))
-    mean = [moments[f"mean_{i}"] for i in size]
+    mean = [found[f"mean_{i}"] for i in size]
     # A constant feature is left unscaled.
-    scale = [moments[f"std_{i}"] or 1.0 for i in size]
-    shape = Detector(mean, scale, _unexplained(moments, scale, rank), rank, moments["n"], percentile)
+    scale = [found[f"std_{i}"] or 1.0 for i in size]
+    shape = Detector(mean, scale, _unexplained(found, scale, rank), rank, found["n"], percentile)
     errors = training.select(shape.error(training).alias("error"))
     threshold = exact_percentiles(errors, "error", [percentile / 100.0])[0]
     return Detector(**{**shape.__dict__, "threshold": threshold})
@@ -222,7 +244,10 @@ def anomaly_bundle(scores: DataFrame) -> DataFrame:
     """
     classes = anomaly_breakdown(scores).agg(F.sort_array(F.collect_list(F.struct(
         "anomaly_type_predicted", "count", F.round("avg_internet", 6).alias("avg_internet")))))
-    spikes = top_internet_spikes(scores).agg(F.sort_array(F.collect_list(F.struct("internet", *NATURAL_KEY)), False))
+    # Ties in the order of the spikes themselves: the largest value first, then the key upwards.
+    ranked = F.struct(F.col("internet").isNull(), -F.col("internet"), *NATURAL_KEY, "internet")
+    spikes = top_internet_spikes(scores).agg(F.transform(F.sort_array(F.collect_list(ranked)), lambda x: F.struct(
+        x["internet"].alias("internet"), *(x[k].alias(k) for k in NATURAL_KEY))))
     return anomaly_statistics(scores).select(
         "*", classes.scalar().alias("breakdown"), spikes.scalar().alias("top_internet"))
 

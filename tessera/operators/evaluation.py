@@ -41,7 +41,9 @@ def inject_anomalies(records: DataFrame, rate: float = RATE, seed: int = 42) ->
     so any attempt of any task makes the same choice. Projections; no shuffle.
     """
     lane = lambda i: draw_sql("_digest", i)
-    digested = records.selectExpr("*", f"{key_digest_sql(NATURAL_KEY, seed)} AS _digest")
+    # Generated, not projected: filters on what follows are pushed down as far as here, with the
+    # digest as a column, instead of further, with one digest for each of its uses.
+    digested = records.selectExpr("*", f"explode(array({key_digest_sql(NATURAL_KEY, seed)})) AS _digest")
     chosen = digested.selectExpr("*", f"{lane(0)} % 10000 < {int(round(rate * 10_000))} AS is_anomaly_injected")
     labelled = chosen.selectExpr(
         "*",
@@ -156,12 +158,10 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     # The upper end belongs to the last bin, as in the usual plotting rule.
     inside = F.least(F.floor((v - F.lit(low if known else 0.0)) / F.lit(width)) + 1, F.lit(bins))
     number = F.when(F.isnan(v), -1).when(v == -limit, 0).when(v == limit, bins + 1).otherwise(inside)
-    counted = df.where(v.isNotNull()).groupBy(number.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    start = F.lit(low) + (F.col("bin") - 1) * F.lit(width)
-    every = df.sparkSession.range(1, bins + 1 if known else 1).select(F.col("id").cast("int").alias("bin"))
-    listed = every.join(counted, "bin", "left").select(
-        "bin", start.alias("bin_start"), (start + F.lit(width)).alias("bin_end"),
-        F.coalesce("count", F.lit(0)).cast("long").alias("count"))
-    none = F.lit(None).cast("double")
-    return listed.unionByName(counted.where(~F.col("bin").between(1, bins)).select(
-        "bin", none.alias("bin_start"), none.alias("bin_end"), "count"))
+    # The list of bins goes through the same aggregation, with rows that count nothing.
+    every = df.sparkSession.range(1, bins + 1 if known else 1).select(
+        F.col("id").cast("int").alias("bin"), F.lit(0).alias("one"))
+    rows = df.where(v.isNotNull()).select(number.cast("int").alias("bin"), F.lit(1).alias("one"))
+    start = F.when(F.col("bin").between(1, bins), F.lit(low) + (F.col("bin") - 1) * F.lit(width))
+    return rows.unionByName(every).groupBy("bin").agg(F.sum("one").alias("count")).select(
+        "bin", start.alias("bin_start"), (start + F.lit(width)).alias("bin_end"), "count")

@@ -168,7 +168,7 @@ class Entry:
     owner_team: str
     sensitivity: str
     refresh_schedule: str
-    sla_freshness_hours: int
+    sla_freshness_hours: int | None
     primary_key: list[str]
     pii_columns: list[str] = field(default_factory=list)
     partition_key: str | None = None
@@ -176,34 +176,43 @@ class Entry:
     regulatory_notes: str = ""
 
 
-_NOTES = "GDPR Art. 6 and ePrivacy: location-inferred identifiers, purpose-bound use only"
+_LOCATION = "squares locate subscribers: personal data under GDPR Art. 6 and ePrivacy, use bound to its purpose"
+_SUMS = "sums over many subscribers, none of them identifiable"
 _KEY = ["square_id", "time_interval", "country_code"]
 
 CATALOG = {
     "bronze.cdr_records": Entry(
-        "bronze", "Raw activity per square, slot and country, unchanged, with audit columns",
+        "bronze", "One row per line of the daily files, keyed by square, ten-minute slot and country; five activity "
+        "measures as delivered, null where a field was empty; file, batch and ingest time; a partition per day",
         "network-data", "restricted", "daily", 24, _KEY, ["square_id"], "_date_partition",
-        ["raw", "activity"], _NOTES),
+        ["delivered", "ten-minute"], _LOCATION),
     "silver.cdr_records": Entry(
-        "silver", "Cleaned activity: negatives clipped, timestamps checked, quality flags",
+        "silver", "One row per key; no measure is null or below zero; event time, hour, weekday and date in UTC; three "
+        "flags tell what the delivered values looked like; a partition per date",
         "network-data", "confidential", "daily", 24, _KEY, ["square_id"], "date",
-        ["clean", "activity"], _NOTES),
+        ["deduplicated", "flagged", "ten-minute"], _LOCATION),
     "silver.anomaly_scores": Entry(
-        "silver", "Predicted anomaly class and reconstruction error per record",
+        "silver", "One row per silver row: mean squared residual of its seven features, whether it exceeds the "
+        "threshold of the fitted detector, and the class of the reason",
         "data-science", "confidential", "daily", 36, _KEY, ["square_id"], None,
-        ["scores"], _NOTES),
+        ["detector", "ten-minute"], _LOCATION),
     "gold.hourly_grid_activity": Entry(
-        "gold", "Average and peak activity per square, hour of day and weekday",
+        "gold", "A typical week of every square: means of the five measures and the highest internet value of 168 hours",
         "analytics", "internal", "daily", 48, ["square_id", "hour_of_day", "day_of_week"], [], None,
-        ["aggregate"], "aggregated; no individual records"),
+        ["weekly profile"], _SUMS),
     "gold.daily_country_usage": Entry(
-        "gold", "Total activity per country code and day",
+        "gold", "Sums of the five measures, rows and distinct squares of each calendar day, by the country called",
         "analytics", "internal", "daily", 48, ["country_code", "date"], [], None,
-        ["aggregate"], "aggregated; no individual records"),
+        ["daily sums"], _SUMS),
     "gold.grid_heatmap": Entry(
-        "gold", "Cumulative activity and tier per square",
+        "gold", "Sums since the first day for every square, its row and column in the grid, and the tier its total "
+        "reaches: High from the 80th, Medium from the 40th percent rank",
         "analytics", "internal", "daily", 48, ["square_id"], [], None,
-        ["aggregate"], "aggregated; no individual records"),
+        ["map", "tiers"], _SUMS),
+    "gold.anomaly_summary": Entry(
+        "gold", "Rows, mean residual and mean internet value of each class the detector names, normal rows included",
+        "data-science", "internal", "daily", 48, ["anomaly_type_predicted"], [], None,
+        ["detector", "classes"], _SUMS),
 }
 
 
@@ -227,10 +236,14 @@ def column_catalog(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def data_catalog(tables: dict[str, DataFrame], declared: dict[str, Entry] = CATALOG) -> DataFrame:
-    """Catalog entries of the tables that exist: declared facts plus schema and row count."""
+    """Catalog entries of the tables that exist: declared facts plus schema and row count.
+
+    A table that nobody declared is listed as such, in the layer its name begins with.
+    """
     parts = []
     for name, df in tables.items():
-        entry = declared[name]
+        entry = declared.get(name) or Entry(
+            name.split(".")[0], "undeclared", "unknown", "unclassified", "unknown", None, [])
         pii = [c for c in entry.pii_columns if c in df.columns]
         words = lambda items: F.lit(items) if items else F.array().cast("array<string>")
         parts.append(
@@ -242,7 +255,7 @@ def data_catalog(tables: dict[str, DataFrame], declared: dict[str, Entry] = CATA
                 F.lit(entry.sensitivity).alias("sensitivity"),
                 words(pii).alias("pii_columns"),
                 F.lit(entry.refresh_schedule).alias("refresh_schedule"),
-                F.lit(entry.sla_freshness_hours).alias("sla_freshness_hours"),
+                F.lit(entry.sla_freshness_hours).cast("int").alias("sla_freshness_hours"),
                 words(entry.primary_key).alias("primary_key"),
                 F.lit(entry.partition_key).cast("string").alias("partition_key"),
                 words(entry.tags).alias("tags"),

@@ -148,8 +148,10 @@ def validate(df: DataFrame, rules: list[Rule], table: str, key: list[str] = NATU
     tally = " + ".join(f"CAST({p} AS BIGINT)" for p in passed)
     texts = ", ".join(
         f"CASE WHEN NOT {p} THEN {string_sql(f'{r.column}: {r.text}')} END" for p, r in zip(passed, rules))
-    nulls = ", ".join([f"{string_sql(r.column)}, null_{i}" for i, r in enumerate(rules)]
-                      + [f"{string_sql(c)}, other_{i}" for i, c in enumerate(_others(df, rules))])
+    # Once per column, however many rules it has.
+    places = {r.column: f"null_{i}" for i, r in enumerate(rules)} | {
+        c: f"other_{i}" for i, c in enumerate(_others(df, rules))}
+    nulls = ", ".join(f"{string_sql(c)}, {place}" for c, place in places.items())
     return _measured(df, rules).select(
         F.lit(table).alias("table"),
         F.expr(f"({tally}) = {len(rules)}").alias("passed"),

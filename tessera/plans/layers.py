@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tessera.operators import aggregates, cleaning, detector, governance, report, rules
+from tessera.operators import aggregates, cleaning, detector, governance, partials, report, rules
 from tessera.schema import LINEAGE_DOCUMENT, QUALITY_DOCUMENT, RAW_GLOB
 from tessera.sources import activity, sinks
 
@@ -75,7 +75,7 @@ def run_bronze(spark: SparkSession, layout: Layout, batch_id: str, reload_days:
     bad = activity.rejects(spark, layout.raw, batch_id, layout.glob).withColumn("batch", F.col("_batch_id"))
     sinks.write_table(bad, layout.table("bronze.cdr_rejects"), partition_by="batch",
                       only_given_partitions=reload_days, fmt=layout.fmt)
-    _record(spark, layout, "bronze", batch_id, "bronze_ingestion", [
+    _record(spark, layout, "bronze", batch_id, "ingest_lines", [
         {"table": "cdr_records", "source": layout.raw, "target": target, "rows": count}])
     return count
 
@@ -110,7 +110,7 @@ def run_silver(spark: SparkSession, layout: Layout, batch_id: str, as_of: Column
     sinks.write_documents(document.coalesce(1), layout.quality)
     mine = sinks.read_documents(spark, layout.quality, QUALITY_DOCUMENT).where(F.col("batch_id") == batch_id)
     sinks.write_text(report.markdown(mine), f"{layout.reports}/silver_quality_{batch_id}")
-    _record(spark, layout, "silver", batch_id, "silver_transformation", [
+    _record(spark, layout, "silver", batch_id, "flag_and_deduplicate", [
         {**stats, "source": source, "target": target}])
     return stats
 
@@ -122,21 +122,41 @@ def run_detector(spark: SparkSession, layout: Layout, batch_id: str, rank: int =
     silver = activity.read_table(spark, source, layout.fmt)
     model = detector.fit(silver, rank, percentile)
     model.save(spark, layout.model)
-    count = sinks.write_table(detector.score(silver, model, tolerance), target, fmt=layout.fmt)["rows"]
-    _record(spark, layout, "silver", batch_id, "anomaly_scoring", [
+    scores = detector.score(silver, model, tolerance).withColumn("_scored_at", F.current_timestamp())
+    count = sinks.write_table(scores, target, fmt=layout.fmt)["rows"]
+    _record(spark, layout, "silver", batch_id, "score_records", [
         {"table": "anomaly_scores", "source": source, "target": target, "rows": count}])
     return model
 
 
-def run_gold(spark: SparkSession, layout: Layout, batch_id: str) -> dict[str, int]:
-    """The gold tables; the anomaly summary only where scores exist."""
+def run_partials(spark: SparkSession, layout: Layout, days: tuple[str, str] | None = None) -> DataFrame:
+    """Write the partial states of silver, of all days or of a range, and return those of all days.
+
+    With ``days`` only those silver partitions are read, and only those states replaced.
+    """
+    silver = activity.read_table(spark, layout.table("silver.cdr_records"), layout.fmt)
+    target = layout.table("state.day_partials")
+    if days is not None:
+        chosen = silver.where(F.col("date").between(*[F.lit(d).cast("date") for d in days]))
+        sinks.replace_days(partials.day_partials(chosen), target, "date", days, layout.fmt)
+    else:
+        sinks.write_table(partials.day_partials(silver), target, partition_by="date", fmt=layout.fmt)
+    return activity.read_table(spark, target, layout.fmt)
+
+
+def run_gold(spark: SparkSession, layout: Layout, batch_id: str, days: tuple[str, str] | None = None) -> dict[str, int]:
+    """The gold tables, from the partial states; the anomaly summary only where scores exist.
+
+    ``days`` names the days whose silver has changed since the last run: no other silver day is read.
+    """
     source = layout.table("silver.cdr_records")
-    silver = activity.read_table(spark, source, layout.fmt)
+    states = run_partials(spark, layout, days)
     plans: list[tuple[str, DataFrame, str, list[str] | None]] = [
-        ("hourly_grid_activity", aggregates.hourly_grid_activity(silver), source, ["square_id", "hour_of_day"]),
-        ("daily_country_usage", aggregates.daily_country_usage(silver), source, ["date", "country_code"]),
-        ("grid_heatmap", aggregates.grid_heatmap(silver), source, None),
+        ("hourly_grid_activity", partials.hourly_grid_activity(states), source, ["square_id", "hour_of_day"]),
+        ("daily_country_usage", partials.daily_country_usage(states), source, ["date", "country_code"]),
+        ("grid_heatmap", partials.grid_heatmap(states), source, None),
     ]
+    sinks.write_table(partials.square_sketches(states), layout.table("state.square_sketches"), fmt=layout.fmt)
     scores_path = layout.table("silver.anomaly_scores")
     scores = activity.read_table_if_present(spark, scores_path, layout.fmt)
     if scores is not None:
@@ -148,7 +168,7 @@ def run_gold(spark: SparkSession, layout: Layout, batch_id: str) -> dict[str, in
         target = layout.table(f"gold.{name}")
         counts[name] = sinks.write_table(rows, target, sort_by=order, fmt=layout.fmt)["rows"]
         records.append({"table": name, "source": origin, "target": target, "rows": counts[name]})
-    _record(spark, layout, "gold", batch_id, "gold_aggregations", records)
+    _record(spark, layout, "gold", batch_id, "aggregate_squares", records)
     return counts
 
 
@@ -178,7 +198,7 @@ def scorecard(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def sla_status(spark: SparkSession, layout: Layout, as_of: Column | None = None) -> DataFrame:
     """Freshness by processing time, one row per table that records it."""
-    stamps = ["_gold_processed_at", "_silver_processed_at", "_bronze_ingested_at"]
+    stamps = ["_gold_processed_at", "_scored_at", "_silver_processed_at", "_bronze_ingested_at"]
     wanted = {}
     for name, df in written_tables(spark, layout).items():
         stamp = next((s for s in stamps if s in df.columns), None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tessera.operators.governance import CATALOG
+
 _ACTIVITY = ["sms_in", "sms_out", "call_in", "call_out", "internet"]
 _EVENTS = {"sms_in": "click", "sms_out": "view", "call_in": "purchase", "call_out": "signup", "internet": "error"}
 _KEY = "square_id, time_interval, country_code"
@@ -76,6 +78,7 @@ _SILVER_COLUMNS = (f"{_KEY}, {', '.join(_ACTIVITY)}, hour_of_day, day_of_week, "
                    f"CAST(date AS VARCHAR) AS date, {_FLAGS}")
 _ANY = "(_has_negative_activity OR _is_future_timestamp OR _is_null_activity)"
 
+_FEATURE_NAMES = [f"{c}_norm" for c in [*_ACTIVITY, "hour_of_day", "day_of_week"]]
 _F = [*_ACTIVITY, "hour_of_day / 23e0", "day_of_week / 6e0"]
 _MODEL = f"""{_SILVER},
 x AS (SELECT *, {', '.join(f"CAST({f} AS DOUBLE) AS x{i}" for i, f in enumerate(_F))} FROM silver),
@@ -242,23 +245,23 @@ _PLAIN = (f"{_INJECTED}, plain AS (SELECT {_KEY}, {', '.join(_ACTIVITY)} FROM in
 _LAYERS = f"{_SCORES},{_HOURLY},{_DAILY},{_HEATMAP}"
 _LINEAGE = f"""{_LAYERS},
 written AS (
-  SELECT 'bronze' AS layer, 'b1' AS batch_id, 'bronze_ingestion' AS pipeline, 'cdr_records' AS table_name,
+  SELECT 'bronze' AS layer, 'b1' AS batch_id, 'ingest_lines' AS pipeline, 'cdr_records' AS table_name,
          'raw' AS source, 'bronze/cdr_records' AS target, (SELECT count(*) FROM injected) AS row_count,
          CAST(NULL AS BIGINT) AS rows_before, CAST(NULL AS BIGINT) AS dropped,
          CAST(NULL AS BIGINT) AS suspicious_flagged
-  UNION ALL SELECT 'silver', 'b1', 'silver_transformation', 'cdr_records', 'bronze/cdr_records',
+  UNION ALL SELECT 'silver', 'b1', 'flag_and_deduplicate', 'cdr_records', 'bronze/cdr_records',
          'silver/cdr_records', (SELECT count(*) FROM silver), (SELECT count(*) FROM injected),
          (SELECT count(*) FROM injected) - (SELECT count(*) FROM silver),
          (SELECT count(*) FROM silver WHERE {_ANY})
-  UNION ALL SELECT 'silver', 'b1', 'anomaly_scoring', 'anomaly_scores', 'silver/cdr_records',
+  UNION ALL SELECT 'silver', 'b1', 'score_records', 'anomaly_scores', 'silver/cdr_records',
          'silver/anomaly_scores', (SELECT count(*) FROM scores), NULL, NULL, NULL
-  UNION ALL SELECT 'gold', 'b1', 'gold_aggregations', 'hourly_grid_activity', 'silver/cdr_records',
+  UNION ALL SELECT 'gold', 'b1', 'aggregate_squares', 'hourly_grid_activity', 'silver/cdr_records',
          'gold/hourly_grid_activity', (SELECT count(*) FROM hourly), NULL, NULL, NULL
-  UNION ALL SELECT 'gold', 'b1', 'gold_aggregations', 'daily_country_usage', 'silver/cdr_records',
+  UNION ALL SELECT 'gold', 'b1', 'aggregate_squares', 'daily_country_usage', 'silver/cdr_records',
          'gold/daily_country_usage', (SELECT count(*) FROM daily), NULL, NULL, NULL
-  UNION ALL SELECT 'gold', 'b1', 'gold_aggregations', 'grid_heatmap', 'silver/cdr_records',
+  UNION ALL SELECT 'gold', 'b1', 'aggregate_squares', 'grid_heatmap', 'silver/cdr_records',
          'gold/grid_heatmap', (SELECT count(*) FROM heatmap), NULL, NULL, NULL
-  UNION ALL SELECT 'gold', 'b1', 'gold_aggregations', 'anomaly_summary', 'silver/anomaly_scores',
+  UNION ALL SELECT 'gold', 'b1', 'aggregate_squares', 'anomaly_summary', 'silver/anomaly_scores',
          'gold/anomaly_summary', (SELECT count(DISTINCT anomaly_type_predicted) FROM scores), NULL, NULL, NULL)"""
 
 _METRICS = f"""
@@ -270,25 +273,16 @@ UNION ALL SELECT 'daily_country_usage', 'active_days', count(DISTINCT date) FROM
 UNION ALL SELECT 'grid_heatmap', 'row_count', count(*) FROM heatmap
 UNION ALL SELECT 'grid_heatmap', 'tier_' || activity_tier, count(*) FROM heatmap GROUP BY activity_tier"""
 
-_NOTES = "GDPR Art. 6 and ePrivacy: location-inferred identifiers, purpose-bound use only"
-_AGG = "aggregated; no individual records"
+# Declared facts stand in the catalog itself; the SQL counts rows and quotes the texts.
+_SOURCES = {
+    "bronze.cdr_records": "injected", "silver.cdr_records": "silver", "silver.anomaly_scores": "scores",
+    "gold.hourly_grid_activity": "hourly", "gold.daily_country_usage": "daily", "gold.grid_heatmap": "heatmap",
+    "gold.anomaly_summary": "(SELECT DISTINCT anomaly_type_predicted FROM scores)",
+}
 _CATALOG_ROWS = [
-    ("bronze.cdr_records", "bronze", "Raw activity per square, slot and country, unchanged, with audit columns",
-     "network-data", "restricted", "square_id", 24, "square_id,time_interval,country_code", "_date_partition",
-     "raw,activity", _NOTES, "injected"),
-    ("silver.cdr_records", "silver", "Cleaned activity: negatives clipped, timestamps checked, quality flags",
-     "network-data", "confidential", "square_id", 24, "square_id,time_interval,country_code", "date",
-     "clean,activity", _NOTES, "silver"),
-    ("silver.anomaly_scores", "silver", "Predicted anomaly class and reconstruction error per record",
-     "data-science", "confidential", "square_id", 36, "square_id,time_interval,country_code", None,
-     "scores", _NOTES, "scores"),
-    ("gold.hourly_grid_activity", "gold", "Average and peak activity per square, hour of day and weekday",
-     "analytics", "internal", "", 48, "square_id,hour_of_day,day_of_week", None, "aggregate", _AGG, "hourly"),
-    ("gold.daily_country_usage", "gold", "Total activity per country code and day",
-     "analytics", "internal", "", 48, "country_code,date", None, "aggregate", _AGG, "daily"),
-    ("gold.grid_heatmap", "gold", "Cumulative activity and tier per square",
-     "analytics", "internal", "", 48, "square_id", None, "aggregate", _AGG, "heatmap"),
-]
+    (name, e.layer, e.description, e.owner_team, e.sensitivity, ",".join(e.pii_columns), e.sla_freshness_hours,
+     ",".join(e.primary_key), e.partition_key, ",".join(e.tags), e.regulatory_notes, _SOURCES[name])
+    for name, e in CATALOG.items()]
 _CATALOG = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{layer}' AS layer, '{text}' AS description, '{owner}' AS owner_team, "
     f"'{level}' AS sensitivity, '{pii}' AS pii_columns, 'daily' AS refresh_schedule, {sla} AS sla_freshness_hours, "
@@ -457,8 +451,22 @@ SELECT * REPLACE ({_each("round(total_{c}, 4) AS total_{c}")}, CAST(date AS VARC
     "grid_heatmap": f"""WITH {_SILVER},{_HEATMAP}
 SELECT * REPLACE ({_each("round(total_{c}, 4) AS total_{c}")}, round(total_activity, 4) AS total_activity)
 FROM heatmap""",
+    "square_percent_rank": f"""WITH {_SILVER},{_HEATMAP}
+SELECT square_id, round(total_activity, 6) AS total_activity, round(pr, 9) AS percent_rank FROM ranked""",
+    "country_squares": f"""WITH {_SILVER},
+spans AS (
+  SELECT country_code, square_id, unnest(['whole', 'day ' || CAST(date AS VARCHAR),
+                                          'week ' || CAST(weekofyear(date) AS VARCHAR)]) AS span
+  FROM silver {_CURRENT})
+SELECT country_code, span, count(DISTINCT square_id) AS exact_squares, true AS sketch_within_bound
+FROM spans GROUP BY country_code, span""",
     "tier_distribution": f"""WITH {_SILVER},{_HEATMAP}
 SELECT activity_tier, count(*) AS count FROM heatmap GROUP BY activity_tier""",
+    "pca_moments": f"WITH {_MODEL} " + " UNION ALL ".join(
+        f"SELECT '{_FEATURE_NAMES[i]}' AS left_column, '{_FEATURE_NAMES[j]}' AS right_column, "
+        f"round(avg(x{i}), 6) AS left_mean, round(avg(x{j}), 6) AS right_mean, "
+        f"round(covar_pop(x{i}, x{j}), 6) AS covariance, count(*) AS row_count FROM x WHERE NOT {_ANY}"
+        for i in range(7) for j in range(i, 7)),
     "anomaly_summary": f"""WITH {_SCORES}
 SELECT anomaly_type_predicted, count(*) AS count, round(avg(reconstruction_error), 6) AS avg_reconstruction_error,
        round(avg(internet), 6) AS avg_internet FROM scores GROUP BY anomaly_type_predicted""",
@@ -562,6 +570,9 @@ WHERE cycle OR final NOT IN (SELECT source FROM written)""",
        round((1706745600 - floor(epoch(max({c})))) / 3600e0, 4) AS actual_hours,
        CASE WHEN (1706745600 - floor(epoch(max({c})))) / 3600e0 <= 24 THEN 'met' ELSE 'breached' END AS status
 FROM {t}""" for t, c in [("events", "ts"), ("orders", "o_orderdate")]),
+    "layer_freshness": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {entry.sla_freshness_hours} AS sla_freshness_hours, 'met' AS status"
+        for name, entry in CATALOG.items()),
     "layer_scorecard": f"""WITH {_RESULTS},
 scored AS (SELECT *, round(checks_passed / checks_total * 100, 1) AS quality_score FROM results)
 SELECT 'silver' AS layer, 'cdr_records' AS table_name, quality_score, {_BAND} AS band, failures AS issues
@@ -587,6 +598,9 @@ SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, p_type AS categ
        count(DISTINCT o_orderkey) AS order_count
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
 GROUP BY 1, 2""",
+    "customer_ntile": """
+SELECT o_custkey, lifetime_value, CAST(ntile(4) OVER (ORDER BY lifetime_value, o_custkey) AS INTEGER) AS quarter
+FROM (SELECT o_custkey, round(sum(o_totalprice), 4) AS lifetime_value FROM orders GROUP BY o_custkey)""",
     "customer_ltv": f"WITH {_LTV} SELECT {_LTV_COLUMNS}, ltv_tier FROM ltv",
     "ltv_tier_rollup": f"""WITH {_LTV}
 SELECT ltv_tier, count(*) AS count, round(avg(lifetime_value), 2) AS mean, round(sum(lifetime_value), 2) AS sum
@@ -632,3 +646,6 @@ SELECT * EXCLUDE (copy) REPLACE (CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_
         _copies("lineitem", "l_orderkey, l_linenumber"),
     ]),
 }
+# Days delivered again leave the same gold tables.
+ORACLE |= {f"reloaded_{name}": ORACLE[full] for name, full in (
+    ("hourly_activity", "hourly_grid_activity"), ("daily_usage", "daily_country_usage"), ("heatmap", "grid_heatmap"))}

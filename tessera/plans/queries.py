@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessera.functions.activity import lenient_number_sql
 from tessera.functions.hashing import hash_sample
 from tessera.operators import (
-    aggregates, cleaning, commerce, detector, evaluation, governance, order_stats, report, rules,
+    aggregates, cleaning, commerce, detector, evaluation, governance, moments, order_stats, partials, ranks, report,
+    rules,
 )
 from tessera.plans import layers
 from tessera.schema import ACTIVITY, FLAGS, NATURAL_KEY, QUALITY_DOCUMENT, RAW_ACTIVITY
@@ -349,6 +350,80 @@ def anomaly_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(gold, 6, ["avg_reconstruction_error", "avg_internet"])
 
 
+@query
+def square_percent_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact percent rank of every square by its total, not only its tier."""
+    totals = aggregates.square_totals(silver(spark, sf)).select("square_id", F.round("total_activity", 6).alias("total_activity"))
+    return rounded(ranks.with_percent_rank(materialize(totals, "totals"), ["total_activity"]), 9, ["percent_rank"])
+
+
+_reloaded: dict[tuple[str, str], layers.Layout] = {}
+RELOADED = ("2024-01-20", "2024-02-10")
+
+
+def _reloaded_layers(spark: SparkSession, sf: str) -> layers.Layout:
+    """Layers whose later days were delivered wrongly, with every value doubled and a third of the squares
+    missing, then again: only those days are ingested, cleaned and aggregated anew. Once per session."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _reloaded:
+        rows = injected(spark, sf).select(*RAW_ACTIVITY.fieldNames())
+        day = F.to_date(F.timestamp_millis("time_interval")).between(*[F.lit(d).cast("date") for d in RELOADED])
+        raw, again = scratch_path(spark, "raw"), scratch_path(spark, "raw")
+        wrong = rows.where(~day | (F.col("square_id") % 3 > 0)).select(
+            *NATURAL_KEY, *[F.when(day, F.col(c) * 2).otherwise(F.col(c)).alias(c) for c in ACTIVITY])
+        for folder, lines in ((raw, wrong), (again, rows.where(day))):
+            lines.write.options(sep="\t", header="false").csv(folder)
+        root = scratch_path(spark, "layers")
+        first, second = layers.Layout(root, raw, "*.csv"), layers.Layout(root, again, "*.csv")
+        layers.run_bronze(spark, first, "b1")
+        layers.run_silver(spark, first, "b1", as_of())
+        layers.run_gold(spark, first, "b1")
+        layers.run_bronze(spark, second, "b2", reload_days=True)
+        layers.run_silver(spark, second, "b2", as_of(), days=RELOADED)
+        layers.run_gold(spark, second, "b2", days=RELOADED)
+        _reloaded[key] = second
+    return _reloaded[key]
+
+
+def _gold_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    gold = activity.read_table(spark, _reloaded_layers(spark, sf).table(f"gold.{name}"))
+    return gold.drop("_gold_processed_at", "_gold_batch_id")
+
+
+@query
+def reloaded_hourly_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly table after some days were delivered again; the layers are written once per session."""
+    return rounded(_gold_table(spark, sf, "hourly_grid_activity"), 8, [f"avg_{c}" for c in ACTIVITY])
+
+
+@query
+def reloaded_daily_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily table after some days were delivered again; the layers are written once per session."""
+    return rounded(_gold_table(spark, sf, "daily_country_usage"), 4, partials.TOTALS).withColumn(
+        "date", F.col("date").cast("string"))
+
+
+@query
+def reloaded_heatmap(spark: SparkSession, sf: str) -> DataFrame:
+    """The heat map after some days were delivered again; the layers are written once per session."""
+    return rounded(_gold_table(spark, sf, "grid_heatmap"), 4, [*partials.TOTALS, "total_activity"])
+
+
+@query
+def country_squares(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct squares per country and span of days: counted, and whether united sketches agree."""
+    states = materialize(partials.day_partials(silver(spark, sf)), "partials")
+    spans = F.explode(F.array(F.lit("whole"), F.concat(F.lit("day "), F.col("date").cast("string")),
+                              F.concat(F.lit("week "), F.weekofyear("date").cast("string")))).alias("span")
+    sketches = materialize(partials.square_sketches(states), "sketches")
+    exact = partials.exact_squares(states.select("*", spans), ["country_code", "span"])
+    united = partials.distinct_squares(sketches.select("*", spans), ["country_code", "span"])
+    return exact.join(united, ["country_code", "span"]).select(
+        "country_code", "span", "exact_squares",
+        partials.within_bound(F.col("estimated_squares"), F.col("exact_squares")).alias("sketch_within_bound"))
+
+
 @query
 def gold_metrics(spark: SparkSession, sf: str) -> DataFrame:
     rows = bronze_and_silver(spark, sf)[1]
@@ -447,6 +522,14 @@ def classification_report(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.classification_report(_evaluated(spark, sf)), 6, ["precision", "recall", "f1"])
 
 
+@query
+def pca_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """Covariances of the features over the clean rows, merged from states kept per day."""
+    days = materialize(detector.day_states(materialize(silver(spark, sf), "silver")), "day-states")
+    whole = moments.merged(days, len(detector.FEATURES))
+    return rounded(moments.covariances(whole, detector.FEATURES), 6, ["left_mean", "right_mean", "covariance"])
+
+
 @query
 def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
     scores = detector.fit_and_score(silver(spark, sf))[1]
@@ -591,6 +674,13 @@ def customer_ltv(spark: SparkSession, sf: str) -> DataFrame:
     return _dated(commerce.customer_ltv(table(spark, sf, "orders")))
 
 
+@query
+def customer_ntile(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in four shares of equal size by lifetime value."""
+    totals = table(spark, sf, "orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 4).alias("lifetime_value"))
+    return ranks.with_ntile(materialize(totals, "totals"), ["lifetime_value", "o_custkey"], 4, "quarter")
+
+
 @query
 def ltv_tier_rollup(spark: SparkSession, sf: str) -> DataFrame:
     rollup = commerce.ltv_tier_rollup(commerce.customer_ltv(table(spark, sf, "orders")))

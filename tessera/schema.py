@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+PIPELINE_VERSION = "tessera-1"      # written beside every ingested row
+
 # ---- fixed values: column names and the layout of the raw feed ----
 ACTIVITY = ["sms_in", "sms_out", "call_in", "call_out", "internet"]
 NATURAL_KEY = ["square_id", "time_interval", "country_code"]
 FLAGS = ["_has_negative_activity", "_is_future_timestamp", "_is_null_activity"]
 RAW_GLOB = "sms-call-internet-mi-*.txt"
-PIPELINE_VERSION = "3.0.0"
 SLOT_MS = 600_000
 GRID_WIDTH = 100
 

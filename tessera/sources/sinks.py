@@ -38,6 +38,27 @@ def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
     return {name: int(value) for name, value in watch.get.items()}
 
 
+def replace_days(df: DataFrame, path: str, day: str, days: tuple[str, str], fmt: str = "parquet") -> int:
+    """Write the days from the first to the last of ``days``, instead of what the table held of them; returns the rows.
+
+    Other days are neither read nor written. A day that ``df`` has no rows of any more is removed.
+    ``df`` holds no other days. Days of a reader are whole: each is written before its old files go.
+    """
+    spark = df.sparkSession
+    watch = Observation()
+    held = df.hint("rebalance", F.col(day)).observe(
+        watch, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(day).cast("string")).alias("days"))
+    held.write.format(fmt).mode("overwrite").partitionBy(day).option("partitionOverwriteMode", "dynamic").save(path)
+    written = set(watch.get["days"])
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder) if files.exists(folder) else []:
+        name, _, value = status.getPath().getName().partition("=")
+        if name == day and days[0] <= value <= days[1] and value not in written:
+            files.delete(status.getPath(), True)
+    return watch.get["rows"]
+
+
 def _has_sink_log(spark: SparkSession, path: str) -> bool:
     log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
     return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)

@@ -48,7 +48,7 @@ def test_bronze_keeps_every_line_and_notes_bad_ones(spark, tmp_path):
     assert [r["square_id"] for r in bronze] == [1, 2, None]
     assert bronze[0]["sms_out"] is None and str(bronze[0]["_date_partition"]) == "2024-01-01"
     assert bronze[1]["time_interval"] is None and bronze[1]["_date_partition"] is None
-    assert bronze[0]["_batch_id"] == "b1" and bronze[0]["_pipeline_version"] == "3.0.0"
+    assert bronze[0]["_batch_id"] == "b1" and bronze[0]["_pipeline_version"] == activity.PIPELINE_VERSION
 
 
 def test_rejects_are_written_with_file_and_text(spark, tmp_path):

@@ -110,3 +110,11 @@ def test_nulls_of_columns_without_rules(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, None, None)], "id int, more string, other string")
     got = rules.validate(df, [Rule("id", "int"), Rule("gone", "int")], "t", ["id"]).first()["null_counts"]
     assert got == {"id": 0, "gone": 2, "more": 2, "other": 1}
+
+
+def test_two_rules_on_one_column(spark):
+    df = spark.createDataFrame([(1, None), (5, "x"), (None, "y")], "a int, b string")
+    both = [rules.Rule("a", "int", ("at_least", 2)), rules.Rule("a", "int", nullable=False), rules.Rule("b", "string")]
+    row = rules.validate(df, both, "t", ["a"]).first()
+    assert row["checks_total"] == 3 and row["checks_passed"] == 1
+    assert row["null_counts"] == {"a": 1, "b": 1}
