@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -34,41 +35,58 @@ def batch_history(tables: DataFrame) -> DataFrame:
     return tables.groupBy("layer", "table", "batch_id").agg(F.sum(rows).alias("rows"))
 
 
+def file_lineage(bronze: DataFrame) -> DataFrame:
+    """Lines, rejected lines and ingest time of every file of every batch."""
+    from tessera.sources.activity import REJECTED, VERDICT
+
+    return bronze.groupBy(F.col("_batch_id").alias("batch_id"), F.col("_source_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(VERDICT) == REJECTED).alias("rejected"),
+        F.max("_bronze_ingested_at").alias("ingested_at"))
+
+
+# Every way through the recorded writes, from every table that something is made from. A way ends at
+# the first table that it meets again. Beyond Spark's limits of a recursion the query fails; it is not cut.
+_WALKS = """
+edges AS (
+  SELECT DISTINCT source, target FROM {tables} WHERE source IS NOT NULL AND target IS NOT NULL),
+walks (origin, final, path, steps, cycle) AS (
+  SELECT DISTINCT source, source, array(source), 0, false FROM edges
+  UNION ALL
+  SELECT w.origin, e.target, array_append(w.path, e.target), w.steps + 1, array_contains(w.path, e.target)
+  FROM walks w JOIN edges e ON e.source = w.final WHERE NOT w.cycle)"""
+
+
 def lineage_flow(tables: DataFrame) -> DataFrame:
-    """All chains source -> ... -> target over the recorded writes, of any length.
+    """All chains source -> ... -> target over the recorded writes, of any length, in one query.
 
     A chain starts at a table nothing writes to and ends at one nothing is made from,
     or, with ``cycle`` true, at the first table that it meets again. Tables that no
-    chain reaches lie on circles without an entrance; the least of them starts one.
-    Lineage has a row for each table and run, so these frames stay small.
+    chain reaches lie on circles without an entrance; the least that no lesser one leads to starts one.
+    Lineage has a row for each table and run, so this stays small.
     """
-    edges = tables.select("source", "target").where("source is not null and target is not null").distinct()
-    step = edges.select(F.col("source").alias("final"), F.col("target").alias("_next"))
-    written = edges.select(F.col("target").alias("source")).distinct()
-    starts = edges.select("source").distinct().join(written, "source", "left_anti")
-    columns = ["origin", "final", "flow", "steps", "cycle"]
-    finished = None
-    while True:
-        chains = starts.select(
-            F.col("source").alias("origin"), F.col("source").alias("final"), F.col("source").alias("flow"),
-            F.lit(0).alias("steps"), F.lit(False).alias("cycle"), F.array("source").alias("_path"))
-        met = []
-        while not chains.isEmpty():
-            grown = chains.where("NOT cycle").join(step, "final", "left")
-            ended = chains.where("cycle").unionByName(
-                grown.where("_next IS NULL").select(*chains.columns))
-            met.append(ended.where("steps > 0"))
-            chains = grown.where("_next IS NOT NULL").select(
-                "origin", F.col("_next").alias("final"), F.concat_ws(" > ", "flow", "_next").alias("flow"),
-                (F.col("steps") + 1).alias("steps"), F.array_contains("_path", F.col("_next")).alias("cycle"),
-                F.array_append("_path", F.col("_next")).alias("_path"))
-        found = reduce(DataFrame.unionByName, met) if met else chains
-        finished = found if finished is None else finished.unionByName(found)
-        reached = finished.select(F.explode("_path").alias("source")).distinct()
-        starts = edges.select("source").join(reached, "source", "left_anti").agg(F.min("source").alias("source")) \
-            .where("source IS NOT NULL")
-        if starts.isEmpty():
-            return finished.select(*columns)
+    return tables.sparkSession.sql(f"""WITH RECURSIVE {_WALKS},
+reach AS (SELECT DISTINCT origin, final FROM walks WHERE steps > 0),
+entries AS (SELECT DISTINCT source FROM edges WHERE source NOT IN (SELECT target FROM edges)),
+loose AS (
+  SELECT DISTINCT source FROM edges
+  WHERE source NOT IN (SELECT source FROM entries)
+    AND source NOT IN (SELECT final FROM reach WHERE origin IN (SELECT source FROM entries))),
+led AS (
+  SELECT r.final AS source FROM reach r JOIN loose l ON l.source = r.origin WHERE r.origin < r.final),
+starts AS (
+  SELECT source FROM entries
+  UNION ALL SELECT source FROM loose WHERE source NOT IN (SELECT source FROM led))
+SELECT origin, final, array_join(path, ' > ') AS flow, steps, cycle FROM walks
+WHERE steps > 0 AND origin IN (SELECT source FROM starts)
+  AND (cycle OR final NOT IN (SELECT source FROM edges))""", tables=tables)
+
+
+def lineage_impact(tables: DataFrame) -> DataFrame:
+    """For every table what it is made from (upstream) and what is made from it (downstream), and how many steps away."""
+    return tables.sparkSession.sql(f"""WITH RECURSIVE {_WALKS},
+near AS (SELECT origin, final, min(steps) AS steps FROM walks WHERE steps > 0 GROUP BY origin, final)
+SELECT origin AS table_name, 'downstream' AS direction, final AS other, steps FROM near
+UNION ALL SELECT final, 'upstream', origin, steps FROM near""", tables=tables)
 
 
 # ---------------------------------------------------------------- metrics
@@ -79,13 +97,19 @@ def _metric(table: str, name: str, value: Column) -> Column:
     )
 
 
+def _columns_metric(table: str, df: DataFrame) -> Column:
+    """Columns of a table, but for those that say when and by which batch a row was written."""
+    return _metric(table, "columns", F.lit(len([c for c in df.columns if not c.startswith("_")])))
+
+
 def gold_metrics(hourly: DataFrame | None, daily: DataFrame | None, heatmap: DataFrame | None) -> DataFrame:
     """Row counts and summaries of the gold tables that exist, one metric per row."""
     parts = []
     if hourly is not None:
         parts.append(
             hourly.agg(F.count(F.lit(1)).alias("n")).select(
-                F.inline(F.array(_metric("hourly_grid_activity", "row_count", F.col("n"))))
+                F.inline(F.array(_metric("hourly_grid_activity", "row_count", F.col("n")),
+                                 _columns_metric("hourly_grid_activity", hourly)))
             )
         )
     if daily is not None:
@@ -99,13 +123,15 @@ def gold_metrics(hourly: DataFrame | None, daily: DataFrame | None, heatmap: Dat
                  "unique_countries": "countries", "active_days": "days"}
         parts.append(
             summary.select(F.inline(F.array(
-                *[_metric("daily_country_usage", name, F.col(c)) for name, c in names.items()])))
+                *[_metric("daily_country_usage", name, F.col(c)) for name, c in names.items()],
+                _columns_metric("daily_country_usage", daily))))
         )
     if heatmap is not None:
         tiers = tier_distribution(heatmap)
         parts.append(
             heatmap.agg(F.count(F.lit(1)).alias("n")).select(
-                F.inline(F.array(_metric("grid_heatmap", "row_count", F.col("n"))))
+                F.inline(F.array(_metric("grid_heatmap", "row_count", F.col("n")),
+                                 _columns_metric("grid_heatmap", heatmap)))
             )
         )
         parts.append(
@@ -139,19 +165,22 @@ def scorecard(results: DataFrame, layers: DataFrame) -> DataFrame:
 
 def context_document(quality: DataFrame | None, lineage: DataFrame | None,
                      anomaly: DataFrame | None, gold: DataFrame | None) -> DataFrame:
-    """All governance facts as one JSON text; a part that does not exist is left out.
+    """All governance facts as one JSON text; under ``missing``, the parts that do not exist.
 
     Every part holds a handful of rows per table, not data rows.
     """
-    parts = []
+    parts, missing = [], []
     for name, frame in [("quality", quality), ("lineage", lineage), ("anomaly", anomaly), ("gold", gold)]:
-        if frame is not None:
-            rows = frame.agg(F.sort_array(F.collect_list(F.to_json(F.struct(*frame.columns)))).alias("rows"))
-            parts.append((name, rows))
+        if frame is None:
+            missing.append(name)
+            continue
+        rows = frame.agg(F.sort_array(F.collect_list(F.to_json(F.struct(*frame.columns)))).alias("rows"))
+        parts.append((name, rows))
     spark = next(f for f in (quality, lineage, anomaly, gold) if f is not None).sparkSession
     texts = [
         F.concat(F.lit(f'"{name}":['), F.array_join(rows.scalar(), ","), F.lit("]")) for name, rows in parts
     ]
+    texts.append(F.lit(f'"missing":{json.dumps(missing)}'))
     return spark.range(1).select(
         F.concat(F.lit("{"), F.concat_ws(",", *texts), F.lit("}")).alias("document")
     )

@@ -32,6 +32,10 @@ class Layout:
     def lineage(self) -> str:
         return f"{self.root}/governance/lineage"
 
+    @property
+    def files(self) -> str:
+        return f"{self.root}/governance/files"
+
     @property
     def quality(self) -> str:
         return f"{self.root}/governance/quality"
@@ -49,6 +53,11 @@ class Layout:
         return f"{self.root}/models/detector"
 
 
+    @property
+    def model_metadata(self) -> str:
+        return f"{self.root}/models/detector_metadata"
+
+
 def _record(spark: SparkSession, layout: Layout, layer: str, batch_id: str, pipeline: str,
             tables: list[dict]) -> None:
     document = governance.lineage_document(spark, layer, batch_id, pipeline, tables)
@@ -56,12 +65,13 @@ def _record(spark: SparkSession, layout: Layout, layer: str, batch_id: str, pipe
 
 
 def run_bronze(spark: SparkSession, layout: Layout, batch_id: str, reload_days: bool = False) -> int | None:
-    """Ingest all raw files; None where there are none.
+    """Ingest all raw files in one parse and one write; None where there are none.
 
-    Lines that do not fit the schema also go, as text, to the reject table, partitioned by
-    batch; a reload of days keeps the rejects of other batches. Without any there are no files.
+    Every line comes to lie under its verdict and day, so lines that do not fit the schema can be
+    read with their text by themselves. The batch's files, with their lines and rejects, are noted.
 
-    ``reload_days`` replaces only the days found in the files.
+    ``reload_days`` replaces only the days found in the files, under the verdicts found there: where a
+    mended file has no rejected line any more, the day's old ones stay.
     """
     try:
         rows = activity.bronze(spark, layout.raw, batch_id, layout.glob)
@@ -70,16 +80,21 @@ def run_bronze(spark: SparkSession, layout: Layout, batch_id: str, reload_days:
             return None
         raise
     target = layout.table("bronze.cdr_records")
-    count = sinks.write_table(rows, target, partition_by="_date_partition",
+    count = sinks.write_table(rows, target, partition_by=activity.BRONZE_PARTITIONS,
                               only_given_partitions=reload_days, fmt=layout.fmt)["rows"]
-    bad = activity.rejects(spark, layout.raw, batch_id, layout.glob).withColumn("batch", F.col("_batch_id"))
-    sinks.write_table(bad, layout.table("bronze.cdr_rejects"), partition_by="batch",
-                      only_given_partitions=reload_days, fmt=layout.fmt)
+    mine = activity.read_table(spark, target, layout.fmt).where(F.col("_batch_id") == batch_id)
+    sinks.write_table(governance.file_lineage(mine), layout.files, partition_by="batch_id",
+                      only_given_partitions=True, fmt=layout.fmt)
     _record(spark, layout, "bronze", batch_id, "ingest_lines", [
         {"table": "cdr_records", "source": layout.raw, "target": target, "rows": count}])
     return count
 
 
+def rejects(spark: SparkSession, layout: Layout) -> DataFrame:
+    """File, text, time and batch of every line that does not fit the schema."""
+    return activity.rejects_of(activity.read_table(spark, layout.table("bronze.cdr_records"), layout.fmt))
+
+
 def run_silver(spark: SparkSession, layout: Layout, batch_id: str, as_of: Column | None = None,
                days: tuple[str, str] | None = None) -> dict:
     """Clean, flag and deduplicate bronze, then validate the written table.
@@ -89,7 +104,7 @@ def run_silver(spark: SparkSession, layout: Layout, batch_id: str, as_of: Column
     date, so a day can be deduplicated by itself.
     """
     source, target = layout.table("bronze.cdr_records"), layout.table("silver.cdr_records")
-    bronze = activity.read_table(spark, source, layout.fmt)
+    bronze = activity.records_of(activity.read_table(spark, source, layout.fmt))
     if days:
         bronze = bronze.where(F.col("_date_partition").between(*[F.lit(d).cast("date") for d in days]))
     kept = sinks.write_table(
@@ -122,6 +137,7 @@ def run_detector(spark: SparkSession, layout: Layout, batch_id: str, rank: int =
     silver = activity.read_table(spark, source, layout.fmt)
     model = detector.fit(silver, rank, percentile)
     model.save(spark, layout.model)
+    sinks.write_text(spark.createDataFrame([(1, model.metadata())], "line_no int, line string"), layout.model_metadata)
     scores = detector.score(silver, model, tolerance).withColumn("_scored_at", F.current_timestamp())
     count = sinks.write_table(scores, target, fmt=layout.fmt)["rows"]
     _record(spark, layout, "silver", batch_id, "score_records", [

@@ -27,6 +27,13 @@ records AS (
          {_each("CASE WHEN event_type = '{e}' THEN value END AS {c}")}
   FROM events)"""
 
+_ARRIVED = f"""{_RECORDS},
+cells AS (SELECT {_KEY}, {_each("sum({c}) AS {c}")} FROM records GROUP BY {_KEY}),
+arrived AS (
+  SELECT *, CAST(make_timestamp(time_interval * 1000) AS DATE) AS date,
+         square_id % 7 = 3 AND day(make_timestamp(time_interval * 1000)) <= 4 AS held
+  FROM cells)"""
+
 _INJECTED = f"""{_RECORDS},
 digests AS (
   SELECT *, md5(concat_ws('|', CAST(square_id AS VARCHAR), CAST(time_interval AS VARCHAR),
@@ -266,6 +273,9 @@ written AS (
 
 _METRICS = f"""
 SELECT 'hourly_grid_activity' AS table_name, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM hourly
+UNION ALL SELECT 'hourly_grid_activity', 'columns', 10
+UNION ALL SELECT 'daily_country_usage', 'columns', 9
+UNION ALL SELECT 'grid_heatmap', 'columns', 12
 UNION ALL SELECT 'daily_country_usage', 'row_count', count(*) FROM daily
 UNION ALL SELECT 'daily_country_usage', 'total_internet', round(coalesce(sum(total_internet), 0), 4) FROM daily
 UNION ALL SELECT 'daily_country_usage', 'unique_countries', count(DISTINCT country_code) FROM daily
@@ -315,6 +325,19 @@ _COLUMNS = {
     "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
 }
 
+_DOUBLES = lambda *names: [(n, "double") for n in names]
+_COUNT = ("record_count", "bigint")
+_GOLD_COLUMNS = {
+    "hourly_grid_activity": [("square_id", "int"), ("hour_of_day", "int"), ("day_of_week", "int"),
+                             *_DOUBLES(*[f"avg_{c}" for c in _ACTIVITY], "peak_internet"), _COUNT],
+    "daily_country_usage": [("country_code", "int"), ("date", "date"), *_DOUBLES(*[f"total_{c}" for c in _ACTIVITY]),
+                            ("active_squares", "bigint"), _COUNT],
+    "grid_heatmap": [("square_id", "int"), *_DOUBLES(*[f"total_{c}" for c in _ACTIVITY], "peak_internet"), _COUNT,
+                     ("total_activity", "double"), ("grid_row", "int"), ("grid_col", "int"), ("activity_tier", "string")],
+    "anomaly_summary": [("anomaly_type_predicted", "string"), ("count", "bigint"),
+                        *_DOUBLES("avg_reconstruction_error", "avg_internet")],
+}
+
 _TOTALS = """
 totals AS (
   SELECT o_custkey, sum(o_totalprice) AS lifetime_value, count(*) AS order_count,
@@ -388,6 +411,22 @@ SELECT CAST(row_number() OVER (ORDER BY a, b, c) AS INTEGER) AS line_no, line FR
 ORACLE: dict[str, str] = {
     "bronze_ingest": _PER_DAY,
     "stream_ingest": _PER_DAY,
+    "bronze_rejects": f"""WITH {_RECORDS}
+SELECT CASE WHEN country_code % 2 = 0 THEN concat_ws(chr(9), square_id, 'soon', country_code, '1', '1', '1', '1', '1')
+            ELSE concat_ws(chr(9), square_id, time_interval) END AS line, 'b1' AS batch_id,
+       count(*) AS row_count, count(*) AS rows_with_source
+FROM records WHERE time_interval % 12000000 = 0 GROUP BY 1""",
+    "file_lineage": f"""WITH {_RECORDS},
+days AS (SELECT CAST(make_timestamp(time_interval * 1000) AS DATE) AS day, count(*) AS n FROM records GROUP BY 1)
+SELECT 'b1' AS batch_id, CAST(day AS VARCHAR) AS day, n + CASE WHEN day(day) % 3 = 0 THEN 1 ELSE 0 END AS row_count,
+       CAST(CASE WHEN day(day) % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS rejected, true AS has_ingest_time FROM days""",
+    "stream_daily_usage": f"""WITH {_ARRIVED}
+SELECT country_code, CAST(date AS VARCHAR) AS date, {_each("round(sum(coalesce({c}, 0)), 4) AS total_{c}")},
+       count(*) AS record_count, count(DISTINCT square_id) AS active_squares
+FROM arrived WHERE NOT held GROUP BY country_code, date""",
+    "stream_late_rows": f"""WITH {_ARRIVED}
+SELECT 'late' AS verdict, country_code, CAST(date AS VARCHAR) AS date, count(*) AS row_count
+FROM arrived WHERE held GROUP BY country_code, date""",
     "cdr_activity": f"""WITH {_RECORDS}
 SELECT {_KEY}, {_each("round(sum({c}), 4) AS {c}")} FROM records GROUP BY {_KEY}""",
     "country_series_union": f"""WITH {_RECORDS}
@@ -560,6 +599,25 @@ chain AS (
   FROM chain JOIN written ON final = source WHERE NOT cycle)
 SELECT origin, final, flow, steps, cycle, row_count FROM chain JOIN written ON final = target
 WHERE cycle OR final NOT IN (SELECT source FROM written)""",
+    "lineage_impact": f"""WITH RECURSIVE {_LINEAGE},
+ways AS (
+  SELECT source AS origin, target AS final, 1 AS steps FROM written
+  UNION SELECT origin, target, steps + 1 FROM ways JOIN written ON final = source),
+near AS (SELECT origin, final, min(steps) AS steps FROM ways GROUP BY origin, final)
+SELECT origin AS table_name, 'downstream' AS direction, final AS other, steps FROM near
+UNION ALL SELECT final, 'upstream', origin, steps FROM near""",
+    "model_metadata": f"""WITH {_MODEL}
+SELECT n AS training_samples, 95e0 AS threshold_percentile, round(threshold, 6) AS anomaly_threshold,
+       '{",".join(_FEATURE_NAMES)}' AS features, CAST(0 AS INTEGER) AS bottleneck FROM fitted CROSS JOIN cut""",
+    "layer_gold_columns": " UNION ALL ".join(
+        f"SELECT 'gold.{t}' AS table_name, {i + 1} AS position, '{c}' AS column_name, '{kind}' AS data_type, "
+        "CAST(0 AS BIGINT) AS null_count"
+        for t, columns in _GOLD_COLUMNS.items()
+        for i, (c, kind) in enumerate([*columns, ("_gold_processed_at", "timestamp"), ("_gold_batch_id", "string")])),
+    "optional_tables": """
+SELECT 'events' AS table_name, true AS present, count(*) AS row_count FROM events
+UNION ALL SELECT 'orders', true, count(*) FROM orders UNION ALL SELECT 'refunds', false, 0""",
+    "ordered_lines": "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS files_out_of_order FROM lineitem",
     "data_catalog": f"WITH {_LAYERS} {_CATALOG}",
     "catalog_columns": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {i + 1} AS position, '{c}' AS column_name, '{kind}' AS data_type, "
@@ -578,12 +636,19 @@ scored AS (SELECT *, round(checks_passed / checks_total * 100, 1) AS quality_sco
 SELECT 'silver' AS layer, 'cdr_records' AS table_name, quality_score, {_BAND} AS band, failures AS issues
 FROM scored WHERE table_name = 'silver'""",
     "layer_gold_metrics": f"WITH {_SILVER},{_HOURLY},{_DAILY},{_HEATMAP} {_METRICS}",
-    "governance_facts": f"""WITH {_LINEAGE},
-metrics AS ({_METRICS})
-SELECT 'quality' AS part, 1 AS entries
-UNION ALL SELECT 'lineage', CAST(count(*) AS INTEGER) FROM written
-UNION ALL SELECT 'anomaly', 1
-UNION ALL SELECT 'gold', CAST(count(*) AS INTEGER) FROM metrics""",
+    "governance_facts": f"""WITH {_LINEAGE}, {_ALL_CHECKS},
+metrics AS ({_METRICS}),
+facts AS (
+  SELECT 'quality' AS part, 'silver' AS name, count(*) FILTER (WHERE passed) * 100e0 / count(*) AS value
+  FROM checks WHERE table_name = 'silver'
+  UNION ALL SELECT 'lineage', layer || '.' || table_name, row_count FROM written
+  UNION ALL SELECT 'anomaly', 'total_records', count(*) FROM scores
+  UNION ALL SELECT 'anomaly', 'anomalies_detected', count(*) FROM scores WHERE is_anomaly_predicted
+  UNION ALL SELECT 'anomaly', 'high_risk_count', count(*) FROM scores
+  WHERE reconstruction_error > (SELECT quantile_cont(reconstruction_error, 0.99) FROM scores)
+  UNION ALL SELECT 'gold', table_name || '.' || metric, value FROM metrics
+  UNION ALL SELECT 'missing', 'parts', 0)
+SELECT part, name, round(CAST(value AS DOUBLE), 4) AS value FROM facts""",
     "latest_quality": f"""WITH {_RESULTS}
 SELECT 'silver' AS layer, 'b1' AS batch_id,
        (SELECT round(checks_passed / checks_total * 100, 1) FROM results WHERE table_name = 'silver')
@@ -625,6 +690,9 @@ SELECT {_LTV_COLUMNS} FROM totals ORDER BY round(totals.lifetime_value, 6) DESC,
     "orphan_lines": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
 WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+    "lines_of_missing_orders": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 3)""",
     "orphan_events": """
 SELECT event_id, user_id, event_type FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
     "orphan_check": " UNION ALL ".join([

@@ -21,7 +21,7 @@ from tessera.plans import layers
 from tessera.schema import ACTIVITY, FLAGS, NATURAL_KEY, QUALITY_DOCUMENT, RAW_ACTIVITY
 from tessera.session import configure, materialize, scratch_path
 from tessera.sources import activity, sinks
-from tessera.streaming import ingest
+from tessera.streaming import ingest, usage
 
 AS_OF_SECONDS = 1_706_745_600          # 2024-02-01 00:00 UTC
 ORDERS_AS_OF_SECONDS = 978_307_200     # 2001-01-01 00:00 UTC
@@ -102,20 +102,42 @@ def bronze_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _per_day(activity.bronze(spark, _daily_files(spark, sf), BATCH, "*.csv"))
 
 
-@query
-def bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """Rejected lines of the daily files and of planted ones: a word for the time, or too few fields."""
-    raw = _daily_files(spark, sf)
+def _with_bad_lines(spark: SparkSession, sf: str, folder: str) -> None:
+    """Adds planted lines that do not fit the schema: a word for the time, or too few fields."""
     bad = records(spark, sf).where("pmod(time_interval, 12000000) = 0").selectExpr(
         "CASE WHEN country_code % 2 = 0 THEN concat_ws('\t', square_id, 'soon', country_code, '1', '1', '1', '1', '1') "
         "ELSE concat_ws('\t', square_id, time_interval) END AS value")
-    bad.write.mode("append").text(raw)
-    found = activity.rejects(spark, raw, BATCH, "part-*")
+    bad.write.mode("append").text(folder)
+
+
+@query
+def bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected lines of the daily files and of planted ones, written in the same pass as the accepted."""
+    raw, target = _daily_files(spark, sf), scratch_path(spark, "bronze")
+    _with_bad_lines(spark, sf, raw)
+    sinks.write_table(activity.bronze(spark, raw, BATCH, "part-*"), target, partition_by=activity.BRONZE_PARTITIONS)
+    found = activity.rejects_of(activity.read_table(spark, target))
     return found.groupBy(F.col("_corrupt_record").alias("line"), F.col("_batch_id").alias("batch_id")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(F.when(F.col("_source_file").contains("/part-"), 1)).alias("rows_with_source"))
 
 
+@query
+def file_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines and rejected lines of each file: one file per day, and a third of the days with a broken line."""
+    raw = scratch_path(configure(spark), "raw")
+    rows = records(spark, sf).select("*", F.date_format(F.timestamp_millis("time_interval"), "yyyy-MM-dd").alias("day"))
+    lines = rows.select("day", F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_ACTIVITY.fieldNames()])
+                        .alias("value"))
+    broken = rows.select("day").distinct().where("day(CAST(day AS DATE)) % 3 = 0").selectExpr("day", "'no\tnumber' AS value")
+    lines.unionByName(broken).repartition("day").write.partitionBy("day").text(raw)
+    target = scratch_path(spark, "bronze")
+    sinks.write_table(activity.bronze(spark, raw, BATCH, "day=*/part-*"), target, partition_by=activity.BRONZE_PARTITIONS)
+    found = governance.file_lineage(activity.read_table(spark, target))
+    return found.select("batch_id", F.regexp_extract("file", "day=([0-9-]+)", 1).alias("day"), "row_count", "rejected",
+                        F.col("ingested_at").isNotNull().alias("has_ingest_time"))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     raw, target = _daily_files(spark, sf), scratch_path(spark, "bronze")
@@ -124,6 +146,48 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _per_day(spark.read.parquet(target))
 
 
+_streamed: dict[tuple[str, str], str] = {}
+# Which rows arrive when: held back for weeks, a little late, or twice.
+_HELD = "square_id % 7 = 3 AND day <= 4"
+_SLOW = "square_id % 7 = 4 AND day BETWEEN 9 AND 10"
+_TWICE = "square_id % 5 = 0 AND day BETWEEN 9 AND 10"
+_ARRIVALS = [
+    f"day <= 10 AND NOT ({_HELD}) AND NOT ({_SLOW})",
+    f"day BETWEEN 11 AND 20 OR {_SLOW} OR {_TWICE}",
+    f"day > 20 OR {_HELD}",
+]
+
+
+def _streamed_usage(spark: SparkSession, sf: str) -> str:
+    """Three arrivals of files, each taken by the two streams; once per session."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _streamed:
+        raw, root, progress = (scratch_path(spark, name) for name in ("raw", "usage", "progress"))
+        cells = materialize(activity.activity_from_events(table(spark, sf, "events")).withColumn(
+            "day", F.dayofmonth(F.timestamp_millis("time_interval"))), "cells")
+        for arrival in _ARRIVALS:
+            cells.where(arrival).drop("day").write.mode("append").options(sep="\t", header="false").csv(raw)
+            usage.take_new_files(spark, raw, root, progress, "*.csv", as_of())
+        _streamed[key] = root
+    return _streamed[key]
+
+
+@query
+def stream_daily_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums per country and day of what came in time, copies counted once; the streams run once per session."""
+    sums = usage.daily_usage(spark, _streamed_usage(spark, sf))
+    return rounded(sums, 4, [f"total_{c}" for c in ACTIVITY]).withColumn("date", F.col("date").cast("string"))
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that came too late, kept apart; the streams run once per session."""
+    return usage.set_aside(spark, _streamed_usage(spark, sf)).groupBy(
+        "verdict", "country_code", F.to_date("event_time").cast("string").alias("date")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+
+
 @query
 def cdr_activity(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(activity.activity_from_events(table(spark, sf, "events")), 4, ACTIVITY)
@@ -591,6 +655,57 @@ def lineage_flow(spark: SparkSession, sf: str) -> DataFrame:
     return governance.lineage_flow(tables).join(ends, "final")
 
 
+@query
+def lineage_impact(spark: SparkSession, sf: str) -> DataFrame:
+    """What every table is made from, and what is made from it."""
+    layout = _layers(spark, sf)
+    return governance.lineage_impact(layers.lineage(spark, layout).withColumns(
+        {"source": _short(layout, "source"), "target": _short(layout, "target")}))
+
+
+@query
+def model_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted detector's document, read again."""
+    text = spark.read.text(_layers(spark, sf).model_metadata)
+    known = "training_samples bigint, threshold_percentile double, anomaly_threshold double, features array<string>, bottleneck int"
+    return text.select(F.from_json("value", known).alias("d")).select(
+        "d.training_samples", "d.threshold_percentile", F.round("d.anomaly_threshold", 6).alias("anomaly_threshold"),
+        F.array_join("d.features", ",").alias("features"), "d.bottleneck")
+
+
+@query
+def layer_gold_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns and types of the written gold tables."""
+    tables = {n: df for n, df in layers.written_tables(spark, _layers(spark, sf)).items() if n.startswith("gold.")}
+    return governance.column_catalog(tables).select("table_name", "position", "column_name", "data_type", "null_count")
+
+
+@query
+def optional_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Which tables of a list exist, and their rows; a missing one is no error."""
+    parts = []
+    for name in ("events", "orders", "refunds"):
+        found = activity.read_table_if_present(configure(spark), f"{sf}/{name}.parquet")
+        rows = spark.range(0) if found is None else found
+        parts.append(rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(found is not None).alias("present"), "row_count"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def ordered_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written in the order of its key: rows, and how many files begin before an earlier one ends."""
+    target = scratch_path(spark, "ordered")
+    sinks.write_table(table(spark, sf, "lineitem"), target, sort_by=["l_shipdate", "l_orderkey"])
+    files = spark.read.parquet(target).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high"))
+    files = materialize(files, "files")       # a row per file
+    later = files.select(F.col("file").alias("after"), F.col("low").alias("next_low"))
+    wrong = files.join(later, (F.col("file") < F.col("after")) & (F.col("high") > F.col("next_low"))).agg(
+        F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("row_count")).withColumn("files_out_of_order", wrong.scalar())
+
+
 @query
 def data_catalog(spark: SparkSession, sf: str) -> DataFrame:
     tables = layers.written_tables(spark, _layers(spark, sf))
@@ -636,13 +751,23 @@ def layer_gold_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def governance_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """The fact document, opened again: how many entries each part holds."""
+    """The fact document, opened again, fact by fact."""
     layout = _layers(spark, sf)
-    text = spark.read.text(f"{layout.reports}/governance_facts_{BATCH}")
-    parts = "quality array<string>, lineage array<string>, anomaly array<string>, gold array<string>"
-    return text.select(F.from_json("value", parts).alias("d")).select(
-        F.stack(F.lit(4), *[x for p in ("quality", "lineage", "anomaly", "gold")
-                            for x in (F.lit(p), F.size(f"d.{p}"))]).alias("part", "entries"))
+    known = ("quality array<struct<layer: string, overall_quality_score: double>>, "
+             "lineage array<struct<layer: string, `table`: string, rows: bigint, rows_after: bigint>>, "
+             "anomaly array<struct<total_records: bigint, anomalies_detected: bigint, high_risk_count: bigint>>, "
+             "gold array<struct<table_name: string, metric: string, value: double>>, missing array<string>")
+    facts = spark.read.text(f"{layout.reports}/governance_facts_{BATCH}").select(F.from_json("value", known).alias("d"))
+    fact = lambda part, name, value: F.struct(
+        F.lit(part).alias("part"), name.alias("name"), F.round(value.cast("double"), 4).alias("value"))
+    total = lambda c: F.transform("d.anomaly", lambda a: fact("anomaly", F.lit(c), a[c]))
+    return facts.select(F.inline(F.concat(
+        F.transform("d.quality", lambda q: fact("quality", q["layer"], q["overall_quality_score"])),
+        F.transform("d.lineage", lambda t: fact(
+            "lineage", F.concat_ws(".", t["layer"], t["table"]), F.coalesce(t["rows"], t["rows_after"]))),
+        *[total(c) for c in ("total_records", "anomalies_detected", "high_risk_count")],
+        F.transform("d.gold", lambda g: fact("gold", F.concat_ws(".", g["table_name"], g["metric"]), g["value"])),
+        F.array(fact("missing", F.lit("parts"), F.size("d.missing"))))))
 
 
 @query
@@ -727,6 +852,14 @@ def orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
+@query
+def lines_of_missing_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines whose order is not among those taken over, which lack every tenth."""
+    taken = table(spark, sf, "orders").where("o_orderkey % 10 <> 3")
+    return commerce.orphans(table(spark, sf, "lineitem"), "l_orderkey", taken, "o_orderkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
 @query
 def orphan_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events whose user is no supplier: another key space, so there are many."""

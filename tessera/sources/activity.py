@@ -48,16 +48,6 @@ def _whole_line() -> Column:
     return F.expr(f"size(array({names})) > 0")
 
 
-def accepted(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col(CORRUPT).isNull() & _whole_line()).drop(CORRUPT)
-
-
-def rejected(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col(CORRUPT).isNotNull() & _whole_line()).select(
-        F.col("_metadata.file_path").alias("_source_file"), F.col(CORRUPT)
-    )
-
-
 def with_audit_columns(df: DataFrame, batch_id: str, version: str = PIPELINE_VERSION,
                        source: str | None = None) -> DataFrame:
     """Ingest time, source file, batch, version and the date partition.
@@ -75,21 +65,35 @@ def with_audit_columns(df: DataFrame, batch_id: str, version: str = PIPELINE_VER
     )
 
 
-def bronze(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
-    """Raw files as the bronze table: every readable line, unchanged, plus audit columns.
+# ---- bronze: every line once, told apart by verdict ----
+VERDICT, ACCEPTED, REJECTED = "_verdict", "accepted", "rejected"
+BRONZE_PARTITIONS = [VERDICT, "_date_partition"]
 
-    Partly readable lines stay in, with nulls where a field did not parse; ``rejects`` has their text.
+
+def with_verdict(lines: DataFrame, batch_id: str) -> DataFrame:
+    """Parsed lines with audit columns and a verdict: whether the line fits the schema.
+
+    A rejected line keeps its text, and nulls where a field did not parse.
     """
-    return with_audit_columns(read_raw(spark, folder, glob), batch_id).drop(CORRUPT)
+    verdict = F.when(F.col(CORRUPT).isNull(), ACCEPTED).otherwise(REJECTED)
+    # The file's description is a column where the lines come through a stream.
+    return with_audit_columns(lines.where(_whole_line()), batch_id).withColumn(VERDICT, verdict).drop("_metadata")
+
+
+def bronze(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
+    """Raw files as the bronze table: every line, unchanged, plus audit columns and verdict; one parse."""
+    return with_verdict(read_raw(spark, folder, glob), batch_id)
 
 
-def with_reject_columns(bad: DataFrame, batch_id: str) -> DataFrame:
-    return bad.select("*", F.current_timestamp().alias("_rejected_at"), F.lit(batch_id).alias("_batch_id"))
+def records_of(bronze_table: DataFrame) -> DataFrame:
+    """The rows of a bronze table as records; partly readable lines are among them, with nulls."""
+    return bronze_table.drop(VERDICT, CORRUPT)
 
 
-def rejects(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
-    """Every line that does not fit the schema: file, text, time and batch."""
-    return with_reject_columns(rejected(read_raw(spark, folder, glob)), batch_id)
+def rejects_of(bronze_table: DataFrame) -> DataFrame:
+    """File, text, time and batch of every line that does not fit the schema; reads their partition only."""
+    return bronze_table.where(F.col(VERDICT) == REJECTED).select(
+        "_source_file", CORRUPT, F.col("_bronze_ingested_at").alias("_rejected_at"), "_batch_id")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

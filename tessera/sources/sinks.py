@@ -5,35 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
+def write_table(df: DataFrame, path: str, *, partition_by: str | list[str] | None = None,
                 sort_by: list[str] | None = None, only_given_partitions: bool = False,
                 fmt: str = "parquet", **metrics: Column) -> dict[str, int]:
-    """Write a table; return its row count and any further ``metrics``.
+    """Write a table in one pass over ``df``; return its row count and any further ``metrics``.
 
     The counters sit above every shuffle, in the tasks that write: only there does
     Spark count each row once, even when a sort samples its input first or an
     executor is lost and its work redone.
 
-    ``partition_by``: rows are rebalanced on the partition column first, so each
+    ``partition_by``: rows are rebalanced on the partition columns first, so each
     partition gets few files while one holding much of the data is split over
     several tasks. ``only_given_partitions`` replaces just the partitions present
     in ``df``, for reloading single days. ``sort_by`` gives a globally ordered table.
 
-    A table that a stream's file sink wrote is refused: its log lists the files that
-    belong to it, and an overwrite would delete them behind the log's back.
+    A table that a stream writes is refused: it is kept by micro-batch, and an overwrite
+    would delete batches behind the stream's back, or come to lie beside them.
     """
-    if _has_sink_log(df.sparkSession, path):
+    if _is_streamed(df.sparkSession, path):
         raise ValueError(f"{path} is written by a stream; reload its days through the stream or to another table")
-    if partition_by:
-        df = df.hint("rebalance", F.col(partition_by))
+    by = [partition_by] if isinstance(partition_by, str) else partition_by
+    if by:
+        df = df.hint("rebalance", *[F.col(c) for c in by])
     if sort_by:
         df = df.orderBy(*sort_by)
     watch = Observation()
     counters = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
     writer = df.observe(watch, *counters).write.format(fmt).mode("overwrite")
-    if partition_by:
+    if by:
         scope = "dynamic" if only_given_partitions else "static"
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", scope)
+        writer = writer.partitionBy(*by).option("partitionOverwriteMode", scope)
     writer.save(path)
     return {name: int(value) for name, value in watch.get.items()}
 
@@ -50,18 +51,50 @@ def replace_days(df: DataFrame, path: str, day: str, days: tuple[str, str], fmt:
         watch, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(day).cast("string")).alias("days"))
     held.write.format(fmt).mode("overwrite").partitionBy(day).option("partitionOverwriteMode", "dynamic").save(path)
     written = set(watch.get["days"])
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(folder) if files.exists(folder) else []:
-        name, _, value = status.getPath().getName().partition("=")
+    for folder in _subfolders(spark, path):
+        name, _, value = folder.getName().partition("=")
         if name == day and days[0] <= value <= days[1] and value not in written:
-            files.delete(status.getPath(), True)
+            _folder(spark, path)[1].delete(folder, True)
     return watch.get["rows"]
 
 
-def _has_sink_log(spark: SparkSession, path: str) -> bool:
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
-    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+def _folder(spark: SparkSession, path: str):
+    """A folder and its file system, whatever store that is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _subfolders(spark: SparkSession, path: str) -> list:
+    folder, files = _folder(spark, path)
+    return [s.getPath() for s in files.listStatus(folder) if s.isDirectory()] if files.exists(folder) else []
+
+
+MICRO_BATCH = "_micro_batch"
+
+
+def _is_streamed(spark: SparkSession, path: str) -> bool:
+    names = [p.getName() for p in _subfolders(spark, path)]
+    return any(n == "_spark_metadata" or n.startswith(f"{MICRO_BATCH}=") for n in names)
+
+
+def write_micro_batch(df: DataFrame, path: str, number: int, partition_by: list[str], fmt: str = "parquet",
+                      **metrics: Column) -> dict:
+    """The rows of one micro-batch, in one write; a repeated batch replaces what its first attempt left.
+
+    Returns ``metrics``. One stream per table: numbers of two would collide.
+    """
+    marked = df.withColumn(MICRO_BATCH, F.lit(number))
+    if partition_by:
+        marked = marked.hint("rebalance", *[F.col(c) for c in partition_by])
+    watch = Observation()
+    if metrics:
+        marked = marked.observe(watch, *[c.alias(n) for n, c in metrics.items()])
+    # A first attempt may have left partitions that this one has no rows for.
+    folder, files = _folder(df.sparkSession, f"{path}/{MICRO_BATCH}={number}")
+    if files.exists(folder):
+        files.delete(folder, True)
+    (marked.write.format(fmt).mode("append").partitionBy(MICRO_BATCH, *partition_by).save(path))
+    return watch.get if metrics else {}
 
 
 def write_documents(df: DataFrame, folder: str) -> None:

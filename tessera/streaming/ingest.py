@@ -5,48 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.schema import RAW_ACTIVITY, RAW_GLOB
-from tessera.sources.activity import CORRUPT, RAW_OR_CORRUPT, rejected, with_audit_columns, with_reject_columns
+from tessera.schema import RAW_GLOB
+from tessera.sources import sinks
+from tessera.sources.activity import BRONZE_PARTITIONS, CORRUPT, RAW_OR_CORRUPT, with_verdict
 
 
 def raw_stream(spark: SparkSession, folder: str, glob: str = RAW_GLOB) -> DataFrame:
+    """Parsed lines; those that do not fit the schema keep their text."""
     return (
-        spark.readStream.schema(RAW_ACTIVITY)
-        .options(sep="\t", header="false", pathGlobFilter=glob)
-        .csv(folder)
-    )
-
-
-def reject_stream(spark: SparkSession, folder: str, batch_id: str, glob: str = RAW_GLOB) -> DataFrame:
-    raw = (
         spark.readStream.schema(RAW_OR_CORRUPT)
         .options(sep="\t", header="false", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob)
         .csv(folder)
     )
-    return with_reject_columns(rejected(raw), batch_id)
 
 
 def ingest_new_files(spark: SparkSession, folder: str, target: str, checkpoint: str, batch_id: str,
                      glob: str = RAW_GLOB) -> StreamingQuery:
-    """Append unseen files to the bronze table and stop.
+    """Add unseen files to a bronze table of the same columns as the batch ingest's, and stop.
 
-    The checkpoint remembers which files were taken and the file sink commits
-    whole micro-batches, so a run cut short neither loses nor repeats a file.
-
-    Before that, lines that do not fit the schema are added as text to the table
-    ``{target}_rejects``, with a checkpoint of its own: the rejects of a file that
-    arrives in between follow in the next run.
+    Accepted and rejected lines of a micro-batch come from one parse and go out in one write. The
+    checkpoint remembers which files were taken, and a micro-batch cut short is written again
+    under its number, in place of what it had left: no file is lost or taken twice.
     """
-    (
-        reject_stream(spark, folder, batch_id, glob).writeStream.format("parquet")
-        .option("checkpointLocation", f"{checkpoint}_rejects")
-        .trigger(availableNow=True)
-        .start(f"{target}_rejects")
-    ).awaitTermination()
-    rows = with_audit_columns(raw_stream(spark, folder, glob), batch_id)
+
+    def write(lines: DataFrame, number: int) -> None:
+        sinks.write_micro_batch(with_verdict(lines, batch_id), target, number, BRONZE_PARTITIONS)
+
+    # The file's name is a column of the scan, which foreachBatch no longer knows.
+    lines = raw_stream(spark, folder, glob).select("*", "_metadata")
     return (
-        rows.writeStream.format("parquet").partitionBy("_date_partition")
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )

@@ -39,10 +39,7 @@ def test_bronze_keeps_every_line_and_notes_bad_ones(spark, tmp_path):
     raw = tmp_path / "raw"
     day_file(raw, 1, [line(1, START, 1.5, None, 2.0, 0.0, 3.0), "x\ty\tz", line(2, "soon", 1, 1, 1, 1, 1)])
     (raw / "notes.txt").write_text("not a daily file\n")
-    frame = activity.read_raw(spark, str(raw))
-    assert activity.accepted(frame).count() == 1
-    assert activity.rejected(frame).count() == 2
-    bad = activity.rejected(frame).collect()
+    bad = activity.rejects_of(activity.bronze(spark, str(raw), "b1")).collect()
     assert len(bad) == 2 and all(r["_source_file"].endswith("01.txt") for r in bad)
     bronze = activity.bronze(spark, str(raw), "b1").orderBy(F.col("square_id").asc_nulls_last()).collect()
     assert [r["square_id"] for r in bronze] == [1, 2, None]
@@ -56,20 +53,44 @@ def test_rejects_are_written_with_file_and_text(spark, tmp_path):
     bad = ["x\ty\tz", line(2, "soon", 1, 1, 1, 1, 1)]
     day_file(raw, 1, [line(1, START, 1.5, None, 2.0, 0.0, 3.0), *bad])
 
-    def texts(path):
-        return sorted((r["_corrupt_record"], r["_source_file"][-6:], r["_batch_id"]) for r in spark.read.parquet(path).collect())
-
-    assert layers.run_bronze(spark, lake, "b1") == 3
+    def texts(bronze):
+        rows = activity.rejects_of(spark.read.parquet(bronze)).collect()
+        return sorted((r["_corrupt_record"], r["_source_file"][-6:], r["_batch_id"]) for r in rows)
+
+    parses, writes = [], []
+    read, write = activity.read_raw, sinks.write_table
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(activity, "read_raw", lambda *a: parses.append(a) or read(*a))
+        patch.setattr(sinks, "write_table", lambda df, *a, **k: writes.append(df) or write(df, *a, **k))
+        assert layers.run_bronze(spark, lake, "b1") == 3
+    # One parse of the files, and one of the writes reads them.
+    assert len(parses) == 1
+    assert [df._jdf.queryExecution().optimizedPlan().toString().count("csv") > 0 for df in writes].count(True) == 1
     want = sorted((t, "01.txt", "b1") for t in bad)
-    assert texts(lake.table("bronze.cdr_rejects")) == want
+    assert texts(lake.table("bronze.cdr_records")) == want
+    files = spark.read.parquet(lake.files).collect()
+    assert [(r["batch_id"], r["file"][-6:], r["row_count"], r["rejected"]) for r in files] == [("b1", "01.txt", 3, 2)]
     target, progress = str(tmp_path / "streamed"), str(tmp_path / "progress")
     for _ in range(2):
         ingest.ingest_new_files(spark, lake.raw, target, progress, "b1").awaitTermination()
-    assert texts(f"{target}_rejects") == want and spark.read.parquet(target).count() == 3
+    assert texts(target) == want and spark.read.parquet(target).count() == 3
     other = tmp_path / "other"
-    day_file(other, 2, ["p\tq"])
+    day_file(other, 2, [line(1, START + DAY, 1, 1, 1, 1, 1)])
     layers.run_bronze(spark, layers.Layout(lake.root, str(other)), "b2", reload_days=True)
-    assert texts(lake.table("bronze.cdr_rejects")) == sorted([*want, ("p\tq", "02.txt", "b2")])
+    assert texts(lake.table("bronze.cdr_records")) == want
+    assert sorted(r["batch_id"] for r in spark.read.parquet(lake.files).collect()) == ["b1", "b2"]
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "n int, k string")
+    sinks.write_micro_batch(first, target, 0, ["k"])
+    assert sinks.write_micro_batch(first.where("n < 9"), target, 1, ["k"], top=F.max("n")) == {"top": 3}
+    # Its first attempt had written other partitions.
+    for _ in range(2):
+        sinks.write_micro_batch(first.where("k = 'a'"), target, 1, ["k"])
+        rows = sorted((r["n"], r["_micro_batch"]) for r in spark.read.parquet(target).collect())
+        assert rows == [(1, 0), (1, 1), (2, 0), (3, 0)]
 
 
 def test_labelled_files(spark, tmp_path):
@@ -104,7 +125,7 @@ def test_all_layers(spark, layout):
     report = spark.read.text(f"{layout.reports}/silver_quality_b1").collect()
     assert "### cdr_records — ✅ PASS" in [r[0] for r in report]
     facts = json.loads(spark.read.text(f"{layout.reports}/governance_facts_b1").first()[0])
-    assert set(facts) == {"quality", "lineage", "anomaly", "gold"} and facts["anomaly"][0]["total_records"] == 60
+    assert set(facts) == {"quality", "lineage", "anomaly", "gold", "missing"} and facts["missing"] == [] and facts["anomaly"][0]["total_records"] == 60
     entries = {r["table_name"]: r for r in spark.read.json(layout.catalog).collect()}
     assert entries["silver.cdr_records"]["row_count"] == 60
     assert entries["bronze.cdr_records"]["pii_columns"] == ["square_id"]
@@ -175,7 +196,7 @@ def test_metrics_of_missing_and_empty_tables(spark):
     empty = spark.createDataFrame([], "country_code int, date date, total_internet double")
     rows = governance.gold_metrics(None, empty, None).collect()
     assert {r["metric"]: r["value"] for r in rows} == {
-        "row_count": 0.0, "total_internet": 0.0, "unique_countries": 0.0, "active_days": 0.0}
+        "row_count": 0.0, "total_internet": 0.0, "unique_countries": 0.0, "active_days": 0.0, "columns": 3.0}
 
 
 # ---------------------------------------------------------------- commerce
