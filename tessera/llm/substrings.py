@@ -11,10 +11,15 @@ its windows: they are sorted, and of each the first document is known.
    entirely in windows of it.
 2. A minimiser met in one document only holds no repeated window: only the shared
    ones' super-k-mers are cut from the texts and sent.
-3. Buckets of at most ``BUCKET`` super-k-mers are sorted in one task. Larger ones
-   (a passage in a third of all documents) are unpacked where they lie, and every
-   window is reduced to its smallest document before anything is sent, by digest.
-4. The words covered by windows with an earlier document are removed.
+3. Equal strings are one, with the smallest document that has it: in all others every
+   window of it is repeated. Buckets left with one string, or one document, are done.
+4. A bucket's strings go to tasks in chunks of about ``CHUNK`` windows, one for nearly all
+   buckets. A task sorts the windows of its chunk, so equal ones stand together and name
+   their smallest document. Windows with an earlier one are marked. Where the bucket has
+   other chunks, the rest leave as one digest per chunk and are compared with theirs: a
+   window in a third of all documents leaves each chunk once, and no more rows leave than
+   there are different windows.
+5. The words covered by windows with an earlier document are removed.
 
 Defined results: a null or empty text has no words; documents shorter than a window
 lose nothing; rows of one id never remove words from each other; rows without an id
@@ -35,7 +40,7 @@ from tessera.session import materialize
 
 WINDOW = 50
 MINIMISER = 6
-BUCKET = 256
+CHUNK = 65_536          # windows sorted at once; one super-k-mer has no more
 WORDS_AT_ONCE = 65_536
 NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -94,88 +99,70 @@ def _cut(window: int):
             words = space_words(text)
             for p in places:
                 packed = b" ".join(words[p["start"]:p["start"] + p["size"] + window - 1])
-                rows.append((p["minimiser"], p["crowded"], doc, key, p["start"], packed))
+                rows.append((p["minimiser"], doc, key, p["start"], p["size"], packed))
         return [list(c) for c in zip(*rows)] or [[]] * 6
 
     return step
 
 
-def repeated(rows: list[tuple[int, int, int, bytes]], window: int) -> list[tuple[int, int, int]]:
-    """(document, key, first word) of the windows of a bucket that also start in a smaller document.
+def counted(strings: list[tuple[bytes, int, bytes]], window: int,
+            alone: bool) -> list[tuple[bytes, int, list[int], bytes | None]]:
+    """What a chunk says of its strings (name, smallest document, packed): (name, document, windows, digest).
 
-    ``rows``: (document, key, start, packed). All windows are sorted by content, then
-    document; equal ones stand together, the first names the smallest document.
+    All windows are sorted by content, then document. Those with an earlier document in the chunk
+    are listed per string, without a digest; of the others there is one row per string and content,
+    unless the chunk is ``alone`` in its bucket.
     """
-    if len({row[0] for row in rows}) < 2:
-        return []
     every = []
-    for doc, key, start, packed in rows:
+    for at, (_, low, packed) in enumerate(strings):
         words = packed.split(b" ")
-        for k in range(len(words) - window + 1):
-            every.append((b" ".join(words[k:k + window]), doc, key, start + k))
+        every += [(b" ".join(words[k:k + window]), low, at, k) for k in range(len(words) - window + 1)]
     every.sort()
-    out, content, smallest = [], None, None
-    for words, doc, key, start in every:
+    out, repeated = [], {}
+    content, smallest, own = None, None, None
+    for words, low, at, k in every:
         if words != content:
-            content, smallest = words, doc
-        elif doc > smallest:
-            out.append((doc, key, start))
-    return out
-
-
-def runs(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(document, key, first, last) of consecutive windows."""
-    out: list[list[int]] = []
-    for doc, key, start in sorted(set(places)):
-        if out and out[-1][:2] == [doc, key] and out[-1][3] + 1 == start:
-            out[-1][3] = start
+            content, smallest, own = words, low, None
+        if low > smallest:
+            repeated.setdefault(at, []).append(k)
+        elif alone:
+            continue
+        elif own == at:
+            out[-1][2].append(k)
         else:
-            out.append([doc, key, start, start])
-    return [tuple(r) for r in out]
+            own = at
+            out.append((strings[at][0], low, [k], hashlib.blake2b(words, digest_size=16).digest()))
+    return out + [(strings[at][0], strings[at][1], ks, None) for at, ks in repeated.items()]
 
 
-def _sort_buckets(window: int):
-    """Rows sorted by bucket to runs of repeated windows; a bucket may span batches."""
+def _sort_chunks(window: int):
+    """Rows sorted by bucket and chunk, counted chunk by chunk; a chunk may span batches."""
 
     def run(batches):
-        bucket, held = None, []
+        chunk, alone, held, out = None, True, [], []
 
-        def record(found):
-            made = list(zip(*runs(found))) or [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made],
-                                              names=["doc", "key", "first", "last"])
+        def record():
+            made = list(zip(*out)) or [()] * 4
+            types = (pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)],
+                                              names=["string", "low", "ks", "digest"])
 
         for batch in batches:
-            found = []
-            columns = [batch.column(c).to_pylist() for c in ("minimiser", "doc", "key", "start", "packed")]
-            for minimiser, *row in zip(*columns):
-                if minimiser != bucket:
-                    if len(held) > 1:
-                        found += repeated(held, window)
-                    bucket, held = minimiser, []
+            columns = [batch.column(c).to_pylist() for c in ("minimiser", "chunk", "chunks", "string", "low", "packed")]
+            for minimiser, number, chunks, *row in zip(*columns):
+                if (minimiser, number) != chunk:
+                    out += counted(held, window, alone)
+                    chunk, alone, held = (minimiser, number), chunks == 1, []
+                    if len(out) > 10_000:
+                        yield record()
+                        out = []
                 held.append(tuple(row))
-            yield record(found)
-        yield record(repeated(held, window) if len(held) > 1 else [])
+        out += counted(held, window, alone)
+        yield record()
 
     return run
 
 
-def _unpack(window: int):
-    """The distinct windows of packed strings, by digest, each with its places in the string."""
-    def step(strings, lows, packed):
-        rows = []
-        for string, low, p in zip(strings, lows, packed):
-            words = p.split(b" ")
-            places: dict[bytes, list[int]] = {}
-            for k in range(len(words) - window + 1):
-                digest = hashlib.blake2b(b" ".join(words[k:k + window]), digest_size=16).digest()
-                places.setdefault(digest, []).append(k)
-            rows += [(string, low, ks, digest) for digest, ks in places.items()]
-        return [list(c) for c in zip(*rows)] or [[]] * 4
-
-    return step
-
-
 def _remove(window: int):
     def step(texts, marks):
         removed, sha = [], []
@@ -195,7 +182,7 @@ def _remove(window: int):
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                   window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
+                   window: int = WINDOW, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs``."""
     # (doc_id, key) finds a text again in the second scan, also where ids are repeated.
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
@@ -216,44 +203,47 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         .select("doc", "key", F.col("k.starts").alias("start"), F.col("k.sizes").alias("size"),
                 F.col("k.minimisers").alias("minimiser"))
     shared = (kmers.groupBy("minimiser")
-              .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
-              .where("low < high").select("minimiser", (F.col("n") > bucket).alias("crowded")))
+              .agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("minimiser"))
     wanted = (kmers.join(shared, "minimiser").groupBy("doc", "key")
-              .agg(F.collect_list(F.struct("start", "size", "minimiser", "crowded")).alias("wanted"))
+              .agg(F.collect_list(F.struct("start", "size", "minimiser")).alias("wanted"))
               .withColumnRenamed("doc", "doc_id"))
 
     # The texts concerned, written once: super-k-mers are cut from them, and words removed.
     concerned = materialize(texts.join(wanted, ["doc_id", "key"]), "concerned")
     packed = materialize(map_columns(
         concerned, ["doc_id", "key", "text", "wanted"],
-        "minimiser long, crowded boolean, doc long, key long, start long, packed binary", lambda: _cut(window)),
-        "super-kmers")
-
-    marked = (packed.where("NOT crowded").repartition("minimiser")
-              .sortWithinPartitions("minimiser", "doc", "key", "start")
-              .mapInArrow(_sort_buckets(window), "doc long, key long, first long, last long"))
-    # Crowded buckets. Equal strings are one, with the smallest document that has it: in
-    # all others every window of it is repeated. Its windows are compared with those of
-    # other strings for that document only.
-    crowded = packed.where("crowded").withColumn("string", F.sha2("packed", 256))
-    strings = materialize(crowded.groupBy("string").agg(F.min("doc").alias("low"), F.first("packed").alias("packed")),
-                          "strings")
-    unpacked = map_columns(strings, ["string", "low", "packed"],
-                           "string string, low long, ks array<int>, digest binary", lambda: _unpack(window))
-    earliest = (unpacked.groupBy("digest").agg(F.min("low").alias("smallest"), F.max("low").alias("largest"))
+        "minimiser long, doc long, key long, start int, size int, packed binary", lambda: _cut(window)),
+        "super-kmers").withColumn("string", F.unhex(F.substring(F.sha2("packed", 256), 1, 32)))
+
+    strings = materialize(
+        packed.groupBy("string").agg(F.min("doc").alias("low"), *(
+            F.first(c).alias(c) for c in ("minimiser", "size", "packed"))), "strings")
+    buckets = (strings.groupBy("minimiser")
+               .agg(F.min("low").alias("least"), F.max("low").alias("most"), F.sum("size").alias("windows"))
+               .where("least < most").select("minimiser", F.ceil(F.col("windows") / chunk).alias("chunks")))
+    chunked = strings.join(buckets, "minimiser").select(
+        "minimiser", F.pmod(F.xxhash64("string"), "chunks").alias("chunk"), "chunks", "string", "low", "packed")
+    found = materialize(
+        chunked.repartition("minimiser", "chunk").sortWithinPartitions("minimiser", "chunk")
+        .mapInArrow(_sort_chunks(window), "string binary, low long, ks array<int>, digest binary"), "windows")
+
+    # Chunks of one bucket are compared by the smallest document of each content.
+    earliest = (found.where("digest IS NOT NULL").groupBy("digest")
+                .agg(F.min("low").alias("smallest"), F.max("low").alias("largest"))
                 .where("smallest < largest").select("digest", "smallest"))
-    own = (unpacked.join(earliest, "digest").where("low > smallest")
+    across = found.join(earliest, "digest").where("low > smallest").select("string", "ks")
+    own = (found.where("digest IS NULL").select("string", "ks").unionByName(across)
            .groupBy("string").agg(F.flatten(F.collect_list("ks")).alias("ks")))
-    placed = crowded.join(strings.select("string", "low", F.size(F.split(F.col("packed").cast("string"), " "))
-                                         .alias("n")).join(own, "string", "left"), "string")
-    # One row a super-k-mer, with all its marks.
+    # One row per super-k-mer of a document, also where rows are repeated, with all its marks.
+    placed = (packed.select("doc", "key", "start", "size", "string").distinct()
+              .join(strings.select("string", "low"), "string").join(own, "string", "left"))
     spread = placed.select("doc", "key", F.when(F.col("doc") > F.col("low"), F.array(F.struct(
-        F.col("start").alias("first"), (F.col("start") + F.col("n") - window).alias("last"))))
+        F.col("start").alias("first"), (F.col("start") + F.col("size") - 1).alias("last"))))
         .otherwise(F.transform("ks", lambda k: F.struct(
             (F.col("start") + k).alias("first"), (F.col("start") + k).alias("last")))).alias("m")) \
         .where("m IS NOT NULL")
-    marks = (marked.select("doc", "key", F.array(F.struct("first", "last")).alias("m")).unionByName(spread)
-             .groupBy(F.col("doc").alias("doc_id"), "key").agg(F.flatten(F.collect_list("m")).alias("marks")))
+    marks = (spread.groupBy(F.col("doc").alias("doc_id"), "key")
+             .agg(F.flatten(F.collect_list("m")).alias("marks")))
 
     changed = with_result(concerned.select("doc_id", "key", "text").join(marks, ["doc_id", "key"]),
                           ["text", "marks"], "n_removed long, kept_sha256 string", lambda: _remove(window), "made")

@@ -102,17 +102,40 @@ def plain_removal(rows, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("bucket", [2, 256])
-def test_repeats(spark, bucket):
+@pytest.mark.parametrize("chunk", [40, 65_536])
+def test_repeats(spark, chunk):
     passage = prose(80, 11)
     texts = awkward() + [prose(30, 20 + k) + " " + passage + " " + prose(k, 40 + k) for k in range(12)]
     texts += [passage + " " + passage, "\n".join(passage.split())]
     ids = [*range(len(texts) - 2), 3, None]
     docs = frame(spark, texts, ids=ids, extra=True)
-    got = substrings.remove_repeats(docs, bucket=bucket).collect()
+    got = substrings.remove_repeats(docs, chunk=chunk).collect()
     assert sorted((tuple(r) for r in got), key=str) == plain_removal(list(zip(ids, texts)), 50)
 
 
+@pytest.mark.parametrize("chunk", [20, 65_536])
+def test_many_repeated_rows_and_a_repeated_word(spark, chunk):
+    """500 rows of one id and text, and one word over and over in three documents."""
+    passage = prose(70, 3)
+    texts = [passage] * 500 + [f"{prose(9, k)} {passage} {prose(9, 50 + k)}" for k in range(30)]
+    texts += ["a " * 400, "b " + "a " * 350 + "c", "a " * 90 + prose(20, 9) + " a" * 120]
+    ids = [7] * 500 + [*range(8, 38), 40, 41, 42]
+    got = substrings.remove_repeats(frame(spark, texts, ids=ids), chunk=chunk).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_removal(list(zip(ids, texts)), 50)
+
+
+def test_a_chunk_leaves_each_content_once_per_string():
+    common = [b"w%d" % k for k in range(60)]
+    strings = [(b"s%d" % k, k, b" ".join([b"own%d" % k, *common])) for k in range(40)]
+    rows = substrings.counted(strings, 50, False)
+    known = [r for r in rows if r[3] is not None]
+    # 11 windows of the common words leave once; each string's first window holds its own word.
+    assert len(known) == 11 + 40 and len({r[3] for r in known}) == len(known)
+    marked = [r for r in rows if r[3] is None]
+    assert sorted((r[0], sorted(r[2])) for r in marked) == sorted((b"s%d" % k, list(range(1, 12))) for k in range(1, 40))
+    assert substrings.counted(strings, 50, True) == marked
+
+
 def test_small_windows_and_ties(spark):
     texts = ["a b a b a b", "a b a b", "b a b a", "c", "a b a b a b"]
     got = substrings.remove_repeats(frame(spark, texts), window=7).collect()
