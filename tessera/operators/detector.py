@@ -129,15 +129,15 @@ def _moments(rows: DataFrame, pairs: bool) -> dict:
     """n, means, deviations and, with ``pairs``, covariances."""
     x = feature_rows(rows)
     if pairs:
-        return _of_state(moments.states(x, FEATURES))
+        return of_state(moments.states(x, FEATURES).first())
     measures = ["count(1) AS n"]
     for i, name in enumerate(FEATURES):
         measures += [f"avg({name}) AS mean_{i}", f"stddev_pop({name}) AS std_{i}"]
     return x.selectExpr(*measures).first().asDict()
 
 
-def _of_state(state: DataFrame) -> dict:
-    found = state.first()
+def of_state(found) -> dict:
+    """The row of a state as n, means, deviations and covariances; no rows without one."""
     if found is None:
         return {"n": 0}
     out = {"n": found.n, **{f"mean_{i}": m for i, m in enumerate(found.means)}}
@@ -146,7 +146,7 @@ def _of_state(state: DataFrame) -> dict:
     return out
 
 
-def _unexplained(found: dict, scale: list[float], rank: int) -> list[list[float]]:
+def unexplained(found: dict, scale: list[float], rank: int) -> list[list[float]]:
     """Unit directions left out by the ``rank`` leading principal components."""
     size = len(FEATURES)
     if rank == 0:
@@ -174,14 +174,14 @@ def fit(silver: DataFrame, rank: int = BOTTLENECK, percentile: float = PERCENTIL
     """
     training = clean(silver)
     found = (_moments(training, pairs=rank > 0) if days is None
-             else _of_state(moments.merged(days, len(FEATURES))))
+             else of_state(moments.merged(days, len(FEATURES)).first()))
     if not found["n"]:
         raise ValueError("no clean rows to fit on")
     size = range(len(FEATURES))
     mean = [found[f"mean_{i}"] for i in size]
     # A constant feature is left unscaled.
     scale = [found[f"std_{i}"] or 1.0 for i in size]
-    shape = Detector(mean, scale, _unexplained(found, scale, rank), rank, found["n"], percentile)
+    shape = Detector(mean, scale, unexplained(found, scale, rank), rank, found["n"], percentile)
     errors = training.select(shape.error(training).alias("error"))
     threshold = exact_percentiles(errors, "error", [percentile / 100.0])[0]
     return Detector(**{**shape.__dict__, "threshold": threshold})

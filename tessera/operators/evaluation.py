@@ -81,17 +81,19 @@ def labels_of(injected: DataFrame) -> DataFrame:
     )
 
 
-def with_labels(scores: DataFrame, labels: DataFrame) -> DataFrame:
+def with_labels(scores: DataFrame, labels: DataFrame, null_safe: bool = True) -> DataFrame:
     """Scores with their labels; rows without a label count as normal.
 
-    Keys are compared null-safely. ``labels`` holds each key once, so the join
+    Keys are compared null-safely; with ``null_safe`` off by plain equality, for keys without nulls, which
+    lets a table that lies in buckets of the key stay where it is. ``labels`` holds each key once, so the join
     cannot multiply rows; Spark broadcasts the labels if their size allows it and
     splits oversized partitions of the scores otherwise.
     """
     right = labels.select(
         *[F.col(k).alias(f"_label_{k}") for k in NATURAL_KEY], "is_anomaly_injected", "anomaly_type"
     )
-    match = [F.col(k).eqNullSafe(F.col(f"_label_{k}")) for k in NATURAL_KEY]
+    match = [F.col(k).eqNullSafe(F.col(f"_label_{k}")) if null_safe else F.col(k) == F.col(f"_label_{k}")
+             for k in NATURAL_KEY]
     joined = scores.join(right, match, "left").drop(*[f"_label_{k}" for k in NATURAL_KEY])
     return joined.fillna(False, subset=["is_anomaly_injected"])
 

@@ -17,25 +17,29 @@ from tessera.session import materialize
 _PART, _HERE, _BEFORE, _ALL = "_part", "_here", "_before", "_all"
 
 
-def _taken(df: DataFrame) -> None:
+def positions(df: DataFrame, by: list[str]) -> tuple[DataFrame, int]:
+    """Every distinct value of the columns ``by`` (ascending, nulls first) with the rows that hold it and the rows
+    before it, as ``_here`` and ``_before``; and the number of all rows."""
     clash = {_PART, _HERE, _BEFORE, _ALL} & set(df.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are used by the ranks")
-
-
-def _counted(df: DataFrame, by: list[str]) -> DataFrame:
-    """Every row with the rows before its values of ``by`` (ascending, nulls first), the rows that share them, and all."""
-    _taken(df)
     values = df.groupBy(*by).agg(F.count(F.lit(1)).alias(_HERE))
     ranged = materialize(values.repartitionByRange(*by).withColumn(_PART, F.spark_partition_id()), "ranks")
     totals = sorted(tuple(r) for r in ranged.groupBy(_PART).agg(F.sum(_HERE)).collect())
     ahead = [0, *accumulate(n for _, n in totals)]
-    offsets = df.sparkSession.createDataFrame(
-        [(part, before) for (part, _), before in zip(totals, ahead)], f"{_PART} int, _ahead long")
+    # A literal table, also where there are no parts.
+    listed = ", ".join(f"({part}, {before}L)" for (part, _), before in zip(totals or [(-1, 0)], ahead))
+    offsets = df.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t({_PART}, _ahead)")
     running = F.sum(_HERE).over(Window.partitionBy(_PART).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
-    placed = ranged.withColumn(_BEFORE, running - F.col(_HERE)).join(offsets, _PART).select(
-        *[F.col(f"`{c}`").alias(f"_by_{i}") for i, c in enumerate(by)], _HERE,
-        (F.col(_BEFORE) + F.col("_ahead")).alias(_BEFORE), F.lit(ahead[-1]).alias(_ALL))
+    placed = ranged.withColumn(_BEFORE, running - F.col(_HERE)).join(offsets, _PART)
+    return placed.select(*by, _HERE, (F.col(_BEFORE) + F.col("_ahead")).alias(_BEFORE)), ahead[-1]
+
+
+def _counted(df: DataFrame, by: list[str]) -> DataFrame:
+    """Every row with the rows before its values, the rows that share them, and all."""
+    found, rows = positions(df, by)
+    placed = found.select(*[F.col(f"`{c}`").alias(f"_by_{i}") for i, c in enumerate(by)], _HERE, _BEFORE,
+                          F.lit(rows).alias(_ALL))
     match = [F.col(f"`{c}`").eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)]
     return df.join(placed, match).drop(*[f"_by_{i}" for i in range(len(by))])
 

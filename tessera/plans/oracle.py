@@ -714,6 +714,33 @@ SELECT * EXCLUDE (copy) REPLACE (CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_
         _copies("lineitem", "l_orderkey, l_linenumber"),
     ]),
 }
+_DENSE_RECORDS = f"""
+records AS (
+  SELECT CAST(user_id % 20 + 1 AS INTEGER) AS square_id, epoch_ms(ts) - epoch_ms(ts) % 21600000 AS time_interval,
+         CAST((user_id % 20 + 1) % 7 + 39 AS INTEGER) AS country_code,
+         {_each("CAST(sum(CASE WHEN event_type = '{e}' THEN CAST(value AS DECIMAL(18, 2)) END) AS DOUBLE) AS {c}")}
+  FROM events GROUP BY 1, 2, 3)"""
+ORACLE |= {f"dense_{name}": ORACLE[full].replace(_RECORDS, _DENSE_RECORDS) for name, full in (
+    ("silver_flags", "silver_dedup"), ("heatmap", "grid_heatmap"), ("zscore_scores", "zscore_scores"))}
+ORACLE["dense_mixture"] = f"""WITH {_SILVER}
+SELECT count(*) AS rows_scored, count(*) FILTER (WHERE NOT {_ANY}) AS training_rows, true AS nearer, true AS threshold_holds
+FROM silver""".replace(_RECORDS, _DENSE_RECORDS)
+ORACLE["bucketed_dedup"] = ORACLE["silver_dedup"]
+ORACLE["bucketed_duplicates"] = f"""WITH {_INJECTED},
+sizes AS (SELECT {_KEY}, count(*) AS n, bool_or(is_anomaly_injected) AS marked FROM injected GROUP BY {_KEY})
+SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_count,
+       CAST(coalesce(sum(n) FILTER (WHERE marked), 0) AS BIGINT) AS labelled_rows FROM sizes"""
+ORACLE["bounded_sample_rows"] = f"""WITH {_SILVER}
+SELECT {_KEY}, {', '.join(_ACTIVITY)} FROM silver
+ORDER BY CAST(concat('0x', substr(md5(concat_ws('|', CAST(square_id AS VARCHAR), CAST(time_interval AS VARCHAR),
+              CAST(country_code AS VARCHAR), 'sample-42')), 1, 12)) AS BIGINT), {_KEY} LIMIT 500"""
+ORACLE["box_activity"] = f"""WITH {_SILVER},
+placed AS (
+  SELECT *, CAST(trunc((square_id - 1) / 100) AS INTEGER) AS grid_row, CAST((square_id - 1) % 100 AS INTEGER) AS grid_col
+  FROM silver)
+SELECT grid_row, grid_col, hour_of_day, {_each("round(sum({c}), 4) AS total_{c}")}, count(*) AS record_count FROM placed
+WHERE grid_row BETWEEN 0 AND 3 AND grid_col BETWEEN 8 AND 23 AND hour_of_day BETWEEN 6 AND 11
+GROUP BY grid_row, grid_col, hour_of_day"""
 # Days delivered again leave the same gold tables.
 ORACLE |= {f"reloaded_{name}": ORACLE[full] for name, full in (
     ("hourly_activity", "hourly_grid_activity"), ("daily_usage", "daily_country_usage"), ("heatmap", "grid_heatmap"))}

@@ -11,10 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.functions.activity import lenient_number_sql
-from tessera.functions.hashing import hash_sample
+from tessera.functions.activity import grid_col_sql, grid_row_sql, lenient_number_sql
+from tessera.functions.hashing import bounded_sample, hash_sample
 from tessera.operators import (
-    aggregates, cleaning, commerce, detector, evaluation, governance, moments, order_stats, partials, ranks, report,
+    aggregates, cleaning, commerce, detector, evaluation, governance, mixture, moments, order_stats, partials, ranks, report,
     rules,
 )
 from tessera.plans import layers
@@ -279,6 +279,46 @@ def hash_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
     return hash_sample(silver(spark, sf), 0.1, NATURAL_KEY).select(*NATURAL_KEY, *ACTIVITY)
 
 
+@query
+def bounded_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The five hundred rows of smallest key hash."""
+    rows = materialize(silver(spark, sf).select(*NATURAL_KEY, *ACTIVITY), "silver")
+    return bounded_sample(rows, 500, NATURAL_KEY)
+
+
+@query
+def box_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Activity of one corner of the grid in the morning, from a table written along a curve through row, column and hour."""
+    target = scratch_path(configure(spark), "clustered")
+    rows = silver(spark, sf).selectExpr("*", f"{grid_row_sql()} AS grid_row", f"{grid_col_sql()} AS grid_col")
+    sinks.write_clustered(rows, target, [("grid_row", 7), ("grid_col", 7), ("hour_of_day", 5)], 16)
+    box = "grid_row BETWEEN 0 AND 3 AND grid_col BETWEEN 8 AND 23 AND hour_of_day BETWEEN 6 AND 11"
+    return rounded(spark.read.parquet(target).where(box).groupBy("grid_row", "grid_col", "hour_of_day").agg(
+        *[F.sum(c).alias(f"total_{c}") for c in ACTIVITY], F.count(F.lit(1)).alias("record_count")), 4, partials.TOTALS)
+
+
+def _bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze in sorted buckets of its key; the name belongs to this query's path alone."""
+    path = scratch_path(configure(spark), "bucketed")
+    return sinks.write_bucketed(injected(spark, sf), path, path.rsplit("/", 1)[1].replace("-", "_"), NATURAL_KEY, 8)
+
+
+@query
+def bucketed_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver from a bucketed bronze: no shuffle."""
+    return _silver_view(cleaning.silver(_bucketed(spark, sf), as_of()))
+
+
+@query
+def bucketed_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of repeated keys, and rows whose key has a label, from a bucketed bronze: no shuffle of it."""
+    bronze = _bucketed(spark, sf)
+    labelled = evaluation.with_labels(
+        bronze.drop("is_anomaly_injected", "anomaly_type"), evaluation.labels_of(bronze), null_safe=False)
+    return rules.duplicate_count(bronze).withColumn(
+        "labelled_rows", labelled.agg(F.count_if("is_anomaly_injected")).scalar())
+
+
 # ---------------------------------------------------------------- quality
 
 @query
@@ -606,6 +646,54 @@ def pca_anomaly_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(aggregates.anomaly_summary(scores), 6, ["avg_reconstruction_error", "avg_internet"])
 
 
+# ---------------------------------------------------------------- dense records: all five activities set
+
+def _dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty squares in slots of six hours, summed, so that nearly every record has all activities."""
+    ms = "unix_millis(CAST(ts AS TIMESTAMP))"
+    rows = table(spark, sf, "events").selectExpr(
+        "CAST(user_id % 20 + 1 AS INT) AS square_id", f"{ms} - pmod({ms}, 21600000L) AS time_interval",
+        "CAST((user_id % 20 + 1) % 7 + 39 AS INT) AS country_code",
+        *[f"CASE WHEN event_type = '{e}' THEN CAST(value AS DECIMAL(18, 2)) END AS {c}"
+          for e, c in activity.EVENT_COLUMNS.items()])
+    return rows.groupBy(*NATURAL_KEY).agg(*[F.sum(c).cast("double").alias(c) for c in ACTIVITY])
+
+
+def _dense_silver(spark: SparkSession, sf: str) -> DataFrame:
+    records = materialize(evaluation.inject_anomalies(_dense(spark, sf)), "dense")
+    return materialize(cleaning.silver(records, as_of()), "dense-silver")
+
+
+@query
+def dense_silver_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver_view(_dense_silver(spark, sf))
+
+
+@query
+def dense_heatmap(spark: SparkSession, sf: str) -> DataFrame:
+    gold = aggregates.grid_heatmap(_dense_silver(spark, sf))
+    return rounded(gold, 4, [*partials.TOTALS, "total_activity"])
+
+
+@query
+def dense_zscore_scores(spark: SparkSession, sf: str) -> DataFrame:
+    scores = detector.fit_and_score(_dense_silver(spark, sf), rank=0, tolerance=TOLERANCE)[1]
+    return rounded(scores, 6, ["reconstruction_error"])
+
+
+@query
+def dense_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The clustered bottleneck over dense records: rows scored, and whether clean rows lie nearer it than the linear one."""
+    rows = _dense_silver(spark, sf)
+    model, linear = mixture.fit(rows), detector.fit(rows)
+    scored = materialize(mixture.score(rows, model).withColumn("linear_error", linear.error(rows)), "scores")
+    kept = ~cleaning.any_flag()
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows_scored"), F.count_if(kept).alias("training_rows"),
+        (F.avg(F.when(kept, F.col("reconstruction_error"))) < F.avg(F.when(kept, F.col("linear_error")))).alias("nearer"),
+        (F.count_if(kept & F.col("is_anomaly_predicted")) <= F.count_if(kept) * 0.05 + 1).alias("threshold_holds"))
+
+
 # ---------------------------------------------------------------- governance
 
 _written: dict[tuple[str, str], layers.Layout] = {}

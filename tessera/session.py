@@ -86,14 +86,21 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, kept: int = 0) -> int:
-    """Remove the tables ``materialize`` has written, but for the first ``kept``; returns their number.
+def tables_written(spark: SparkSession) -> int:
+    """Number of tables ``materialize`` has written and ``release`` has not removed."""
+    return len(_materialized.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, kept: int = 0, newest: int = 0) -> int:
+    """Remove the tables ``materialize`` has written, but for the first ``kept`` and the last ``newest``; returns
+    their number.
 
     For the caller of a plan, once its result is written or collected: frames made
     from these tables cannot be read afterwards.
     """
     written = _materialized.get(spark.sparkContext.applicationId, [])
-    gone, written[kept:] = written[kept:], []
+    upto = max(kept, len(written) - newest)
+    gone, written[kept:upto] = written[kept:upto], []
     for path in gone:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -103,7 +110,7 @@ def release(spark: SparkSession, kept: int = 0) -> int:
 @contextmanager
 def scratch(spark: SparkSession):
     """Intermediate tables written inside are removed at the end."""
-    before = len(_materialized.get(spark.sparkContext.applicationId, []))
+    before = tables_written(spark)
     try:
         yield
     finally:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from tessera.functions.curve import interleaved_sql
+
 
 def write_table(df: DataFrame, path: str, *, partition_by: str | list[str] | None = None,
                 sort_by: list[str] | None = None, only_given_partitions: bool = False,
@@ -39,6 +41,35 @@ def write_table(df: DataFrame, path: str, *, partition_by: str | list[str] | Non
     return {name: int(value) for name, value in watch.get.items()}
 
 
+def write_clustered(df: DataFrame, path: str, dimensions: list[tuple[str, int]], files: int,
+                    fmt: str = "parquet", **options: str) -> int:
+    """Write a table in the order of a curve through several ``dimensions`` (expression, bits); returns the rows.
+
+    Rows are dealt to ``files`` ranges of the curve and sorted inside each, so a file, and each row group
+    of it, covers a small box, and a filter on any of the dimensions skips the others by their minima and
+    maxima. One shuffle; the curve's place itself is not kept.
+    """
+    place = F.expr(interleaved_sql(dimensions))
+    watch = Observation()
+    dealt = df.withColumn("_place", place).repartitionByRange(files, "_place").sortWithinPartitions("_place")
+    dealt.drop("_place").observe(watch, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite").options(
+        **options).save(path)
+    return int(watch.get["rows"])
+
+
+def write_bucketed(df: DataFrame, path: str, name: str, key: list[str], buckets: int) -> DataFrame:
+    """Write a table in sorted buckets of ``key`` at ``path``, known as ``name``, and read it back.
+
+    Operators on the key (duplicates, copies, joins on equality) then need no shuffle of this table. Rows are
+    shuffled into their buckets once, so that a bucket is one file; a key with very many copies makes a large one.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")       # the name only: the files of an external table stay
+    (df.repartition(buckets, *key).write.format("parquet").mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def replace_days(df: DataFrame, path: str, day: str, days: tuple[str, str], fmt: str = "parquet") -> int:
     """Write the days from the first to the last of ``days``, instead of what the table held of them; returns the rows.
 
