@@ -9,13 +9,13 @@ brings the document that keeps it. ``LineRuns`` holds the keys met so far as sor
 bucketed and sorted by the key's hash, each key in one run only.
 
 1. A batch is reduced to its distinct hashes, each with its documents and the largest of them.
-2. They are merge-anti-joined with every run in turn. Both sides lie in the same buckets, so
-   nothing is shuffled for it. What is left is new, and becomes a run of level 0.
+2. They are merge-anti-joined with every run in turn. The runs lie in the buckets and order in
+   which the hashes come out of their aggregation, so they are not shuffled or sorted for it. What
+   meets no run is new, and is the batch's own run of level 0; the rest stays beside it as repeats.
 3. ``FANOUT`` runs of one level are merged to one of the next, so a hash is looked up in a few
    runs per level, and written once per level.
-4. Documents that do not keep a key of theirs are counted as repeats. Only keys with
-   ``LEAST_DOCS - 1`` of them are followed up: their lines' places are gathered per document and
-   left out of its text.
+4. Documents that do not keep a key of theirs are repeats. Only keys with ``LEAST_DOCS - 1`` of
+   them are followed up: their lines' places are gathered per document and left out of its text.
 
 All of it is DataFrame functions; no row passes through Python. A line in a third of all documents
 is one row per document and map task before any shuffle by its hash, and the join back to its
@@ -39,7 +39,7 @@ from tessera.session import intermediate_path, materialize
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
-BATCHES = 6
+BATCHES = 4
 FANOUT = 3
 BLANKS = "".join(map(chr, [0x20, *range(0x09, 0x0E)]))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,8 +76,8 @@ def _sorted_buckets(spark: SparkSession):
 class LineRuns:
     """Hashes met so far, in levels of sorted runs; the runs lie in the shared folder.
 
-    ``add`` takes a batch of (hash, id) and writes its new hashes as a run, with the largest id of each.
-    ``close`` forgets the tables' names; their files go with the other intermediate tables.
+    ``add`` takes a batch of (hash, id) and writes its hashes: the new ones are a run, with the largest
+    id of each. ``close`` forgets the tables' names; their files go with the other intermediate tables.
     """
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
@@ -85,6 +85,7 @@ class LineRuns:
         # As many as a shuffle makes, so that a batch meets the runs as it comes out of its aggregation.
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.batches: list[str] = []
         self._names: list[str] = []
 
     def _write(self, df: DataFrame) -> str:
@@ -94,27 +95,24 @@ class LineRuns:
         self._names.append(name)
         return name
 
+    def _run(self, name: str) -> DataFrame:
+        return self.spark.table(name).where("new").select("hash", "holder")
+
     def runs(self) -> list[DataFrame]:
-        return [self.spark.table(name).select("hash", "holder") for level in self.levels for name in level]
+        return [self._run(name) for level in self.levels for name in level]
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """(hash, repeats): the batch's documents that are not the first to hold the hash, where there are any."""
+    def add(self, batch: DataFrame) -> None:
         found = batch.select("hash", "id").distinct().groupBy("hash").agg(
             F.max("id").alias("holder"), F.count(F.lit(1)).alias("docs"))
         with _sorted_buckets(self.spark):
-            new = self._write(found)
-            own = unmet = self.spark.table(new)
-            for run in self.runs():
-                unmet = unmet.join(run.hint("merge"), "hash", "left_anti")
-            if unmet is not own:
-                new = self._write(unmet.select("hash", "holder"))
-            first = self.spark.table(new).select("hash", F.lit(1).alias("first"))
-            repeats = (own.join(first.hint("merge"), "hash", "left")
-                       .select("hash", (F.col("docs") - F.coalesce("first", F.lit(0))).alias("repeats"))
-                       .where("repeats > 0"))
-            written = materialize(repeats, "repeats")
-            self._add_run(new, 0)
-        return written
+            # An anti-join that keeps both sides of its verdict: without a partner in any run a hash is new.
+            new = F.lit(True)
+            for k, run in enumerate(self.runs()):
+                found = found.join(run.select("hash", F.lit(True).alias(f"met_{k}")).hint("merge"), "hash", "left")
+                new = new & F.col(f"met_{k}").isNull()
+            name = self._write(found.select("hash", "holder", "docs", new.alias("new")))
+            self.batches.append(name)
+            self._add_run(name, 0)
 
     def _add_run(self, name: str, level: int) -> None:
         if level == len(self.levels):
@@ -123,14 +121,21 @@ class LineRuns:
         if len(self.levels[level]) == self.fanout:
             merged, self.levels[level] = self.levels[level], []
             whole = None
-            for other in merged:
-                run = self.spark.table(other).select("hash", "holder")
-                whole = run if whole is None else whole.unionByName(run)
-            # A hash is in one run only. Grouping takes the rows of a bucket to one task, hence to one file.
-            self._add_run(self._write(whole.groupBy("hash").agg(F.max("holder").alias("holder"))), level + 1)
+            for other in merged:        # a hash is new in one of them only; grouping takes it to its bucket
+                whole = self._run(other) if whole is None else whole.unionByName(self._run(other))
+            made = whole.groupBy("hash").agg(F.max("holder").alias("holder"))
+            self._add_run(self._write(made.withColumn("new", F.lit(True))), level + 1)
+
+    def repeats(self) -> DataFrame:
+        """(hash, repeats): the documents of all batches that are not the first to hold a hash. Read before ``close``."""
+        found = None
+        for name in self.batches:
+            own = self.spark.table(name).select("hash", (F.col("docs") - F.col("new").cast("int")).alias("n")).where("n > 0")
+            found = own if found is None else found.unionByName(own)
+        return found.groupBy("hash").agg(F.sum("n").alias("repeats"))
 
     def holders(self, hashes: DataFrame) -> DataFrame:
-        """(hash, holder) of those of ``hashes`` that the runs know."""
+        """(hash, holder) of those of ``hashes`` that the runs know. Read before ``close``."""
         found = None
         for run in self.runs():
             own = hashes.select("hash").join(run, "hash")
@@ -165,16 +170,15 @@ def remove_repeated_lines(docs: DataFrame, name: str, *, doc_id: str = "doc_id",
              .select("batch", "id", "text_hash", "at", normal(F.col("line")).alias("key"))
              .where(F.char_length("key") >= least_chars)
              .select("batch", "id", "text_hash", "at", F.unhex(F.md5("key")).alias("hash")))
-    lines = materialize(keyed, "lines", partition_by="batch")
+    lines = materialize(keyed, "lines")
 
     runs = LineRuns(spark, fanout)
     try:
-        repeats = None
         for number in range(batches):
-            more = runs.add(lines.where(F.col("batch") == number))
-            repeats = more if repeats is None else repeats.unionByName(more)
-        frequent = repeats.groupBy("hash").agg(F.sum("repeats").alias("n")).where(F.col("n") >= least_docs - 1)
-        held = materialize(runs.holders(materialize(frequent, "frequent")), "held")
+            runs.add(lines.where(F.col("batch") == number))
+        with _sorted_buckets(spark):
+            frequent = runs.repeats().where(F.col("repeats") >= least_docs - 1)
+            held = materialize(runs.holders(frequent), "held")
     finally:
         runs.close()
 

@@ -102,6 +102,8 @@ def test_runs_are_levelled_disjoint_and_met_without_a_shuffle(spark):
             plan = a.join(b.hint("merge"), "hash", "left_anti")._jdf.queryExecution().executedPlan().toString()
         for word, there in (("SortMergeJoin", True), ("Exchange", False), ("Sort [", False)):
             assert (word in plan) is there, plan
+        # Five batches of twenty, each sharing ten hashes with the one before.
+        assert sorted(r.repeats for r in runs.repeats().collect()) == [1] * 40
     finally:
         runs.close()
 
