@@ -55,8 +55,8 @@ def _net() -> Column:
 def daily_revenue(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Revenue before and after discount, and orders, per order day and category.
 
-    Lines are summed per order and category before they meet their order, which
-    also makes the number of orders a plain count.
+    Raw lines meet the part for its category; they are summed per order and category
+    before they meet their order, which also makes the number of orders a plain count.
     """
     per_order = (
         lineitem.join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
@@ -69,7 +69,7 @@ def daily_revenue(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Da
         .groupBy("order_date", F.col("p_type").alias("category"))
         .agg(
             F.sum("gross").alias("gross_revenue"),
-            F.sum("net").alias("category_revenue"),
+            F.sum("net").alias("net_revenue"),
             F.count(F.lit(1)).alias("order_count"),
         )
     )

@@ -659,7 +659,7 @@ SELECT 'silver' AS layer, 'b1' AS batch_id,
     "daily_revenue": """
 SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, p_type AS category,
        round(sum(l_extendedprice), 4) AS gross_revenue,
-       round(sum(l_extendedprice * (1 - l_discount)), 4) AS category_revenue,
+       round(sum(l_extendedprice * (1 - l_discount)), 4) AS net_revenue,
        count(DISTINCT o_orderkey) AS order_count
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
 GROUP BY 1, 2""",

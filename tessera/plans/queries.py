@@ -873,7 +873,7 @@ def latest_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
     gold = commerce.daily_revenue(*[table(spark, sf, n) for n in ("orders", "lineitem", "part")])
-    return rounded(gold, 4, ["gross_revenue", "category_revenue"]).withColumn(
+    return rounded(gold, 4, ["gross_revenue", "net_revenue"]).withColumn(
         "order_date", F.col("order_date").cast("string"))
 
 

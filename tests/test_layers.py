@@ -221,7 +221,7 @@ def test_revenue_and_performance(spark):
     orders, lines, parts, _ = shop(spark)
     rows = {(str(r["order_date"]), r["category"]): r for r in commerce.daily_revenue(orders, lines, parts).collect()}
     first = rows["2024-01-01", "PROMO"]
-    assert (first["gross_revenue"], first["category_revenue"], first["order_count"]) == (90.0, 85.0, 2)
+    assert (first["gross_revenue"], first["net_revenue"], first["order_count"]) == (90.0, 85.0, 2)
     assert len(rows) == 3
     sold = {r["p_brand"]: r for r in commerce.product_performance(lines, parts).collect()}
     assert sold["A"]["units_sold"] == 4.0 and sold["A"]["line_count"] == 4
