@@ -12,7 +12,8 @@ source), the median goes on inside it by document id, then by row number. Only
 histograms of at most ``BINS`` bins a leaf come to the driver. The tree itself is an
 expression; rows are never rewritten or moved between levels.
 
-Built from DataFrame and SQL functions only. Law: ``bytes``.
+Source and language count by the place of their value among all distinct ones, which is
+found by distributed running sums. Built from DataFrame and SQL functions only. Law: ``bytes``.
 
 Defined results: a null or empty text has size 1; null metadata sort first; repeated
 rows are told apart by a number they get when the metadata are written; shards may
@@ -23,19 +24,28 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import gapless
+from tessera.operators.ranks import positions
 from tessera.session import materialize
 
 SHARDS = 16
 BINS = 1_024
 
 
-def text_code(column: str) -> Column:
-    """The first 7 bytes of a string as a number: keeps their order."""
-    return F.coalesce(F.conv(F.rpad(F.substring(F.hex(F.col(column)), 1, 14), 14, "0"), 16, 10).cast("long"),
-                      F.lit(-1).cast("long"))
+def with_codes(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``<column>_code`` for each column: the place of its value among all distinct ones, nulls first.
+
+    Exact for any number of values and any common beginnings; a value held by many rows is one row while
+    values are numbered, and the join back is split by Spark where one value has too many.
+    """
+    for column in columns:
+        code = f"{column}_code"
+        known = positions(rows.select(column).distinct(), [column])[0].select(
+            F.col(column).alias("_value"), F.col("_before").alias(code))
+        rows = rows.join(known, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
+    return rows
 
 
 @dataclass
@@ -176,17 +186,18 @@ def metadata(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
              lang: str = "lang") -> DataFrame:
     """What the tree needs of each document, written once: sizes, checksums, codes, a row number."""
     body = F.coalesce(F.col(text), F.lit(""))
-    # Named dimensions first: the widest one is taken, of equally wide ones the first.
-    return materialize(docs.select(
+    plain = materialize(docs.select(
         F.col(doc_id).alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"), text_code(source).alias("source_code"),
-        text_code(lang).alias("lang_code"), F.coalesce(F.col(doc_id), F.lit(-1)).cast("long").alias("id_code"),
+        F.crc32(body.cast("binary")).alias("text_crc32"), F.col(source).cast("string").alias("source"),
+        F.col(lang).cast("string").alias("lang"), F.coalesce(F.col(doc_id), F.lit(-1)).cast("long").alias("id_code"),
         F.monotonically_increasing_id().alias("row_code")), "metadata")
+    return materialize(with_codes(plain, ["source", "lang"]).drop("source", "lang"), "codes")
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, **columns) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row; sizes of shards are near equal."""
     rows = metadata(docs, **columns)
+    # Named dimensions first: the widest one is taken, of equally wide ones the first.
     root = tree(rows, ["source_code", "lang_code", "size", "id_code"], ["id_code", "row_code"], "size", shards)
     placed = rows.withColumn("shard", F.expr(route(root)).cast("int"))
     return gapless(placed, ["shard"], ["id_code", "row_code"], "slot").select(
