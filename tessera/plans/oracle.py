@@ -741,6 +741,52 @@ placed AS (
 SELECT grid_row, grid_col, hour_of_day, {_each("round(sum({c}), 4) AS total_{c}")}, count(*) AS record_count FROM placed
 WHERE grid_row BETWEEN 0 AND 3 AND grid_col BETWEEN 8 AND 23 AND hour_of_day BETWEEN 6 AND 11
 GROUP BY grid_row, grid_col, hour_of_day"""
+# The bottleneck by a second engine: cyclic Jacobi rotations of the correlations, as lists of 49 entries.
+_TURNS = [(i, j) for i in range(7) for j in range(i + 1, 7)]
+_at = lambda i, j: f"a[{i} * 7 + {j} + 1]"
+_BOTTLENECK = f"""
+correlations AS (
+  SELECT [{', '.join(f"covar_pop(x{i}, x{j}) / any_value(s{i} * s{j})" for i in range(7) for j in range(7))}] AS a
+  FROM x CROSS JOIN fitted WHERE NOT {_ANY}),
+turned AS (
+  SELECT 0 AS step, a, [{', '.join("1e0" if i == j else "0e0" for i in range(7) for j in range(7))}] AS v FROM correlations
+  UNION ALL
+  SELECT step + 1,
+         list_transform(range(49), lambda k:
+           CASE WHEN k // 7 = p THEN c * b[p * 7 + k % 7 + 1] - s * b[q * 7 + k % 7 + 1]
+                WHEN k // 7 = q THEN s * b[p * 7 + k % 7 + 1] + c * b[q * 7 + k % 7 + 1] ELSE b[k + 1] END),
+         list_transform(range(49), lambda k:
+           CASE WHEN k % 7 = p THEN c * v[k + 1] - s * v[k - p + q + 1]
+                WHEN k % 7 = q THEN s * v[k - q + p + 1] + c * v[k + 1] ELSE v[k + 1] END)
+  FROM (
+    SELECT *, list_transform(range(49), lambda k:
+             CASE WHEN k % 7 = p THEN c * a[k + 1] - s * a[k - p + q + 1]
+                  WHEN k % 7 = q THEN s * a[k - q + p + 1] + c * a[k + 1] ELSE a[k + 1] END) AS b
+    FROM (
+      SELECT *, t / sqrt(1 + t * t) AS s, 1 / sqrt(1 + t * t) AS c
+      FROM (
+        SELECT *, CASE WHEN {_at('p', 'q')} = 0 THEN 0e0 WHEN tau >= 0 THEN 1 / (tau + sqrt(1 + tau * tau))
+                       ELSE 1 / (tau - sqrt(1 + tau * tau)) END AS t
+        FROM (
+          SELECT *, CASE WHEN {_at('p', 'q')} = 0 THEN 0e0
+                         ELSE ({_at('q', 'q')} - {_at('p', 'p')}) / (2 * {_at('p', 'q')}) END AS tau
+          FROM (
+            SELECT *, [{', '.join(str(i) for i, _ in _TURNS)}][step % 21 + 1] AS p,
+                   [{', '.join(str(j) for _, j in _TURNS)}][step % 21 + 1] AS q
+            FROM turned WHERE step < 315)))))),
+axes AS (
+  SELECT k, a[k * 8 + 1] AS variance, list_transform(range(7), lambda i: v[i * 7 + k + 1]) AS direction
+  FROM (SELECT *, unnest(range(7)) AS k FROM turned WHERE step = 315)),
+left_out AS (SELECT list(direction) AS directions FROM (SELECT * FROM axes ORDER BY variance, k LIMIT 3)),
+errors AS (
+  SELECT x.*, list_sum(list_transform(directions, lambda d: pow(list_dot_product(
+           [{', '.join(f"(x{i} - m{i}) / s{i}" for i in range(7))}], d), 2))) / 7e0 AS reconstruction_error
+  FROM x CROSS JOIN fitted CROSS JOIN left_out),
+cut AS ("""
+_whole = _SCORES.index("\nerrors AS ("), _SCORES.index("\ncut AS (") + len("\ncut AS (")
+_PCA_SCORES = _SCORES[:_whole[0]] + _BOTTLENECK + _SCORES[_whole[1]:]
+ORACLE["pca_scores"] = ORACLE["zscore_scores"].replace(_SCORES, _PCA_SCORES).replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLE["pca_anomaly_summary"] = ORACLE["anomaly_summary"].replace(_SCORES, _PCA_SCORES).replace("WITH ", "WITH RECURSIVE ", 1)
 # Days delivered again leave the same gold tables.
 ORACLE |= {f"reloaded_{name}": ORACLE[full] for name, full in (
     ("hourly_activity", "hourly_grid_activity"), ("daily_usage", "daily_country_usage"), ("heatmap", "grid_heatmap"))}

@@ -636,13 +636,13 @@ def pca_moments(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
-    scores = detector.fit_and_score(silver(spark, sf))[1]
+    scores = detector.fit_and_score(silver(spark, sf), tolerance=TOLERANCE)[1]
     return rounded(scores, 6, ["reconstruction_error"])
 
 
 @query
 def pca_anomaly_summary(spark: SparkSession, sf: str) -> DataFrame:
-    scores = detector.fit_and_score(silver(spark, sf))[1]
+    scores = detector.fit_and_score(silver(spark, sf), tolerance=TOLERANCE)[1]
     return rounded(aggregates.anomaly_summary(scores), 6, ["avg_reconstruction_error", "avg_internet"])
 
 
