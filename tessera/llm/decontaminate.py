@@ -4,30 +4,33 @@ The patterns are word windows of the items. The automaton reads word numbers, no
 characters: a window costs one node per word, and a match ends at a word. Texts
 are scanned once; matched words are mapped back to character spans of the original.
 
+Windows are made by Spark, as distinct pairs of window and item. What comes to the driver
+and is broadcast is bounded: a larger benchmark is dealt by hash to several automata, a
+window of very many items among them, and each costs one more pass over the written marks.
+
 Defined results: a null or empty text has no words and is clean; an item without
-words or without an id takes no part; repeated items count once; repeated
-documents are judged each by itself; an empty benchmark leaves every document clean.
+words or without an id takes no part; ids of any type count by their text, and items of one
+id are one; repeated documents are judged each by itself; an empty benchmark leaves every
+document clean.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
 
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import alnum_words, fresh, with_result
+from tessera.llm.common import alnum_words, fresh, map_columns, with_result
 from tessera.session import materialize
 
 WINDOW = 13
-# Windows per automaton: what a task holds and what is broadcast are bounded by
-# this. Larger benchmarks are matched in several passes, each with its own automaton.
-AUTOMATON_WINDOWS = 200_000
+# Pairs of window and item per automaton, about: what a task holds and what is broadcast.
+AUTOMATON_PAIRS = 200_000
 SHARE = 20          # contaminated if at least one word in SHARE is hit
 
 ORIGINAL_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-RESULT = ("n_words long, n_hit long, covered array<struct<a:long,b:long>>, items array<long>, "
+RESULT = ("n_words long, n_hit long, covered array<struct<a:long,b:long>>, items array<string>, "
           "spans array<struct<start:long,end:long>>")
 
 
@@ -36,16 +39,23 @@ def windows(text: str | None, width: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
 
 
-def blocks(items: Iterable[tuple[int, str]], width: int, most: int) -> Iterator[dict]:
-    """Windows with the items that hold them, in blocks of at most ``most`` windows."""
-    block: dict[tuple[bytes, ...], set[int]] = {}
-    for item_id, text in items:
-        for window in windows(text, width):
-            if len(block) >= most and window not in block:
-                yield block
-                block = {}
-            block.setdefault(window, set()).add(item_id)
-    yield block
+def pairs(benchmark: DataFrame, item_id: str, item_text: str, width: int) -> DataFrame:
+    """(window, item): every window of every item once; words joined by spaces."""
+    def step(items, texts):
+        rows = [(b" ".join(w), item) for item, text in zip(items, texts) for w in windows(text, width)]
+        return [list(c) for c in zip(*rows)] or [[]] * 2
+
+    named = benchmark.where(F.col(item_id).isNotNull()).select(
+        F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
+    return map_columns(named, ["item", "text"], "window binary, item string", lambda: step).distinct()
+
+
+def grouped(rows) -> dict[tuple[bytes, ...], set[str]]:
+    """Windows with the items that hold them."""
+    block: dict[tuple[bytes, ...], set[str]] = {}
+    for window, item in rows:
+        block.setdefault(tuple(bytes(window).split(b" ")), set()).add(item)
+    return block
 
 
 def automaton(block: dict) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
@@ -60,10 +70,10 @@ def automaton(block: dict) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
     return numbers, trie
 
 
-def scan(words: list[bytes], numbers: dict[bytes, int], trie) -> tuple[list[tuple[int, int]], set[int]]:
+def scan(words: list[bytes], numbers: dict[bytes, int], trie) -> tuple[list[tuple[int, int]], set[str]]:
     """Merged word intervals (end exclusive) covered by windows, and the items met."""
     covered: list[tuple[int, int]] = []
-    found: set[int] = set()
+    found: set[str] = set()
     sequence = tuple([numbers.get(w, 0) for w in words])
     if not any(sequence):
         return covered, found
@@ -96,21 +106,24 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def mark(docs: DataFrame, benchmark: DataFrame, name: str, *, text: str = "text",
          item_id: str = "item_id", item_text: str = "text", width: int = WINDOW,
-         most: int = AUTOMATON_WINDOWS) -> DataFrame:
+         most: int = AUTOMATON_PAIRS) -> DataFrame:
     """``docs`` with the struct ``name`` (RESULT): words hit, items met, character spans hit."""
     spark = docs.sparkSession
-    items = (benchmark.where(F.col(item_id).isNotNull())
-             .select(F.col(item_id).cast("long"), F.col(item_text)).toLocalIterator())
-    out = None
-    for block in blocks(items, width, most):
-        shared = spark.sparkContext.broadcast(block)
+    every = materialize(pairs(benchmark, item_id, item_text, width), "windows")
+    count = max(1, -(-every.count() // most))
+    dealt = F.pmod(F.xxhash64("window", "item"), F.lit(count))
+    out, used = None, None
+    for number in range(count):
+        shared = spark.sparkContext.broadcast(grouped(every.where(dealt == number).collect()))
         if out is None:
             out = with_result(docs, [text], RESULT, lambda shared=shared: _step(shared), name)
-        else:       # a benchmark beyond the bound: one more pass over the written result
+        else:       # one more pass over the written marks; the automaton before has done its part
             before = fresh(out, "before")
             out = materialize(out.withColumnRenamed(name, before), "decontaminate")
+            used.destroy()
             out = with_result(out, [text, before], RESULT,
                               lambda shared=shared: _step(shared), name).drop(before)
+        used = shared
     return out
 
 

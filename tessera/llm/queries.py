@@ -71,7 +71,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     marked = decontaminate.mark(docs, table(spark, sf, "benchmark"), "found")
-    items = F.array_sort(F.transform("found.items", lambda x: x.cast("string")))
+    items = F.array_sort("found.items")
     return marked.select(
         "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
         sha256_hex(F.array_join(items, ",")).alias("items_sha256"),
