@@ -27,10 +27,11 @@ def vectors():
     return rows
 
 
-@pytest.mark.parametrize("shard,block", [(8192, 2048), (40, 2)])
-def test_top_k(spark, shard, block):
+@pytest.mark.parametrize("shard, regions", [(8192, 256), (40, 256), (10, 4)])
+def test_top_k(spark, shard, regions, monkeypatch):
+    monkeypatch.setattr(kdsearch, "REGIONS", regions)
     df = spark.createDataFrame(vectors(), VECTORS).withColumn("rank", F.lit("x"))
-    got = kdsearch.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=shard, block_rows=block).collect()
+    got = kdsearch.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=shard).collect()
     usable = {i: [int(np.floor(np.float32(x).astype(float) * 256)) for x in v] for i, v, _ in vectors()
               if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
     want = set()
@@ -42,6 +43,32 @@ def test_top_k(spark, shard, block):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_queries_go_only_where_a_box_could_beat_them(spark):
+    """Eight clouds far apart: a query goes on to few regions, and a cell takes its queries in several batches."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(1600):
+        centre = [(-1) ** (i % 8 >> b & 1) * 100.0 for b in range(3)]
+        rows.append((i, [c + rng.uniform(-1, 1) for c in centre], "x"))
+    df = spark.createDataFrame(rows, VECTORS)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "60")
+    got = kdsearch.top_k(df, F.col("vec_id") % 4 == 0, shard_rows=200).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    points = np.floor(np.float32([v for _, v, _ in rows]).astype(float) * 256).astype(np.int64)
+    scores = points @ points.T
+    for r in got:
+        own = sorted((-scores[r.query_id, i], i) for i in range(1600) if i != r.query_id)[r["rank"] - 1]
+        assert (-own[0], own[1]) == (r.score, r.vec_id)
+    assert len(got) == 400 * 5
+    placed, regions = kdsearch._regions(kdsearch.quantised(df), 3, 1600, 200)
+    assert len(regions) == 8 and sum(r.shards for r in regions) <= 12
+    kth = {r.query_id: (r.score, r.vec_id) for r in got if r["rank"] == 5}
+    asked = placed.where("vec_id % 4 = 0").select(F.lit(3).alias("dim"), "region", "shard", F.col("vec_id").alias("id"), "x").collect()
+    known = spark.createDataFrame([(*r, *kth[r.id]) for r in asked], "dim int, region int, shard int, id long, x array<long>, "
+                                  "kth_score long, kth_id long")
+    assert known.mapInArrow(kdsearch._worth(regions), known.schema).count() < 400
+
+
 def test_top_k_of_large_numbers_and_nothing(spark):
     big = [(0, [1e6] * 4, "a"), (50, [1e6, 1e6, 1e6, 0.9e6], "b"), (1, [-1e6] * 4, "c")]
     got = kdsearch.top_k(spark.createDataFrame(big, VECTORS), F.col("vec_id") % 50 == 0).collect()
@@ -66,6 +93,50 @@ def test_shards(spark):
     assert all(sorted(s) == list(range(len(s))) for s in counts.values())
 
 
+def plain_tree(rows, dims, shards):
+    """Shard of every id; ``rows``: id -> (size, codes of the dimensions)."""
+    spread = lambda ids, d: max(rows[i][1][d] for i in ids) - min(rows[i][1][d] for i in ids)
+    whole = [max(1.0, spread(rows, d)) for d in range(dims)]
+    out = {}
+
+    def split(ids, first, count):
+        if count == 1 or not ids:
+            out.update(dict.fromkeys(ids, first))
+            return
+        widest = max(range(dims), key=lambda d: (spread(ids, d) / whole[d], -d))
+        ordered = sorted(ids, key=lambda i: (rows[i][1][widest], i))
+        target = sum(rows[i][0] for i in ids) * (count // 2) / count
+        before, cut = 0, len(ordered)
+        for k, i in enumerate(ordered):
+            after = before + rows[i][0]
+            if after >= target:
+                cut = k + 1 if after - target <= target - before else k
+                break
+            before = after
+        split(ordered[:cut], first, count // 2)
+        split(ordered[cut:], first + count // 2, count - count // 2)
+
+    split(list(rows), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [5, 16])
+def test_shards_equal_a_plain_tree(spark, shards):
+    """Sources share long beginnings; some are null, one holds a third of all rows."""
+    rng = random.Random(11)
+    sources = [None, "https://a.org", "https://zzz.com"] + [f"https://mirror.example/site-{k:02d}" for k in range(20)]
+    texts = [prose(rng.randrange(1, 60), k) if k % 9 else None for k in range(500)]
+    own = [sources[1] if k % 3 == 0 else rng.choice(sources) for k in range(500)]
+    langs = [rng.choice(["en", "de", "", None]) for _ in range(500)]
+    docs = spark.createDataFrame([(k, t, lang, s, 0) for k, (t, lang, s) in enumerate(zip(texts, langs, own))], DOCS).repartition(4)
+    place = lambda values: {v: i for i, v in enumerate(sorted(set(values), key=lambda v: (v is not None, v or "")))}
+    by_source, by_lang = place(own), place(langs)
+    sizes = [len((t or "").encode()) + 1 for t in texts]
+    rows = {k: (sizes[k], (by_source[own[k]], by_lang[langs[k]], sizes[k], k)) for k in range(500)}
+    got = {r.doc_id: r.shard for r in kdshards.shard(docs, shards).collect()}
+    assert got == plain_tree(rows, 4, shards)
+
+
 def test_shards_of_equal_rows_and_near_equal_sizes(spark):
     docs = frame(spark, ["same text"] * 640, ids=[5] * 640)
     got = kdshards.shard(docs).groupBy("shard").count().collect()
