@@ -93,9 +93,8 @@ def test_hourly_and_daily(spark):
     hourly = {(r["square_id"], r["hour_of_day"]): r for r in aggregates.hourly_grid_activity(df).collect()}
     assert set(hourly) == {(1, 0), (2, 1)}
     assert (hourly[1, 0]["avg_sms_in"], hourly[1, 0]["peak_internet"], hourly[1, 0]["record_count"]) == (2.0, 30.0, 2)
-    for approximate in (False, True):
-        daily = aggregates.daily_country_usage(df, approximate).collect()
-        assert [(r["total_sms_in"], r["record_count"], r["active_squares"]) for r in daily] == [(9.0, 3, 2)]
+    daily = aggregates.daily_country_usage(df).collect()
+    assert [(r["total_sms_in"], r["record_count"], r["active_squares"]) for r in daily] == [(9.0, 3, 2)]
 
 
 def test_heatmap_positions_and_tiers(spark):
