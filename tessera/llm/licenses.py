@@ -3,9 +3,12 @@
 Every text is streamed word by word through the automaton of all templates. The
 state and length after a word are its matching statistic: the longest run of words
 ending here that occurs in some template. Base phrases are read off the state
-(a phrase ends here if its state is the current one or a suffix of it). Maximal
-matches of a few words are chained per template, in template order and with short
-gaps, and a chain covering enough of its template gives a span and a label.
+(a phrase ends here if its state is the current one or a suffix of it). So are the
+statistics of each template by itself: the first state on the way up the suffix links
+that ends in it. Maximal matches of a few words are chained per template, in template
+order and with short gaps, and a chain covering enough of its template gives a span
+and a label, unless another span over the same words covers more of them: a notice
+with more conditions is not also one with fewer.
 
 Defined results: a null or empty text has no words, no places, no labels and score 0.
 """
@@ -43,7 +46,24 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met: Redistributions of source code must retain the "
             "above copyright notice, this list of conditions and the following disclaimer."),
+    ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                    "International License."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring "
+            "rights to this work."),
+    ("public-domain", "This work has been released into the public domain by its author. This applies worldwide."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+                  "modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+                  "as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+             "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+             "the License, or (at your option) any later version."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+             "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+             "License, or (at your option) any later version."),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
                  "License."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -156,50 +176,67 @@ class Scanner:
             if state:
                 yield i, state, length
 
+    def own_statistics(self, state: int, length: int):
+        """(template, length, places) of each template whose words of at least ``long_match`` end here."""
+        a, seen = self.automaton, set()
+        while length >= self.long_match:
+            by_template: dict[int, list[int]] = {}
+            for template, place in self.places[state]:
+                if template not in seen:
+                    by_template.setdefault(template, []).append(place)
+            for template, places in by_template.items():
+                yield template, length, places
+            seen.update(by_template)
+            state = a.link[state]
+            length = a.length[state]
+
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, str]], list[tuple]]:
-        """Places of base phrases, and the maximal long matches (start, end, state)."""
+        """Places of base phrases, and each template's maximal long matches (start, end, template, places), by end."""
         bases, matches = [], []
-        open_match = None
+        open_matches: dict[int, tuple] = {}     # template: the match that the next word may extend
         for i, state, length in self.statistics(words):
             for size, label in self.ending[state]:
                 if size <= length:
                     bases.append((i + 1 - size, label))
-            start = i + 1 - length
-            if open_match and open_match[0] != start:       # it could not be extended
-                matches.append(open_match)
-                open_match = None
-            if length >= self.long_match:
-                open_match = (start, i + 1, state)
-        if open_match:
-            matches.append(open_match)
-        return bases, matches
+            if length < self.long_match and not open_matches:
+                continue
+            still = {}
+            for template, own, places in self.own_statistics(state, length):
+                still[template] = (i + 1 - own, i + 1, template, places)
+            for template, before in open_matches.items():
+                now = still.get(template)
+                if now is None or now[0] != before[0] or before[1] != i:
+                    matches.append(before)
+            open_matches = still
+        matches += open_matches.values()
+        return bases, sorted(matches, key=lambda m: (m[1], m[0], m[2]))
 
     def chains(self, matches: list[tuple]) -> list[tuple]:
         """Best chain ending at each match and template place; only those none goes on from.
 
-        A chain looks back ``gap`` words, and two matches cannot end at one word, so
+        A chain looks back ``gap`` words, and two matches of a template cannot end at one word, so
         the work is linear in the matches.
         """
-        recent: list[list] = []      # [template, text end, template end, covered, text start, continued]
-        done: list[tuple] = []
-        for start, end, state in matches:
+        recent: dict[int, list[list]] = {}      # template: [template, text end, template end, covered, text start, continued]
+        done: list[list] = []
+        for start, end, template, places in matches:
             still = []
-            for link in recent:
+            for link in recent.get(template, ()):
                 (still if link[1] >= start - self.gap else done).append(link)
             made = []
-            for template, place in self.places[state]:
+            for place in places:
                 length = end - start
                 best = [template, end, place, length, start, False]
                 for link in still:
                     # Overlapping matches count their common words once.
                     shift = max(0, link[1] - start)
-                    if link[0] == template and place - length + shift >= link[2] and link[1] < end:
+                    if place - length + shift >= link[2] and link[1] < end:
                         if link[3] + length - shift > best[3]:
                             best[3], best[4] = link[3] + length - shift, link[4]
                             link[5] = True
                 made.append(best)
-            recent = still + made
-        return [c for c in done + recent if not c[5]]
+            recent[template] = still + made
+        return [c for c in [*done, *(link for own in recent.values() for link in own)] if not c[5]]
 
     def spans(self, matches: list[tuple]) -> tuple[list[dict], float]:
         """Chains that cover enough, and the largest share of any template covered."""
@@ -210,10 +247,16 @@ class Scanner:
             score = max(score, share)
             if share >= self.covered:
                 key = (template, end)
-                if key not in found or found[key]["share"] < share:
-                    found[key] = {"label": label, "template": template, "start": start, "end": end,
-                                  "share": share}
-        return sorted(found.values(), key=lambda s: (s["start"], s["end"], s["template"])), score
+                if key not in found or found[key][0] < count:
+                    found[key] = (count, {"label": label, "template": template, "start": start, "end": end,
+                                          "share": share})
+        # From the most words covered; a span that shares words with a larger one of another label goes.
+        kept: list[tuple[int, dict]] = []
+        for count, span in sorted(found.values(), key=lambda f: (-f[0], -f[1]["share"], f[1]["start"], f[1]["template"])):
+            if not any(span["start"] < k["end"] and k["start"] < span["end"] and k["label"] != span["label"]
+                       for _, k in kept):
+                kept.append((count, span))
+        return sorted((k for _, k in kept), key=lambda s: (s["start"], s["end"], s["template"])), score
 
 
 def _start():
