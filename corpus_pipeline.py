@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import decontaminate, packing, secrets, simhash, toxicity
 from tessera.llm.common import fresh, prepare, table
 from tessera.llm.queries import tokenizer_path
-from tessera.session import materialize
+from tessera.session import materialize, release, tables_written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -54,8 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written and reread by the next."""
+    """All stages in order, each written and reread by the next; what a stage has read goes once it is written."""
     docs = table(prepare(spark), sf_dir, "documents")
+    before = tables_written(spark)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        release(spark, before, newest=1)
     return STAGES[-1][1](spark, docs, sf_dir)
