@@ -49,6 +49,8 @@ FURNITURE_NAMES = frozenset(
     "paywall disclaimer menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc topbar masthead "
     "footer header share sharing social login search form toolbar".split())
 COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond discussion".split())
+# Words that name a comment area only as the whole name.
+COMMENT_AREAS = frozenset("user-feedback reader-feedback responses user-reviews reader-letters".split())
 # Furniture that holds articles, which are not the page's own.
 TEASER_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox adslot sponsor sponsored promo promoted "
@@ -58,7 +60,7 @@ LAYOUT_NAMES = frozenset("with without has no".split())
 ARTICLE_NAMES = frozenset("article post entry story content title".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)"
     r"|[^<]+|<", re.S)
@@ -218,7 +220,7 @@ def mark_of(tag: str, attributes: str, inside_article: bool) -> int:
             mark = max(mark, LOOSE)
         if TEASER_NAMES.intersection(parts):
             mark = max(mark, TEASER)
-        if COMMENT_NAMES.intersection(parts):
+        if COMMENT_NAMES.intersection(parts) or "-".join(parts) in COMMENT_AREAS:
             mark = max(mark, COMMENT)
     return mark
 
@@ -251,6 +253,9 @@ def text_blocks(html: str) -> list[tuple[str, int, int, int, int, float]]:
         article, firm, comment, area = stack[-1][1:] if stack else (False, NONE, -1, -1)
         in_link = 0
 
+    # Marks of character data go; what they enclose is read like the rest.
+    if "<![CDATA[" in html:
+        html = html.replace("<![CDATA[", " ").replace("]]>", " ")
     position, size = 0, len(html)
     while position < size:
         if silent:      # skip to its end tag
@@ -262,7 +267,7 @@ def text_blocks(html: str) -> list[tuple[str, int, int, int, int, float]]:
         tag = token[2] or token[5]
         if tag is None:
             piece = token[0]
-            if piece[:9] == "<![CDATA[" or piece[:2] not in ("<!", "<?"):
+            if piece[:2] not in ("<!", "<?"):
                 piece = unescape(piece) if "&" in piece else piece
                 parts.append(piece)
                 if in_link:

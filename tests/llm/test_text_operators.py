@@ -37,10 +37,21 @@ def plain_contamination(text, items):
             if tuple(words[i:i + size]) in windows:
                 hit.update(range(i, i + size))
                 met.add(item_id)
-    return len(words), len(hit), sorted(met)
+    return len(words), len(hit), sorted(map(str, met))
 
 
-@pytest.mark.parametrize("most", [3, 200_000])
+def test_contamination_with_text_ids_and_a_phrase_of_all_items(spark):
+    """Ids that are no numbers; one window belongs to forty items and is dealt to several automata."""
+    phrase = prose(13, 80)
+    items = [(f"q/{k:02d}", f"{phrase} {prose(k, 90 + k)}") for k in range(40)] + [("é-1", prose(5, 70))]
+    texts = [f"{prose(30, 1)} {phrase.upper()} {prose(5, 2)}", prose(5, 70), "clean", None, items[7][1]]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    for most in (120, 200_000):
+        for r in decontaminate.mark(frame(spark, texts), benchmark, "mark", most=most).collect():
+            assert (r.mark.n_words, r.mark.n_hit, r.mark["items"]) == plain_contamination(texts[r.doc_id], items)
+
+
+@pytest.mark.parametrize("most", [25, 200_000])
 def test_contamination(spark, most):
     items = [(1, prose(30, 50)), (2, "Short one!"), (3, None), (4, "..."), (None, "lost item here"), (5, prose(30, 50)),
              (6, prose(13, 51)), (6, prose(14, 52))]
@@ -101,6 +112,78 @@ def test_matching_statistics_against_search():
     assert [got.get(i, 0) for i in range(len(words))] == [longest(i) for i in range(len(words))]
 
 
+def test_matches_of_each_template_against_search():
+    """Also those inside a longer match of another template."""
+    scanner = licenses.Scanner()
+    rng = random.Random(9)
+    for _ in range(15):
+        words = []
+        for _ in range(6):
+            own = rng.choice(scanner.templates)[1]
+            a = rng.randrange(len(own))
+            words += own[a:a + rng.randrange(3, 14)] + [b"zzz"] * rng.randrange(2)
+        want = set()
+        for number, (_, own) in enumerate(scanner.templates):
+            ends = lambda i, n: [p for p in range(n, len(own) + 1) if own[p - n:p] == words[i - n:i]]
+            longest = [0]
+            for i in range(1, len(words) + 1):
+                n = longest[-1] + 1
+                while n and not ends(i, n):
+                    n -= 1
+                longest.append(n)
+            for i in range(1, len(words) + 1):
+                n = longest[i]
+                if n >= licenses.LONG_MATCH and (i == len(words) or longest[i + 1] != n + 1):
+                    want.add((i - n, i, number, tuple(ends(i, n))))
+        got = [(a, b, t, tuple(sorted(p))) for a, b, t, p in scanner.scan(words)[1]]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_chains_against_all_chains():
+    """The cover of the best chain per template, by trying every match before."""
+    scanner = licenses.Scanner()
+    rng = random.Random(12)
+    for _ in range(15):
+        words = []
+        for label, own in rng.sample(scanner.templates, 2):
+            kept = [w for w in own if rng.random() > 0.1]
+            words += kept + [b"zzz"] * rng.randrange(20)
+        _, matches = scanner.scan(words)
+        best: dict = {}
+        for k, (a, b, t, places) in enumerate(matches):
+            for place in places:
+                best[k, place] = b - a
+                for j, (c, d, u, others) in enumerate(matches[:k]):
+                    for other in others if u == t and d < b and d >= a - scanner.gap else ():
+                        shift = max(0, d - a)
+                        if place - (b - a) + shift >= other:
+                            best[k, place] = max(best[k, place], best[j, other] + b - a - shift)
+        most = lambda found: {t: max(n for u, n in found if u == t) for t in {u for u, _ in found}}
+        assert most([(c[0], c[3]) for c in scanner.chains(matches)]) == most(
+            [(matches[k][2], n) for (k, _), n in best.items()])
+
+
+def test_notices_with_more_conditions_are_not_those_with_fewer(spark):
+    texts = [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Text: licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0", "licensed under CC BY-NC 4.0",
+        "Licensed under CC BY-NC-SA 4.0.", "This work has been released into the public domain by its author.",
+        "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+        "by the Free Software Foundation; either version 2.1 of the License",
+        "Licensed under CC BY 4.0. " + prose(30, 1) + " Licensed under CC BY-NC 4.0."]
+    want = [["cc-by-nc-sa"], ["cc-by"], ["cc-by-sa"], ["cc-by-nc"], ["cc-by-nc-sa"], ["public-domain"], ["gpl", "lgpl"],
+            ["cc-by", "cc-by-nc"]]
+    got = {r.doc_id: r.seen["labels"] for r in licenses.scan_licenses(frame(spark, texts), "seen").collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_every_notice_gets_its_label(spark):
+    got = licenses.scan_licenses(frame(spark, [n for _, n in licenses.TEMPLATES]), "seen").collect()
+    for r in got:
+        assert licenses.TEMPLATES[r.doc_id][0] in r.seen["labels"]
+        assert [s.share for s in r.seen.spans if s.template == r.doc_id] == [1.0]
+
+
 def test_covered_templates(spark):
     label, notice = licenses.TEMPLATES[1]
     words = notice.split()
@@ -172,6 +255,16 @@ def test_furniture_marks_do_not_swallow_pages(spark):
         assert got[i] == text, i
 
 
+def test_character_data_and_named_comment_areas(spark):
+    a, c = prose(60, 1), prose(70, 3)
+    pages = [f"<article><p>{a} <![CDATA[ raw <b>x</b> ]]> end</p></article>", f"<article><p>{a}</p><![CDATA[ open",
+             f"<article><p>{a}</p><div class='user-feedback'><p>{c}</p></div><div id=responses>{c}</div></article>",
+             f"<article><p>{a}</p><script>//<![CDATA[\nvar b = '</p>';\n//]]></script><p>tail</p></article>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    got = {r.page_id: r.main.text for r in html_text.extract(df, "main").collect()}
+    assert [got[i] for i in range(4)] == [f"{a} raw x end", f"{a} open", a, f"{a} tail"]
+
+
 def test_tree_learns_its_table():
     tree = html_text.grow(html_text.LABELLED)
     wrong = [r for r in html_text.LABELLED if html_text.decide(tree, r[:-1]) != r[-1]]
