@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from tessera.llm import decontaminate, secrets, simhash, toxicity
 from tessera.llm.common import table
+from tessera.session import tables_written
 from tests.llm.frames import awkward, frame
 from tests.llm.test_groups import plain_components, plain_fingerprint
 from tests.llm.test_text_operators import plain_contamination, plain_spans
@@ -84,3 +85,18 @@ def test_awkward_documents_pass_through(spark):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
+
+
+def test_run_keeps_one_table_per_step(spark, stages, monkeypatch):
+    """What a stage has read is removed once it is written; the rows are those of the stages in turn."""
+    left, pack = [], corpus_pipeline.STAGES[-1]
+
+    def last(*args):
+        left.append(tables_written(spark) - before)
+        return pack[1](*args)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:-1], (pack[0], last)])
+    before = tables_written(spark)
+    packed = corpus_pipeline.run(spark, SF).collect()
+    assert left == [1]
+    assert {r.doc_id for r in packed} == set(rows(stages[4]))
