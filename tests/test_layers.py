@@ -135,6 +135,28 @@ def test_all_layers(spark, layout):
         "bronze.cdr_records"] == "breached"
 
 
+def test_a_task_reads_few_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    raw, tasks = tmp_path / "raw", []
+    for day in range(60):       # a partition each; by Spark's own settings a task would read seven of them
+        day_file(raw, day, [line(s, START + day * DAY + s * 600_000, 1, 1, 1, 1, 1) for s in range(1, 8)])
+    silver, settings = layers.cleaning.silver, ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in settings]
+
+    def counted(records, *more):
+        tasks.append(records.rdd.getNumPartitions())
+        return silver(records, *more)
+
+    monkeypatch.setattr(layers.cleaning, "silver", counted)
+    monkeypatch.setattr(sinks, "FILE_ROWS", 5)
+    lake = layers.Layout(str(tmp_path / "lake"), str(raw))
+    layers.run_bronze(spark, lake, "b1")
+    assert layers.run_silver(spark, lake, "b1", as_of())["rows_after"] == 420
+    files = 120                 # seven rows a day: two files
+    assert len(list((tmp_path / "lake" / "bronze").rglob("*.parquet"))) == files
+    assert tasks == [files // 4]
+    assert [spark.conf.get(name) for name in settings] == before
+
+
 def test_a_single_day_is_replaced(spark, layout, tmp_path):
     layers.run_bronze(spark, layout, "b1")
     layers.run_silver(spark, layout, "b1", as_of())
