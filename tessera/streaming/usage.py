@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions.activity import cleaned_sql, event_time_sql, is_future
 from tessera.schema import ACTIVITY, NATURAL_KEY, RAW_ACTIVITY, RAW_GLOB
+from tessera.session import BOUNDED_TASKS, settings
 from tessera.sources import sinks
 from tessera.sources.activity import read_table_if_present
 from tessera.streaming.ingest import raw_stream
@@ -27,6 +28,18 @@ from tessera.streaming.ingest import raw_stream
 DELAY_HOURS = 48
 IN_TIME, LATE, FUTURE, UNDATED = "in_time", "late", "future", "undated"
 _CELL = ["date", "country_code", "square_id"]
+STATES_PER_CORE = 4
+
+
+def _settings(spark: SparkSession) -> dict[str, str]:
+    """Tasks of bounded input, and partitions of the state by the cores there are.
+
+    Each partition keeps two states, and every micro-batch commits each of them in files of its own, however
+    few rows it has. A checkpoint keeps the number that it was begun with.
+    """
+    most = STATES_PER_CORE * spark.sparkContext.defaultParallelism
+    states = min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
+    return {**BOUNDED_TASKS, "spark.sql.shuffle.partitions": str(states)}
 
 
 def _mark(spark: SparkSession, root: str, number: int) -> int | None:
@@ -75,9 +88,10 @@ def sum_days(spark: SparkSession, root: str, checkpoint: str, delay_hours: int =
 def take_new_files(spark: SparkSession, folder: str, root: str, checkpoints: str, glob: str = RAW_GLOB,
                    as_of: Column | None = None, delay_hours: int = DELAY_HOURS) -> None:
     """Both streams, one after the other, over the files that have arrived."""
-    split_arrivals(spark, folder, root, f"{checkpoints}/arrivals", glob, as_of, delay_hours).awaitTermination()
-    if read_table_if_present(spark, f"{root}/arrivals") is not None:
-        sum_days(spark, root, f"{checkpoints}/usage", delay_hours).awaitTermination()
+    with settings(spark, _settings(spark)):
+        split_arrivals(spark, folder, root, f"{checkpoints}/arrivals", glob, as_of, delay_hours).awaitTermination()
+        if read_table_if_present(spark, f"{root}/arrivals") is not None:
+            sum_days(spark, root, f"{checkpoints}/usage", delay_hours).awaitTermination()
 
 
 def _newest(root_usage: DataFrame) -> DataFrame:

@@ -64,6 +64,24 @@ def test_an_arrival_cut_short_is_taken_again(spark, tmp_path):
     assert (row.record_count, row.active_squares, row.total_internet) == (2, 2, 2.0)
 
 
+def test_states_by_cores_and_as_begun(spark, tmp_path):
+    """As many partitions of the state as the cores can use, not one per shuffle partition; the checkpoint keeps them."""
+    raw, root, progress = tmp_path / "raw", str(tmp_path / "usage"), tmp_path / "progress"
+    states = lambda: len([p for p in (progress / "usage" / "state" / "0").iterdir() if p.name.isdigit()])
+    few, most = spark.conf.get("spark.sql.shuffle.partitions"), 4 * spark.sparkContext.defaultParallelism
+    try:
+        for name, wanted in (("1.txt", str(most + 8)), ("2.txt", "2")):
+            spark.conf.set("spark.sql.shuffle.partitions", wanted)
+            _file(raw, name, [_row(int(name[0]), 1, 0), _row(9, 1, 1)])
+            usage.take_new_files(spark, str(raw), root, str(progress), "*.txt", _as_of())
+            assert states() == most
+            assert spark.conf.get("spark.sql.shuffle.partitions") == wanted
+        row = usage.daily_usage(spark, root).first()
+        assert (row.record_count, row.active_squares) == (3, 3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+
+
 def test_nothing_has_arrived(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     usage.take_new_files(spark, str(tmp_path / "raw"), str(tmp_path / "u"), str(tmp_path / "p"), "*.txt")
