@@ -157,6 +157,31 @@ def test_a_task_reads_few_files_of_bounded_rows(spark, tmp_path, monkeypatch):
     assert [spark.conf.get(name) for name in settings] == before
 
 
+def test_a_reload_reads_and_writes_few_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    raw, again, tasks = tmp_path / "raw", tmp_path / "again", []
+    for folder, days in ((raw, range(60)), (again, range(10, 50))):
+        for day in days:
+            day_file(folder, day, [line(s, START + day * DAY + s * 600_000, 1, 1, 1, 1, 1) for s in range(1, 8)])
+    silver, later = layers.cleaning.silver, F.timestamp_seconds(F.lit((START + 90 * DAY) // 1000))
+
+    def counted(records, *more):
+        tasks.append(records.rdd.getNumPartitions())
+        return silver(records, *more)
+
+    monkeypatch.setattr(layers.cleaning, "silver", counted)
+    monkeypatch.setattr(sinks, "FILE_ROWS", 5)
+    reloaded = ("2024-01-11", "2024-02-19")
+    first, second = (layers.Layout(str(tmp_path / "lake"), str(folder)) for folder in (raw, again))
+    layers.run_bronze(spark, first, "b1")
+    layers.run_silver(spark, first, "b1", later)
+    layers.run_bronze(spark, second, "b2", reload_days=True)
+    assert layers.run_silver(spark, second, "b2", later, reloaded)["rows_after"] == 280
+    assert tasks == [120 // 4, 80 // 4]         # seven rows a day: two files, four of them a task
+    states = layers.run_partials(spark, second, reloaded)
+    assert states.agg(F.sum("record_count")).first()[0] == 280
+    assert len(list((tmp_path / "lake" / "state").rglob("*.parquet"))) == 80
+
+
 def test_a_single_day_is_replaced(spark, layout, tmp_path):
     layers.run_bronze(spark, layout, "b1")
     layers.run_silver(spark, layout, "b1", as_of())
