@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -6,7 +7,8 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import functions as F
 
 from tessera.operators import cleaning, detector, evaluation
-from tessera.schema import ACTIVITY, NATURAL_KEY, RAW_ACTIVITY
+from tessera.plans import queries
+from tessera.schema import ACTIVITY, FLAGS, NATURAL_KEY, RAW_ACTIVITY
 
 START = 1_704_067_200_000
 SCORED = ("square_id int, time_interval long, country_code int, internet double, reconstruction_error double, "
@@ -49,6 +51,23 @@ def test_pca_errors_equal_a_direct_computation(silver):
     assert sorted(got) == pytest.approx(sorted(want), rel=1e-6, abs=1e-9)
 
 
+def test_labelled_scores_are_decided_by_the_bottleneck(spark):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    rows = queries.silver(spark, sf).toPandas()
+    x = np.column_stack([*(rows[c].to_numpy() for c in ACTIVITY), rows["hour_of_day"] / 23, rows["day_of_week"] / 6])
+    kept = ~rows[FLAGS].to_numpy(dtype=bool).any(axis=1)
+    z = (x - x[kept].mean(axis=0)) / x[kept].std(axis=0)
+    _, directions = np.linalg.eigh(z[kept].T @ z[kept] / kept.sum())
+    decided = lambda errors: errors - np.percentile(errors[kept], 95) > queries.TOLERANCE
+    whole, plain = (decided((part ** 2).sum(axis=1) / 7) for part in (z @ directions[:, :3], z))
+    assert (whole != plain).any()
+    want = dict(zip(map(tuple, rows[NATURAL_KEY].to_numpy()), whole))
+    got = queries.labelled_scores(spark, sf).collect()
+    assert {tuple(r[k] for k in NATURAL_KEY): r["is_anomaly_predicted"] for r in got} == want and len(got) == len(rows)
+
+
 def test_directions_agree_with_spark_ml(silver):
     model = detector.fit(silver, rank=4)
     train = cleaning.clean(silver).selectExpr(
